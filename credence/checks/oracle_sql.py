@@ -60,3 +60,58 @@ def with_base(body: str) -> str:
     """Prefix a query body with the fixture CTEs; ``extra`` CTEs go first in
     ``body`` as ``, name AS (...)`` continuation when needed."""
     return f"WITH {BASE_CTES}\n{body}"
+
+
+# --- preprocessing chain in SQL (F1 -> P13 -> F2 -> F3/F4) ----------------------
+NUMS = ["age", "income", "employment_length", "credit_score", "debt_to_income", "loan_amount",
+        "loan_to_income_ratio", "credit_score_to_age_ratio"]
+CATS = ["home_ownership", "loan_purpose", "age_category", "income_category", "credit_category"]
+FLAGS = ["high_income", "excellent_credit", "low_debt_ratio", "experienced_employment"]
+MODEL_ORDER = ["age", "income", "employment_length", "credit_score", "debt_to_income", "loan_amount",
+               "home_ownership", "loan_purpose", "loan_to_income_ratio", "credit_score_to_age_ratio",
+               "age_category", "income_category", "credit_category"] + FLAGS
+
+
+def prep_ctes(src: str = "features", fit_src: str | None = None) -> str:
+    """CTEs med, imp, scaler, dict, enc over ``src``; scaler and dictionary
+    are fitted on ``fit_src`` (default: the same rows)."""
+    fit_src = fit_src or src
+    med = ", ".join(f"median({c}) AS {c}" for c in NUMS)
+    imp_cols = ", ".join(f"COALESCE(s.{c}, m.{c}) AS {c}" for c in NUMS)
+    cat_cols = ", ".join(f"COALESCE(s.{c}, 'unknown') AS {c}" for c in CATS)
+    fit_med = ", ".join(f"median({c}) AS {c}" for c in NUMS)
+    fit_imp_cols = ", ".join(f"COALESCE(s.{c}, m.{c}) AS {c}" for c in NUMS)
+    fit_cat_cols = ", ".join(f"COALESCE(s.{c}, 'unknown') AS {c}" for c in CATS)
+    scaler = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, avg({c}) AS mean, "
+        f"CASE WHEN stddev_pop({c}) IS NULL OR stddev_pop({c}) = 0 THEN 1E0 ELSE stddev_pop({c}) END AS scale "
+        f"FROM fit_imp" for c in NUMS)
+    long = " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS category FROM fit_imp" for c in CATS)
+    keep = ", ".join(f"s.{c}" for c in FLAGS)
+    enc = []
+    joins = []
+    for i, c in enumerate(CATS):
+        enc.append(f"CAST(COALESCE(d{i}.code, u{i}.code, 0) AS DOUBLE) AS {c}")
+        joins.append(f"LEFT JOIN dict d{i} ON d{i}.feature = '{c}' AND d{i}.category = i.{c} "
+                     f"LEFT JOIN dict u{i} ON u{i}.feature = '{c}' AND u{i}.category = 'unknown'")
+    std = []
+    for i, c in enumerate(NUMS):
+        std.append(f"(i.{c} - p{i}.mean) / p{i}.scale AS {c}")
+        joins.append(f"JOIN scaler p{i} ON p{i}.feature = '{c}'")
+    return f""",
+med AS (SELECT {med} FROM {src}),
+imp AS (SELECT s.application_id, s.application_ts, s.loan_approved, {imp_cols}, {cat_cols}, {keep}
+        FROM {src} s, med m),
+fit_med AS (SELECT {fit_med} FROM {fit_src}),
+fit_imp AS (SELECT {fit_imp_cols}, {fit_cat_cols} FROM {fit_src} s, fit_med m),
+scaler AS ({scaler}),
+dseen AS (SELECT feature, category,
+                 CAST(row_number() OVER (PARTITION BY feature ORDER BY category) - 1 AS BIGINT) AS code
+          FROM (SELECT DISTINCT feature, category FROM ({long}) l WHERE category IS NOT NULL) x),
+dict AS (SELECT * FROM dseen UNION ALL
+         SELECT feature, 'unknown', CAST(count(*) AS BIGINT) FROM dseen GROUP BY feature
+         HAVING sum(CASE WHEN category = 'unknown' THEN 1 ELSE 0 END) = 0),
+enc AS (SELECT i.application_id, i.application_ts, i.loan_approved, {", ".join(std)}, {", ".join(enc)},
+               {", ".join("i." + c for c in FLAGS)}
+        FROM imp i {" ".join(joins)})
+"""

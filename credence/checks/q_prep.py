@@ -126,13 +126,13 @@ register("F5_preprocess", PROCESSED_SQL)(processed)
 QUOTAS_SQL = """
 , cnt AS (SELECT loan_approved AS label, count(*) AS n_c FROM applications GROUP BY 1),
 tot AS (SELECT sum(n_c) AS n, CAST(ceil(0.2E0 * sum(n_c)) AS BIGINT) AS n_test FROM cnt),
-q AS (SELECT label, n_c, CAST(n_c AS DOUBLE) * CAST(n - n_test AS DOUBLE) / CAST(n AS DOUBLE) AS cont,
+qa AS (SELECT label, n_c, CAST(n_c AS DOUBLE) * CAST(n - n_test AS DOUBLE) / CAST(n AS DOUBLE) AS cont,
              n - n_test AS n_train FROM cnt, tot),
-q2 AS (SELECT label, n_c, floor(cont) AS fl, cont - floor(cont) AS rem,
-              n_train - (SELECT sum(floor(cont)) FROM q) AS need FROM q),
-q3 AS (SELECT *, row_number() OVER (ORDER BY rem DESC, label ASC) AS r FROM q2),
+qb AS (SELECT label, n_c, floor(cont) AS fl, cont - floor(cont) AS rem,
+              n_train - (SELECT sum(floor(cont)) FROM qa) AS need FROM qa),
+qc AS (SELECT *, row_number() OVER (ORDER BY rem DESC, label ASC) AS r FROM qb),
 quotas AS (SELECT label, n_c, CAST(fl + CASE WHEN r <= need THEN 1 ELSE 0 END AS BIGINT) AS train_c,
-                  CAST(n_c - (fl + CASE WHEN r <= need THEN 1 ELSE 0 END) AS BIGINT) AS test_c FROM q3)
+                  CAST(n_c - (fl + CASE WHEN r <= need THEN 1 ELSE 0 END) AS BIGINT) AS test_c FROM qc)
 """
 
 

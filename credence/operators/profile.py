@@ -86,10 +86,11 @@ def missing_profile(df: DataFrame, cols: Sequence[str] | None = None, distinct:
             (F.col(f"lo{i}") if numeric else F.lit(None).cast("double")).alias("min"),
             (F.col(f"hi{i}") if numeric else F.lit(None).cast("double")).alias("max"),
         ))
-    long = row.select("__n", F.explode(F.array(*entries)).alias("e")).select("__n", "e.*")
+    long = row.select("__n", F.posexplode(F.array(*entries)).alias("ordinal", "e")) \
+        .select("__n", "ordinal", "e.*")
     pct = F.try_divide(F.col("missing_count").cast("double"), F.col("__n").cast("double")) * F.lit(100.0)
     return long.select(
-        "column", "dtype", "is_numeric",
+        "ordinal", "column", "dtype", "is_numeric",
         F.col("__n").cast("long").alias("total_records"),
         "missing_count", pct.alias("missing_pct_raw"), round2(pct).alias("missing_pct"),
         "distinct_count",

@@ -50,3 +50,25 @@ def serving_fills(df: DataFrame, cols: Sequence[str], method: str = "exact") ->
     if n > 1:
         return fit_medians(df, cols, method)
     return {c: 0.0 for c in cols}
+
+
+def impute_by_group(df: DataFrame, group_cols: Sequence[str], cols: Sequence[str],
+                    single_row_fill: float = 0.0) -> DataFrame:
+    """F1s per request: each group (payload) is imputed with its own median
+    when it has more than one row, else with ``single_row_fill``. Medians are
+    exact and distributed (a huge group is split like any other)."""
+    group_cols = list(group_cols)
+    long = df.select(*group_cols, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols
+    ])).alias("_s")).select(*group_cols, "_s.feature", "_s.value")
+    med = exact_percentiles(long, group_cols + ["feature"], "value", [0.5], ["median"])
+    wide = med.groupBy(*group_cols).pivot("feature", list(cols)).agg(F.first("median"))
+    wide = wide.select(*group_cols, *[F.col(f"`{c}`").alias(f"__m_{c}") for c in cols])
+    sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("__rows"))
+    fills = sizes.join(wide, group_cols, "left")
+    j = df.join(fills, group_cols, "left")
+    out = j.withColumns({
+        c: F.coalesce(F.col(c), F.when(F.col("__rows") > 1, F.col(f"__m_{c}"))
+                      .otherwise(F.lit(float(single_row_fill))))
+        for c in cols})
+    return out.select(*df.columns)

@@ -114,7 +114,7 @@ def a9(spark, sf):
     f"CAST(count(*) AS BIGINT) AS sample_count FROM features"
     for c in FEATURE_COLS if c != "loan_approved")))
 def a14(spark, sf):
-    return schema_summary(features(spark, sf).select(*FEATURE_COLS))
+    return schema_summary(features(spark, sf).select(*FEATURE_COLS)).drop("ordinal")
 
 
 @register("T3_first_n_sample", with_base("""

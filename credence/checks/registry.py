@@ -34,4 +34,4 @@ def load_all() -> None:
         importlib.import_module(f"{__package__}.{mod}")
 
 
-SUITE_MODULES = ["q_features", "q_prep", "q_profile", "q_metrics", "q_gates", "q_models"]
+SUITE_MODULES = ["q_features", "q_prep", "q_profile", "q_metrics", "q_gates", "q_models", "q_sources", "q_catalog"]

@@ -134,9 +134,9 @@ def schema_summary(df: DataFrame, label: str = spec.TARGET) -> DataFrame:
     """Per non-label column name, numeric/categorical type and nullable
     (any missing), from one aggregate."""
     cols = [c for c in df.columns if c != label]
-    prof = missing_profile(df, cols)
+    prof = missing_profile(df, cols, distinct=False)
     return prof.select(
-        F.col("column").alias("name"),
+        "ordinal", F.col("column").alias("name"),
         F.when(F.col("dtype").isin("int64", "float64"), F.lit("numeric"))
         .otherwise(F.lit("categorical")).alias("type"),
         F.concat(F.lit("Feature: "), F.col("column")).alias("description"),

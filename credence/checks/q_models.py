@@ -22,6 +22,7 @@ from ..plans.training import (assembler, evaluate, feature_importances, load_mod
 from ..session import work_dir
 from ..sources.payloads import (ERROR_PREFIX, REQUIRED_KEYS, parse_payloads, parse_split_payloads,
                                 records_to_payloads, records_to_split_payloads)
+from ..sources.readers import write_processed
 from .oracle_sql import with_base
 from .registry import register
 
@@ -89,6 +90,10 @@ def context(spark, sf, model_type="random_forest"):
     if key not in _FITS:
         processed, params = preprocess(applications(spark, sf))
         s = stratified_split(processed, spec.TARGET, spec.KEY, spec.TEST_SIZE, spec.SEED)
+        # cut the lineage: the processed sets are written once (S3), then read
+        path = work_dir(spark, "processed-sets")
+        write_processed(s, path)
+        s = spark.read.parquet(path)
         tr = s.where(F.col("split") == "train").drop("split")
         va = s.where(F.col("split") == "test").drop("split")
         model = train(tr, model_type)
@@ -169,3 +174,17 @@ def l9(spark, sf):
 def t1(spark, sf):
     model, _, _, _ = context(spark, sf, "random_forest")
     return feature_importances(model, 20).select("feature", r6("importance").alias("importance"))
+
+
+@register("L7_stream_score")
+def l7(spark, sf):
+    from ..streaming.scoring_stream import start_scoring
+
+    model, params, _, _ = context(spark, sf, "random_forest")
+    src, out, ckpt = (work_dir(spark, n) for n in ("payload-files", "stream-out", "stream-checkpoint"))
+    payload_table(spark, sf).repartition(8).write.mode("overwrite").json(src)
+    q = start_scoring(spark, model, params, src, out, ckpt, available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(out).select(
+        "payload_id", "record_index", spec.TARGET, r6("approval_probability").alias("approval_probability"),
+        "confidence", "error")

@@ -200,7 +200,7 @@ FROM va
 """))
 def p16(spark, sf):
     f = features(spark, sf).withColumns({c: categorical_str(c) for c in spec.CATEGORICAL_FEATURES})
-    s = stratified_split(f, spec.TARGET, spec.KEY, spec.TEST_SIZE, spec.SEED, method="lehmer")
+    s = stratified_split(f, spec.TARGET, spec.KEY, spec.TEST_SIZE, spec.SEED, method="lehmer").checkpoint()
     d = Dictionary(fit_dictionaries(s.where(F.col("split") == "train"), spec.CATEGORICAL_FEATURES))
     va = s.where(F.col("split") == "test")
     return mask_unseen(va, d, spec.CATEGORICAL_FEATURES).select(spec.KEY, *spec.CATEGORICAL_FEATURES)

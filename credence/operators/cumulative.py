@@ -32,29 +32,40 @@ def default_buckets(df: DataFrame) -> int:
     return max(8, n)
 
 
+# A group with at most this many distinct order keys is summed by one window
+# task; larger groups are cut into quantile buckets first.
+SMALL_GROUP_KEYS = 200_000
+
+
 def running_totals(df: DataFrame, group_cols: Sequence[str], order_col: str,
                    sum_cols: Sequence[str], buckets: int | None = None,
-                   suffix: str = "_cum") -> DataFrame:
+                   suffix: str = "_cum", small_group_keys: int = SMALL_GROUP_KEYS) -> DataFrame:
     """Adds ``<c><suffix>``: the inclusive running sum of each ``sum_cols``
     column in ``order_col`` order, restarting per ``group_cols``.
-    ``order_col`` must be unique within a group (pre-aggregate first)."""
+    ``order_col`` must be unique within a group (pre-aggregate first).
+
+    Groups with few keys run as one window each (many groups spread over
+    tasks); a group with more than ``small_group_keys`` keys is cut into
+    ``buckets`` quantile ranges so that no task sums a whole large group."""
     group_cols = list(group_cols)
     nb = buckets or default_buckets(df)
     fracs = [i / nb for i in range(1, nb)]
-    gkey = group_cols or None
+    x = F.col(order_col)
 
-    if gkey:
-        bounds = df.groupBy(*group_cols).agg(
+    if group_cols:
+        sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_keys"))
+        large = sizes.where(F.col("_keys") > small_group_keys).select(*group_cols)
+        bounds = df.join(large, group_cols, "left_semi").groupBy(*group_cols).agg(
             F.percentile_approx(order_col, fracs, 10000).alias("_bounds"))
-        # one small row per group; AQE broadcasts it when its measured size allows
+        # one small row per large group; AQE broadcasts it when its measured size allows
         tagged = df.join(bounds, group_cols, "left")
     else:
-        row = df.agg(F.percentile_approx(order_col, fracs, 10000).alias("_bounds")).first()
-        tagged = df.withColumn("_bounds", F.lit(list(row["_bounds"] or [])).cast(
-            f"array<{dict(df.dtypes)[order_col]}>"))
-    x = F.col(order_col)
+        # ungrouped: the bounds are a scalar subquery, evaluated once, lazily
+        bounds = df.agg(F.percentile_approx(order_col, fracs, 10000)).scalar()
+        tagged = df.withColumn("_bounds", bounds)
     tagged = tagged.withColumn(
-        "_bucket", F.size(F.filter(F.coalesce(F.col("_bounds"), F.array()), lambda b: b < x))
+        "_bucket", F.size(F.filter(F.coalesce(F.col("_bounds"), F.array().cast(f"array<{dict(df.dtypes)[order_col]}>")),
+                                   lambda b: b < x))
     ).drop("_bounds")
 
     part_cols = group_cols + ["_bucket"]

@@ -24,7 +24,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .cumulative import BROADCAST_ROW_LIMIT
 
 _P31 = 2147483647  # 2^31 - 1
 _MINSTD = 48271
@@ -98,9 +97,8 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2
                      .alias("s"))
                 .select(label, F.col("s._b").alias("_bstar"), F.col("s.need").alias("_need")))
     # classes whose test quota is the whole class have no boundary (all test)
+    # one row per class; AQE broadcasts it after measuring its size
     table = _join_ns(quotas.select(label), boundary, label, "left")
-    n_classes = table.count()
-    table = F.broadcast(table) if n_classes <= BROADCAST_ROW_LIMIT else table
 
     tagged = _join_ns(h, table, label, "left")
     b, bstar = F.col("_b"), F.col("_bstar")

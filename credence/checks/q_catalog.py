@@ -33,11 +33,12 @@ def registry(spark, sf):
     stage = F.when(F.col("p_retailprice") > 1500, "Production")
     tags = F.map_filter(F.create_map(F.lit("model_type"), F.lower("p_type"), F.lit("environment"), env,
                                      F.lit("stage"), stage), lambda k, v: v.isNotNull())
-    reg = F.timestamp_seconds(F.lit(1704067200) + (F.col("p_partkey") * 7919) % 100003)
+    # time-zone free: a TIMESTAMP_NTZ base plus a day-time interval
+    reg = F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, (p_partkey * 7919) % 100003)")
     return p.select(F.col("p_brand").alias("name"), F.col("p_partkey").alias("version"),
                     F.concat(F.col("p_brand"), F.lit(":"), F.col("p_partkey").cast("string")).alias("id"),
                     F.concat(F.lit("job-"), F.col("p_partkey").cast("string")).alias("training_job"),
-                    F.to_timestamp_ntz(F.date_format(reg, "yyyy-MM-dd HH:mm:ss")).alias("registration_time"),
+                    reg.alias("registration_time"),
                     tags.alias("tags"), F.col("p_name").alias("description"))
 
 

@@ -87,7 +87,8 @@ def s9(spark, sf):
     from ..functions.features import build_features
     cat = Catalog(spark, work_dir(spark, "catalog"))
     f = build_features(applications(spark, sf))
-    publish_dataset(cat, "loan-approval-features-data", f.where(F.col(spec.TS) < F.lit("1998-01-01")))
+    publish_dataset(cat, "loan-approval-features-data",
+                    f.where(F.col(spec.TS) < F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")))
     publish_dataset(cat, "loan-approval-features-data", f)
     latest = read_dataset(cat, "loan-approval-features-data")
     first = read_dataset(cat, "loan-approval-features-data", 1)

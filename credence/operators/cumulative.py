@@ -93,18 +93,27 @@ def exact_percentiles(long_df: DataFrame, group_cols, value_col: str,
     NULL and NaN ignored. Returns one row per group that has values, with one
     column per percentage.
 
-    Work: one distributed count per (group, value), running totals as above,
-    one small aggregate. No task ever holds a whole group."""
+    Work: one distributed count per (group, value). A group with at most
+    ``SMALL_GROUP_KEYS`` distinct values is finished by the built-in
+    ``percentile`` with frequencies (its buffer holds those few distinct
+    values); a larger group goes through bucketed running totals, so no task
+    ever holds a whole large group."""
     group_cols = [group_cols] if isinstance(group_cols, str) else list(group_cols)
     names = list(names or [f"p{int(round(p * 100))}" for p in percentages])
     v = F.col(value_col)
     counts = (long_df.where(v.isNotNull() & ~F.isnan(v.cast("double")))
               .groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("_w")))
-    totals = counts.groupBy(*group_cols).agg(F.sum("_w").alias("_n"))
-    rt = running_totals(counts, group_cols, value_col, ["_w"], buckets)
-    rt = rt.join(totals, group_cols, "inner")
-    cum, prev = F.col("_w_cum"), F.col("_w_cum") - F.col("_w")
+    totals = counts.groupBy(*group_cols).agg(F.sum("_w").alias("_n"), F.count(F.lit(1)).alias("_keys"))
+    is_small = F.col("_keys") <= F.lit(SMALL_GROUP_KEYS)
+    tagged = counts.join(totals, group_cols, "inner")
+
+    small = tagged.where(is_small).groupBy(*group_cols).agg(*[
+        F.percentile(F.col(value_col).cast("double"), float(p), F.col("_w")).alias(n)
+        for p, n in zip(percentages, names)])
 
+    large_counts = tagged.where(~is_small).select(*group_cols, value_col, "_w", "_n")
+    rt = running_totals(large_counts, group_cols, value_col, ["_w"], buckets, small_group_keys=0)
+    cum, prev = F.col("_w_cum"), F.col("_w_cum") - F.col("_w")
     aggs = []
     for p, name in zip(percentages, names):
         h = (F.col("_n") - 1).cast("double") * F.lit(float(p))
@@ -117,7 +126,7 @@ def exact_percentiles(long_df: DataFrame, group_cols, value_col: str,
     for name in names:
         lo_v, hi_v, f = F.col(f"{name}__lo"), F.col(f"{name}__hi"), F.col(f"{name}__f")
         out.append((lo_v + (hi_v - lo_v) * f).cast("double").alias(name))
-    return agg.select(*out)
+    return small.unionByName(agg.select(*out))
 
 
 def stack_columns(df: DataFrame, cols: Sequence[str], name_col: str = "feature",

@@ -48,7 +48,7 @@ def gate_frame(df: DataFrame) -> DataFrame:
 def feature_gate(df: DataFrame, max_missing_pct: float = spec.MAX_COLUMN_MISSING_PCT) -> DataFrame:
     """Q1: a column with > 50 % missing fails the gate; a constant numeric
     column is an issue only."""
-    prof = missing_profile(df)
+    prof = missing_profile(df, distinct=False)
     miss = F.col("missing_pct_raw") > F.lit(float(max_missing_pct))
     numeric = F.col("dtype").isin("int64", "float64")
     issue_missing = F.when(miss, F.concat(F.lit("High missing values in "), F.col("column"), F.lit(": "),

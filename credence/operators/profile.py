@@ -57,18 +57,22 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
         "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
-def missing_profile(df: DataFrame, cols: Sequence[str] | None = None, distinct: bool = True) -> DataFrame:
+def missing_profile(df: DataFrame, cols: Sequence[str] | None = None, distinct: bool | str = True) -> DataFrame:
     """A3 (+A4, A5, A6): one row per column with missing count and percent
     (2 digits), non-null distinct count, type, numeric min/max and flags.
-    One aggregate for all columns. ``distinct=False`` skips the exact
-    distinct counts (each one adds a copy of the rows to the aggregate's
-    expand step)."""
+    One aggregate for all columns. Exact distinct counts make the aggregate
+    expand each row once per column before its map-side partial aggregation;
+    ``distinct='approx'`` uses HyperLogLog++ sketches instead (no expansion,
+    ~1 % error) for very wide or very large inputs, and ``distinct=False``
+    skips them."""
     cols = list(cols or df.columns)
     types = {f.name: f.dataType for f in df.schema.fields}
     aggs = [F.count(F.lit(1)).alias("__n")]
     for i, c in enumerate(cols):
         aggs.append(F.sum(F.col(c).isNull().cast("long")).alias(f"m{i}"))
-        if distinct:
+        if distinct == "approx":
+            aggs.append(F.approx_count_distinct(F.col(c), 0.01).alias(f"d{i}"))
+        elif distinct:
             aggs.append(F.count_distinct(F.col(c)).alias(f"d{i}"))
         if isinstance(types[c], NUMERIC_TYPES):
             aggs.append(F.min(F.col(c)).cast("double").alias(f"lo{i}"))

@@ -52,12 +52,20 @@ def align_to_model(df: DataFrame, model_features: Sequence[str], keep: Sequence[
     return df.select(*cols)
 
 
+def _bound(df: DataFrame, ts: str, value):
+    """A literal of the column's own type, parsed from text so that no time
+    zone enters (a naive ``datetime`` literal would be read as local time)."""
+    dtype = dict(df.dtypes)[ts]
+    text = value.isoformat(sep=" ") if hasattr(value, "isoformat") else str(value)
+    return F.lit(text).cast(dtype)
+
+
 def time_range(df: DataFrame, start=None, end=None, ts: str = spec.TS) -> DataFrame:
     """``start <= ts < end`` (either bound optional); a plain filter, so
     Catalyst pushes it to the Parquet scan."""
     cond = F.lit(True)
     if start is not None:
-        cond = cond & (F.col(ts) >= F.lit(start))
+        cond = cond & (F.col(ts) >= _bound(df, ts, start))
     if end is not None:
-        cond = cond & (F.col(ts) < F.lit(end))
+        cond = cond & (F.col(ts) < _bound(df, ts, end))
     return df.where(cond) if (start is not None or end is not None) else df

@@ -105,7 +105,9 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2
     decided = tagged.where(bstar.isNull() | (b != bstar)).withColumn(
         split_col, F.when(bstar.isNull() | (b < bstar), F.lit(test_name)).otherwise(F.lit(train_name)))
     edge = tagged.where(b == bstar)
-    w_edge = Window.partitionBy(label).orderBy("_h", key)
+    # keys are expected to be unique; a hash of the whole row still makes the
+    # order among repeated keys deterministic, so a recomputed task agrees
+    w_edge = Window.partitionBy(label).orderBy("_h", key, F.xxhash64(*[F.col(c) for c in df.columns]))
     edge = edge.withColumn(split_col, F.when(F.row_number().over(w_edge) <= F.col("_need"), F.lit(test_name))
                            .otherwise(F.lit(train_name)))
     cols = df.columns + [split_col]

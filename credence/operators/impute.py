@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .cumulative import exact_percentiles, stack_columns
@@ -53,11 +53,33 @@ def serving_fills(df: DataFrame, cols: Sequence[str], method: str = "exact") ->
 
 
 def impute_by_group(df: DataFrame, group_cols: Sequence[str], cols: Sequence[str],
-                    single_row_fill: float = 0.0) -> DataFrame:
+                    single_row_fill: float = 0.0, size_col: str | None = None,
+                    small_rows: int = 10_000) -> DataFrame:
     """F1s per request: each group (payload) is imputed with its own median
-    when it has more than one row, else with ``single_row_fill``. Medians are
-    exact and distributed (a huge group is split like any other)."""
+    when it has more than one row, else with ``single_row_fill``.
+
+    When the group size is known per row (``size_col``, e.g. the record count
+    of a parsed payload), groups of at most ``small_rows`` rows take a windowed
+    median (one shuffle by group, no reshaping); larger groups take the
+    distributed exact percentiles, so a huge request is split like any other
+    job. Without ``size_col`` every group takes the distributed path."""
     group_cols = list(group_cols)
+    if size_col is not None:
+        small = _impute_window(df.where(F.col(size_col) <= small_rows), group_cols, cols, single_row_fill)
+        large = _impute_exact(df.where(F.col(size_col) > small_rows), group_cols, cols, single_row_fill)
+        return small.unionByName(large)
+    return _impute_exact(df, group_cols, cols, single_row_fill)
+
+
+def _impute_window(df: DataFrame, group_cols, cols, fill: float) -> DataFrame:
+    w = Window.partitionBy(*group_cols)
+    n = F.count(F.lit(1)).over(w)
+    return df.withColumns({
+        c: F.coalesce(F.col(c), F.when(n > 1, F.median(F.col(c)).over(w)).otherwise(F.lit(float(fill))))
+        for c in cols})
+
+
+def _impute_exact(df: DataFrame, group_cols, cols, fill: float) -> DataFrame:
     long = df.select(*group_cols, F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols
     ])).alias("_s")).select(*group_cols, "_s.feature", "_s.value")
@@ -68,7 +90,6 @@ def impute_by_group(df: DataFrame, group_cols: Sequence[str], cols: Sequence[str
     fills = sizes.join(wide, group_cols, "left")
     j = df.join(fills, group_cols, "left")
     out = j.withColumns({
-        c: F.coalesce(F.col(c), F.when(F.col("__rows") > 1, F.col(f"__m_{c}"))
-                      .otherwise(F.lit(float(single_row_fill))))
+        c: F.coalesce(F.col(c), F.when(F.col("__rows") > 1, F.col(f"__m_{c}")).otherwise(F.lit(float(fill))))
         for c in cols})
     return out.select(*df.columns)

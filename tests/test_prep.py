@@ -114,3 +114,13 @@ def test_running_totals_bucketed_equals_window(spark):
     ung = running_totals(df.where("g = 0").drop("g"), [], "x", ["w"], buckets=5).collect()
     lst = sorted((r["x"], r["w"], r["w_cum"]) for r in ung)
     assert [c for _, _, c in lst] == list(np.cumsum([w for _, w, _ in lst]))
+
+
+def test_group_impute_window_path_equals_exact_path(spark):
+    rows = [("a", 1.0, 3), ("a", None, 3), ("a", 4.0, 3), ("b", None, 1), ("c", 2.0, 2), ("c", None, 2)]
+    df = spark.createDataFrame(rows, "g string, x double, n int")
+    fast = sorted(tuple(r) for r in impute_by_group(df, ["g"], ["x"], size_col="n").collect())
+    exact = sorted(tuple(r) for r in impute_by_group(df, ["g"], ["x"]).collect())
+    forced = sorted(tuple(r) for r in impute_by_group(df, ["g"], ["x"], size_col="n", small_rows=0).collect())
+    assert fast == exact == forced
+    assert ("a", 2.5, 3) in fast and ("b", 0.0, 1) in fast and ("c", 2.0, 2) in fast

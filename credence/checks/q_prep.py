@@ -14,7 +14,7 @@ from ..operators.impute import fit_medians, impute
 from ..operators.scale import fit_scaler, standardize
 from ..operators.split import stratified_split
 from ..plans.preprocess import feature_info_frame, preprocess
-from ..session import work_dir
+from ..session import materialize, work_dir
 from ..sources.params import load_params, save_params
 from .oracle_sql import CATS, FLAGS, MODEL_ORDER, NUMS, prep_ctes, with_base
 from .registry import register
@@ -200,7 +200,7 @@ FROM va
 """))
 def p16(spark, sf):
     f = features(spark, sf).withColumns({c: categorical_str(c) for c in spec.CATEGORICAL_FEATURES})
-    s = stratified_split(f, spec.TARGET, spec.KEY, spec.TEST_SIZE, spec.SEED, method="lehmer").checkpoint()
+    s = materialize(stratified_split(f, spec.TARGET, spec.KEY, spec.TEST_SIZE, spec.SEED, method="lehmer"))
     d = Dictionary(fit_dictionaries(s.where(F.col("split") == "train"), spec.CATEGORICAL_FEATURES))
     va = s.where(F.col("split") == "test")
     return mask_unseen(va, d, spec.CATEGORICAL_FEATURES).select(spec.KEY, *spec.CATEGORICAL_FEATURES)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import spec
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 from .cumulative import BROADCAST_ROW_LIMIT, stack_columns
 
 DICT_COLUMNS = ["feature", "category", "code"]
@@ -47,13 +47,12 @@ class Dictionary:
     of ``unknown`` (a few numbers) are collected once; the table itself stays
     a DataFrame."""
 
-    def __init__(self, table: DataFrame, materialize: bool = True):
+    def __init__(self, table: DataFrame, cut_lineage: bool = True):
         table = table.select(*DICT_COLUMNS)
-        if materialize:
+        if cut_lineage:
             # a fitted parameter: cut its lineage once (reliable checkpoint in
             # the shared spark.checkpoint.dir) so every lookup reads it directly
-            ensure_checkpoint_dir(table.sparkSession)
-            table = table.checkpoint(eager=True)
+            table = materialize(table)
         self.table = table
         stats = self.table.groupBy("feature").agg(
             F.count(F.lit(1)).alias("n"),

@@ -90,17 +90,23 @@ def fit_params(featured: DataFrame, median_method: str = "exact") -> PrepParams:
 
 
 def preprocess(df: DataFrame, params: PrepParams | None = None, impute_with: str = "batch",
-               median_method: str = "exact", require_target: bool = True
+               median_method: str = "exact", require_target: bool = True, fit_rows=None
                ) -> tuple[DataFrame, PrepParams]:
     """F5. ``params=None`` fits on ``df`` (fit_scalers=True); otherwise the
     stored scaler and dictionaries are applied. Medians are those of the
     batch (``impute_with='batch'``, reference semantics, SURVEY D4) or the
-    stored ones (``'stored'``, used by streams)."""
+    stored ones (``'stored'``, used by streams).
+
+    ``fit_rows`` (a boolean Column, e.g. ``col('split') == 'train'``) fits
+    the parameters on those rows only (SURVEY D5 ``fit_scope='train'``); by
+    default they are fitted on the whole batch, as the reference does."""
     featured = build_features(df)
     check_columns(featured, require_target)
     if params is None:
-        params = fit_params(featured, median_method)
-        fills = params.medians
+        fit_on = featured if fit_rows is None else featured.where(fit_rows)
+        params = fit_params(fit_on, median_method)
+        fills = params.medians if fit_rows is None else fit_medians(featured, spec.NUMERICAL_FEATURES,
+                                                                     median_method)
     elif impute_with == "stored":
         fills = params.medians
     else:

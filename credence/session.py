@@ -59,3 +59,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for one written intermediate, under the shared root."""
     return f"{checkpoint_root(spark)}/credence-work/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cuts a DataFrame's lineage with a reliable checkpoint in the shared
+    ``spark.checkpoint.dir`` (never ``localCheckpoint``: executors may be
+    lost, and a local copy would go with them)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

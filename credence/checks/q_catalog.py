@@ -20,7 +20,7 @@ from ..plans.catalog import (Catalog, last_registered, latest_versions, list_mod
 from ..session import work_dir
 from .oracle_sql import with_base
 from .q_gates import REQUESTED
-from .q_metrics import scored
+from .q_metrics import SCORED_SQL, scored
 from .q_profile import FEATURE_COLS, STRING_COLS
 from .registry import register
 
@@ -222,11 +222,37 @@ def _scorecard_metrics(spark, sf):
                                                                      F.col("auc").alias("value")))
 
 
-@register("C6_log_run")
+@register("C6_log_run", with_base(SCORED_SQL + """
+, c AS (SELECT CAST(count(*) AS DOUBLE) AS n,
+               CAST(sum(CASE WHEN loan_approved = pred THEN 1 ELSE 0 END) AS DOUBLE) AS correct,
+               CAST(sum(CASE WHEN loan_approved = 1 AND pred = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS tp,
+               CAST(sum(CASE WHEN pred = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS pp,
+               CAST(sum(CASE WHEN loan_approved = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS ap FROM scored),
+m AS (SELECT correct / n AS accuracy, CASE WHEN pp = 0 THEN 0E0 ELSE tp / pp END AS precision,
+             CASE WHEN ap = 0 THEN 0E0 ELSE tp / ap END AS recall FROM c),
+s AS (SELECT prob AS v, sum(CASE WHEN loan_approved = 1 THEN 1 ELSE 0 END) AS pos,
+             sum(CASE WHEN loan_approved = 1 THEN 0 ELSE 1 END) AS neg FROM scored GROUP BY 1),
+a AS (SELECT sum(CAST(pos AS DOUBLE) * (CAST(COALESCE(nb, 0) AS DOUBLE) + 0.5E0 * neg))
+             / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) AS auc
+      FROM (SELECT *, sum(neg) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS nb FROM s) x)
+SELECT 'run-1' AS run_id, 'param' AS kind, 'model_type' AS key, 'scorecard' AS text_value,
+       CAST(NULL AS DOUBLE) AS num_value
+UNION ALL SELECT 'run-1', 'param', 'cutoff', '50', NULL
+UNION ALL SELECT 'run-1', 'metric', 'val_accuracy', NULL, round(accuracy, 6) FROM m
+UNION ALL SELECT 'run-1', 'metric', 'val_precision', NULL, round(precision, 6) FROM m
+UNION ALL SELECT 'run-1', 'metric', 'val_recall', NULL, round(recall, 6) FROM m
+UNION ALL SELECT 'run-1', 'metric', 'val_f1', NULL,
+       round(CASE WHEN precision + recall = 0 THEN 0E0 ELSE 2E0 * precision * recall / (precision + recall) END, 6)
+       FROM m
+UNION ALL SELECT 'run-1', 'metric', 'val_auc', NULL, round(auc, 6) FROM a
+"""))
 def c6(spark, sf):
     cat = Catalog(spark, work_dir(spark, "catalog"))
     cat.log_run("run-1", {"model_type": "scorecard", "cutoff": spec.APPROVAL_CUTOFF}, _scorecard_metrics(spark, sf))
-    return cat.read("runs").select("run_id", "kind", "key", "value")
+    runs = cat.read("runs")
+    metric = F.col("kind") == "metric"
+    return runs.select("run_id", "kind", "key", F.when(~metric, F.col("value")).alias("text_value"),
+                       F.when(metric, F.round(F.col("value").cast("double"), 6)).alias("num_value"))
 
 
 @register("C7_register_model")

@@ -30,7 +30,7 @@ def features(spark, sf):
 
 # --- selection ------------------------------------------------------------------
 
-@register("P9_required_columns")
+@register("P9_required_columns", with_base("SELECT * FROM features"))
 def p9(spark, sf):
     f = features(spark, sf)
     return require_columns(f, spec.NUMERICAL_FEATURES + spec.CATEGORICAL_FEATURES + spec.BOOLEAN_FEATURES)

@@ -15,7 +15,8 @@ from ..session import work_dir
 from ..sources.readers import (RAW_SCHEMA, load_csv, load_train_val, read_documents, write,
                                write_documents, write_processed, write_splits)
 from .oracle_sql import with_base
-from .q_prep import LEHMER_SPLIT_SQL, PROCESSED_SQL
+from .q_catalog import _schema_rows_sql
+from .q_prep import LEHMER_SPLIT_SQL, PROCESSED_SQL, QUOTAS_SQL
 from .registry import register
 
 CSV_SCHEMA = T.StructType([T.StructField(f.name, T.TimestampNTZType() if f.name == spec.TS else f.dataType)
@@ -29,14 +30,19 @@ def s1(spark, sf):
     return load_csv(spark, path, CSV_SCHEMA)
 
 
-@register("S2_train_val_resolution")
+# Only a training set is present, so the validation half is derived by F6;
+# per-class counts of the two halves are fixed by the quotas (hash-free).
+@register("S2_train_val_resolution", with_base(QUOTAS_SQL + """
+SELECT 'train' AS split, label AS loan_approved, train_c AS n FROM quotas
+UNION ALL SELECT 'val', label, test_c FROM quotas
+"""))
 def s2(spark, sf):
     root = work_dir(spark, "training-root")
     processed, _ = preprocess(applications(spark, sf))
     write(processed, f"{root}/train")          # no validation set present
     train, val, _ = load_train_val(spark, root)
-    return train.select(spec.KEY, F.lit("train").alias("split")).unionByName(
-        val.select(spec.KEY, F.lit("val").alias("split")))
+    both = train.withColumn("split", F.lit("train")).unionByName(val.withColumn("split", F.lit("val")))
+    return both.groupBy("split", spec.TARGET).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _processed_rounded(df):
@@ -66,7 +72,14 @@ DOC_SCHEMA = T.StructType([
 ])
 
 
-@register("S6_metadata_documents")
+@register("S6_metadata_documents", with_base(f"""
+, fs AS ({_schema_rows_sql()})
+SELECT 'loan-approval-features' AS name, CAST(1 AS BIGINT) AS version, 'created_with_schema' AS status,
+       CAST((SELECT count(*) FROM fs) AS BIGINT) AS total_features,
+       CAST((SELECT count(*) FROM features) AS BIGINT) AS sample_count,
+       feature, type, 'Feature: ' || feature AS description, nullable
+FROM fs
+"""))
 def s6(spark, sf):
     from ..functions.features import build_features
     cat = Catalog(spark, work_dir(spark, "catalog"))
@@ -82,7 +95,11 @@ def s6(spark, sf):
         F.col("f.nullable").alias("nullable"))
 
 
-@register("S9_publish_dataset")
+@register("S9_publish_dataset", with_base("""
+SELECT 2 AS version, application_id FROM features
+UNION ALL
+SELECT 1, application_id FROM features WHERE application_ts < TIMESTAMP '1998-01-01 00:00:00'
+"""))
 def s9(spark, sf):
     from ..functions.features import build_features
     cat = Catalog(spark, work_dir(spark, "catalog"))

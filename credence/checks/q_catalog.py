@@ -222,7 +222,7 @@ def _scorecard_metrics(spark, sf):
                                                                      F.col("auc").alias("value")))
 
 
-@register("C6_log_run", with_base(SCORED_SQL + """
+C6_ORACLE = with_base(SCORED_SQL + """
 , c AS (SELECT CAST(count(*) AS DOUBLE) AS n,
                CAST(sum(CASE WHEN loan_approved = pred THEN 1 ELSE 0 END) AS DOUBLE) AS correct,
                CAST(sum(CASE WHEN loan_approved = 1 AND pred = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS tp,
@@ -245,7 +245,10 @@ UNION ALL SELECT 'run-1', 'metric', 'val_f1', NULL,
        round(CASE WHEN precision + recall = 0 THEN 0E0 ELSE 2E0 * precision * recall / (precision + recall) END, 6)
        FROM m
 UNION ALL SELECT 'run-1', 'metric', 'val_auc', NULL, round(auc, 6) FROM a
-"""))
+""")
+
+
+@register("C6_log_run", C6_ORACLE)
 def c6(spark, sf):
     cat = Catalog(spark, work_dir(spark, "catalog"))
     cat.log_run("run-1", {"model_type": "scorecard", "cutoff": spec.APPROVAL_CUTOFF}, _scorecard_metrics(spark, sf))
@@ -255,7 +258,26 @@ def c6(spark, sf):
                        F.when(metric, F.round(F.col("value").cast("double"), 6)).alias("num_value"))
 
 
-@register("C7_register_model")
+C7_METRICS_SQL = """
+UNION ALL SELECT v, 'metric_val_accuracy', NULL, round(accuracy, 6) FROM m, vs
+UNION ALL SELECT v, 'metric_val_precision', NULL, round(precision, 6) FROM m, vs
+UNION ALL SELECT v, 'metric_val_recall', NULL, round(recall, 6) FROM m, vs
+UNION ALL SELECT v, 'metric_val_f1', NULL,
+       round(CASE WHEN precision + recall = 0 THEN 0E0 ELSE 2E0 * precision * recall / (precision + recall) END, 6)
+       FROM m, vs
+UNION ALL SELECT v, 'metric_val_auc', NULL, round(auc, 6) FROM a, vs
+"""
+
+
+@register("C7_register_model", C6_ORACLE.split("SELECT 'run-1' AS run_id")[0] + """,
+vs AS (SELECT 1 AS v UNION ALL SELECT 2),
+t AS (SELECT 1 AS v, 'model_type' AS key, 'scorecard' AS text_value, CAST(NULL AS DOUBLE) AS num_value
+      UNION ALL SELECT 1, 'environment', 'dev', NULL
+      UNION ALL SELECT 2, 'model_type', 'scorecard', NULL
+      UNION ALL SELECT 2, 'environment', 'prod', NULL
+      UNION ALL SELECT 2, 'stage', 'Production', NULL""" + C7_METRICS_SQL + """)
+SELECT 'loan-approval-model' AS name, CAST(v AS BIGINT) AS version, key, text_value, num_value FROM t
+""")
 def c7(spark, sf):
     cat = Catalog(spark, work_dir(spark, "catalog"))
     metrics = _scorecard_metrics(spark, sf)
@@ -264,5 +286,7 @@ def c7(spark, sf):
                            tags={"model_type": "scorecard", "environment": "dev"},
                            properties={"model_format": "spark-ml"}, training_job="local_training")
     cat.add_model_tags("loan-approval-model", 2, {"stage": "Production", "environment": "prod"})
-    mv = cat.model_versions()
-    return mv.select("name", "version", F.explode("tags").alias("key", "value"))
+    tags = cat.model_versions().select("name", "version", F.explode("tags").alias("key", "value"))
+    metric = F.col("key").startswith("metric_")
+    return tags.select("name", "version", "key", F.when(~metric, F.col("value")).alias("text_value"),
+                       F.when(metric, F.round(F.col("value").cast("double"), 6)).alias("num_value"))

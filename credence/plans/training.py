@@ -58,6 +58,11 @@ def train(train_df: DataFrame, model_type: str = "random_forest",
     cols = list(features) + [spec.TARGET]
     data = train_df.select(*cols).where(F.col(spec.TARGET).isNotNull()) \
         .withColumn(spec.TARGET, F.col(spec.TARGET).cast("double"))
+    # iterative fits run one task per partition per pass: give every core one
+    # (a no-op on a cluster, where input partitions far outnumber cores)
+    cores = data.sparkSession.sparkContext.defaultParallelism
+    if data.rdd.getNumPartitions() < cores:
+        data = data.repartition(cores)
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n = data.count() if model_type == "logistic_regression" else None

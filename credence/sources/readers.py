@@ -92,6 +92,27 @@ def load_train_val(spark: SparkSession, root: str, fmt: str = "parquet", test_si
     return train, val, {"train_path": tp, "val_path": vp}
 
 
+def training_sets(spark: SparkSession, root: str, raw_path: str | None = None, raw_fmt: str = "csv",
+                  test_size: float = spec.TEST_SIZE, seed: int = spec.SEED) -> tuple[DataFrame, DataFrame, dict]:
+    """S2 with its fallback: processed sets under ``root`` are reused when
+    present; otherwise the raw data is preprocessed (F5), split (F6) and
+    written as processed sets (S3) first, then read back."""
+    try:
+        return load_train_val(spark, root, "parquet", test_size, seed)
+    except FileNotFoundError:
+        if raw_path is None:
+            raise
+    from ..plans.preprocess import preprocess
+
+    raw = load_csv(spark, raw_path) if raw_fmt == "csv" else read(spark, raw_path, raw_fmt)
+    processed, _ = preprocess(raw)
+    s = stratified_split(processed, spec.TARGET, spec.KEY, test_size, seed)
+    out = f"{root.rstrip('/')}/processed_data"
+    write(s.where(F.col("split") == "train").drop("split"), f"{out}/train_processed")
+    write(s.where(F.col("split") == "test").drop("split"), f"{out}/val_processed")
+    return load_train_val(spark, root, "parquet", test_size, seed)
+
+
 def label_last(df: DataFrame, label: str = spec.TARGET) -> DataFrame:
     return df.select(*[c for c in df.columns if c != label], label) if label in df.columns else df
 

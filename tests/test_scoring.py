@@ -78,3 +78,17 @@ def test_batch_equals_stream(spark, sf):
     assert stream.count() == batch.count() == payloads.count() + 2
     assert stream.select(*cols).exceptAll(batch.select(*cols)).count() == 0
     assert batch.select(*cols).exceptAll(stream.select(*cols)).count() == 0
+
+
+def test_training_sets_fallback_runs_preprocess(spark, sf):
+    from credence.sources.readers import training_sets, write
+
+    root = work_dir(spark, "t-root")
+    raw_path = work_dir(spark, "t-raw")
+    write(applications(spark, sf), raw_path, "csv")
+    tr, va, info = training_sets(spark, root, raw_path)
+    assert info["train_path"].endswith("processed_data/train_processed")
+    assert info["val_path"].endswith("processed_data/val_processed")
+    assert tr.count() + va.count() == applications(spark, sf).count()
+    again, _, info2 = training_sets(spark, root)          # now reused, no raw data needed
+    assert info2["train_path"] == info["train_path"] and again.count() == tr.count()

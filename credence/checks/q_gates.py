@@ -16,7 +16,7 @@ from ..operators.metrics import binary_metrics, roc_auc
 from ..operators.select import (align_to_model, require_columns, select_features,
                                 split_features_label, time_range)
 from ..operators.split import stratified_split
-from ..session import work_dir
+from ..session import materialize, work_dir
 from .oracle_sql import CATS, FLAGS, NUMS, with_base
 from .q_metrics import SCORED_SQL, scored
 from .q_prep import LEHMER_SPLIT_SQL
@@ -178,7 +178,8 @@ def _val_metrics(spark, sf):
     f = features(spark, sf).select(spec.KEY, F.col("high_income").cast("int").alias("hi_pred"))
     split = stratified_split(applications(spark, sf).select(spec.KEY, spec.TARGET), spec.TARGET, spec.KEY,
                              spec.TEST_SIZE, spec.SEED, method="lehmer")
-    val = split.where(F.col("split") == "test").select(spec.KEY).join(s, spec.KEY).join(f, spec.KEY)
+    # the validation rows feed several metric plans: cut their lineage once
+    val = materialize(split.where(F.col("split") == "test").select(spec.KEY).join(s, spec.KEY).join(f, spec.KEY))
     out = []
     for name, pred, prob in CANDIDATES:
         m = binary_metrics(val, spec.TARGET, pred)

@@ -23,7 +23,7 @@ from ..session import work_dir
 from ..sources.payloads import (ERROR_PREFIX, REQUIRED_KEYS, parse_payloads, parse_split_payloads,
                                 records_to_payloads, records_to_split_payloads)
 from ..sources.readers import write_processed
-from .oracle_sql import with_base
+from .oracle_sql import MODEL_ORDER, prep_ctes, with_base
 from .registry import register
 
 RAW_FIELDS = spec.RAW_COLUMNS
@@ -132,12 +132,15 @@ def l3(spark, sf):
                  .alias("max_probability_diff"))
 
 
-@register("L4_feature_vector")
+@register("L4_feature_vector", with_base(prep_ctes() + " UNION ALL ".join(
+    f"SELECT application_id, {i} AS position, round(CAST({c} AS DOUBLE), 6) AS value FROM enc"
+    for i, c in enumerate(MODEL_ORDER))))
 def l4(spark, sf):
     processed, _ = preprocess(applications(spark, sf))
     from pyspark.ml.functions import vector_to_array
     v = assembler().transform(processed)
-    return v.select(spec.KEY, vector_to_array("features").alias("features"), spec.TARGET)
+    return v.select(spec.KEY, F.posexplode(vector_to_array("features")).alias("position", "value")).select(
+        spec.KEY, "position", r6("value").alias("value"))
 
 
 @register("L5_batch_predict")

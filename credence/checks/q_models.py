@@ -43,9 +43,6 @@ def payload_table(spark, sf):
     return own.unionByName(ev).unionByName(pg)
 
 
-_NULLS = ", ".join(f"NULL AS {c}" if i else f"CAST(NULL AS DOUBLE) AS {c}" for i, c in enumerate(RAW_FIELDS))
-
-
 @register("S4_parse_payloads", with_base(f"""
 , recs AS (SELECT *, application_id // 2 AS g FROM applications)
 SELECT CASE WHEN g % 3 = 0 THEN CAST(g AS VARCHAR) || '-' || CAST(application_id AS VARCHAR)

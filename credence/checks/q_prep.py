@@ -16,7 +16,7 @@ from ..operators.split import stratified_split
 from ..plans.preprocess import feature_info_frame, preprocess
 from ..session import materialize, work_dir
 from ..sources.params import load_params, save_params
-from .oracle_sql import CATS, FLAGS, MODEL_ORDER, NUMS, prep_ctes, with_base
+from .oracle_sql import CATS, MODEL_ORDER, NUMS, prep_ctes, with_base
 from .registry import register
 
 R6 = 6
@@ -205,5 +205,3 @@ def p16(spark, sf):
     va = s.where(F.col("split") == "test")
     return mask_unseen(va, d, spec.CATEGORICAL_FEATURES).select(spec.KEY, *spec.CATEGORICAL_FEATURES)
 
-
-_ = (CATS, FLAGS)

@@ -87,7 +87,7 @@ def running_totals(df: DataFrame, group_cols: Sequence[str], order_col: str,
 
 def exact_percentiles(long_df: DataFrame, group_cols, value_col: str,
                       percentages: Sequence[float], names: Sequence[str] | None = None,
-                      buckets: int | None = None) -> DataFrame:
+                      buckets: int | None = None, weight_col: str | None = None) -> DataFrame:
     """Exact linear-interpolated percentiles (``percentile`` / pandas
     ``quantile`` / DuckDB ``quantile_cont``) of ``value_col`` per group,
     NULL and NaN ignored. Returns one row per group that has values, with one
@@ -97,12 +97,16 @@ def exact_percentiles(long_df: DataFrame, group_cols, value_col: str,
     ``SMALL_GROUP_KEYS`` distinct values is finished by the built-in
     ``percentile`` with frequencies (its buffer holds those few distinct
     values); a larger group goes through bucketed running totals, so no task
-    ever holds a whole large group."""
+    ever holds a whole large group. ``weight_col`` marks ``long_df`` as
+    already counted: one row per (group, value) with its row count."""
     group_cols = [group_cols] if isinstance(group_cols, str) else list(group_cols)
     names = list(names or [f"p{int(round(p * 100))}" for p in percentages])
     v = F.col(value_col)
-    counts = (long_df.where(v.isNotNull() & ~F.isnan(v.cast("double")))
-              .groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("_w")))
+    valid = long_df.where(v.isNotNull() & ~F.isnan(v.cast("double")))
+    if weight_col is None:
+        counts = valid.groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("_w"))
+    else:
+        counts = valid.select(*group_cols, value_col, F.col(weight_col).cast("long").alias("_w"))
     totals = counts.groupBy(*group_cols).agg(F.sum("_w").alias("_n"), F.count(F.lit(1)).alias("_keys"))
     is_small = F.col("_keys") <= F.lit(SMALL_GROUP_KEYS)
     tagged = counts.join(totals, group_cols, "inner")

@@ -31,6 +31,11 @@ def fit_dictionaries(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     (values must already be strings, missing mapped to 'unknown')."""
     distinct = stack_columns(df, cols, "feature", "category", "string") \
         .where(F.col("category").isNotNull()).distinct()
+    return dictionary_from_distinct(distinct)
+
+
+def dictionary_from_distinct(distinct: DataFrame) -> DataFrame:
+    """F3 from one row per distinct ``(feature, category)``."""
     w = Window.partitionBy("feature").orderBy("category")
     seen = distinct.select("feature", "category", (F.row_number().over(w) - 1).cast("long").alias("code"))
     # unknown appended where absent: code = number of distinct values

@@ -12,14 +12,17 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import spec
 from ..functions.columns import categorical_str
 from ..functions.features import build_features
-from ..operators.encode import Dictionary, encode, fit_dictionaries
+from ..operators.cumulative import exact_percentiles
+from ..operators.encode import Dictionary, dictionary_from_distinct, encode, fit_dictionaries
 from ..operators.impute import fit_medians, impute
 from ..operators.scale import fit_scaler, standardize
+from ..session import materialize
 
 
 def feature_info(extra_features: list[str] | None = None) -> dict:
@@ -80,11 +83,54 @@ def output_order(df: DataFrame) -> list[str]:
 
 
 def fit_params(featured: DataFrame, median_method: str = "exact") -> PrepParams:
-    """Fit medians, scaler and dictionaries on a feature-built frame."""
-    med = fit_medians(featured, spec.NUMERICAL_FEATURES, median_method)
-    imputed = _categoricals_to_str(impute(featured, med))
-    scaler = fit_scaler(imputed, spec.NUMERICAL_FEATURES)
-    dictionary = Dictionary(fit_dictionaries(imputed, spec.CATEGORICAL_FEATURES))
+    """Fit medians, scaler and dictionaries on a feature-built frame.
+
+    One scan: every numeric and categorical column is stacked and counted
+    per distinct ``(feature, value)``; that table (distinct values, far
+    smaller than the data) is checkpointed and feeds all three fits:
+    medians by weighted exact percentiles, the scaler as weighted moments of
+    the imputed values (shifted by the median for numerical stability), and
+    the dictionaries from the distinct categories."""
+    if median_method != "exact":
+        med = fit_medians(featured, spec.NUMERICAL_FEATURES, median_method)
+        imputed = _categoricals_to_str(impute(featured, med))
+        scaler = fit_scaler(imputed, spec.NUMERICAL_FEATURES)
+        dictionary = Dictionary(fit_dictionaries(imputed, spec.CATEGORICAL_FEATURES))
+        return PrepParams(med, scaler, dictionary)
+
+    entries = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("num"),
+                        F.lit(None).cast("string").alias("cat")) for c in spec.NUMERICAL_FEATURES]
+    entries += [F.struct(F.lit(c).alias("feature"), F.lit(None).cast("double").alias("num"),
+                         categorical_str(c).alias("cat")) for c in spec.CATEGORICAL_FEATURES]
+    long = featured.select(F.explode(F.array(*entries)).alias("s")).select("s.*")
+    counts = materialize(long.groupBy("feature", "num", "cat").agg(F.count(F.lit(1)).alias("w")))
+
+    numeric = counts.where(F.col("cat").isNull())
+    found = {r["feature"]: r["median"] for r in exact_percentiles(
+        numeric, "feature", "num", [0.5], ["median"], weight_col="w").collect()}
+    med = {c: found.get(c) for c in spec.NUMERICAL_FEATURES}
+
+    known = {c: v for c, v in med.items() if v is not None}
+    center = F.create_map(*[x for c, v in known.items() for x in (F.lit(c), F.lit(float(v)))]) \
+        if known else F.create_map().cast("map<string,double>")
+    d = F.col("num") - F.try_element_at(center, F.col("feature"))   # imputed rows contribute d = 0
+    w = F.col("w").cast("double")
+    moments = numeric.groupBy("feature").agg(
+        F.sum(w).alias("n"), F.sum(w * d).alias("s1"), F.sum(w * d * d).alias("s2")).collect()
+    scaler = {}
+    for r in moments:
+        m = med.get(r["feature"])
+        if m is None or r["s1"] is None:
+            scaler[r["feature"]] = (None, 1.0)
+            continue
+        mean_d = r["s1"] / r["n"]
+        var = max(r["s2"] / r["n"] - mean_d * mean_d, 0.0)
+        std = var ** 0.5
+        scaler[r["feature"]] = (m + mean_d, 1.0 if std == 0.0 else std)
+    scaler = {c: scaler.get(c, (None, 1.0)) for c in spec.NUMERICAL_FEATURES}
+
+    categories = counts.where(F.col("cat").isNotNull()).select("feature", F.col("cat").alias("category"))
+    dictionary = Dictionary(dictionary_from_distinct(categories))
     return PrepParams(med, scaler, dictionary)
 
 

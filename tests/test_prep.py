@@ -124,3 +124,22 @@ def test_group_impute_window_path_equals_exact_path(spark):
     forced = sorted(tuple(r) for r in impute_by_group(df, ["g"], ["x"], size_col="n", small_rows=0).collect())
     assert fast == exact == forced
     assert ("a", 2.5, 3) in fast and ("b", 0.0, 1) in fast and ("c", 2.0, 2) in fast
+
+
+def test_fit_scope_and_approx_options(spark, sf):
+    from credence import spec
+    from credence.fixtures import applications
+    from credence.operators.profile import missing_profile
+    from credence.plans.preprocess import preprocess
+
+    apps = applications(spark, sf).withColumn("tr", F.col(spec.KEY) % 5 != 0)
+    full, p_all = preprocess(apps.drop("tr"))
+    part, p_tr = preprocess(apps, fit_rows=F.col("tr"))
+    assert part.count() == full.count() == apps.count()
+    assert p_all.scaler["income"] != p_tr.scaler["income"]
+    _, p_apx = preprocess(apps.drop("tr"), median_method="approx")
+    for c in spec.RAW_NUMERIC:
+        assert abs(p_apx.medians[c] - p_all.medians[c]) <= 0.02 * abs(p_all.medians[c]) + 1e-9
+    exact = {r["column"]: r["distinct_count"] for r in missing_profile(apps).collect()}
+    approx = {r["column"]: r["distinct_count"] for r in missing_profile(apps, distinct="approx").collect()}
+    assert all(abs(approx[c] - exact[c]) <= 0.05 * exact[c] + 1 for c in exact)

@@ -24,10 +24,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+from .cumulative import running_totals
+
 
 _P31 = 2147483647  # 2^31 - 1
 _MINSTD = 48271
 BUCKET_BITS = 16
+# a straddling group of copies up to this size is ranked by one window task
+STRADDLE_WINDOW_ROWS = 100_000
 
 
 def order_hash(key: str, seed: int, method: str = "xxhash64") -> Column:
@@ -79,10 +84,23 @@ def class_quotas(df: DataFrame, label: str, test_size: float, counts: DataFrame
 def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2,
                      seed: int = 42, method: str = "xxhash64",
                      split_col: str = "split", names=("train", "test")) -> DataFrame:
-    """Adds ``split_col`` with ``names[0]`` (train) or ``names[1]`` (test)."""
+    """Adds ``split_col`` with ``names[0]`` (train) or ``names[1]`` (test).
+
+    Order within a class: a seeded hash, then a row id. With ``xxhash64``
+    the hash covers the whole row (key included), so rows that share a hot
+    key still spread over all buckets; ``lehmer`` hashes the key alone (the
+    SQL-reproducible order for unique keys). Exact copies share a hash: in
+    the boundary bucket they collapse to one (hash, multiplicity) group, and
+    only the single group that straddles the quota is ranked, by row id,
+    through the bucketed running totals. No window ever sees a hot group."""
     train_name, test_name = names
-    h = df.withColumn("_h", order_hash(key, seed, method))
-    h = h.withColumn("_b", _bucket(F.col("_h"), method))
+    cols = df.columns
+    if method == "xxhash64":
+        g = F.xxhash64(*[F.col(c) for c in cols], F.lit(int(seed)))
+    else:
+        g = order_hash(key, seed, method)
+    h = df.withColumn("_h", g).withColumn("_b", _bucket(F.col("_h"), method)) \
+        .withColumn("_mid", F.monotonically_increasing_id())
 
     hist = h.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     quotas = class_quotas(df, label, test_size,
@@ -96,19 +114,42 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2
                 .agg(F.min(F.struct("_b", (F.col("test_c") - (F.col("_cum") - F.col("_cnt"))).alias("need")))
                      .alias("s"))
                 .select(label, F.col("s._b").alias("_bstar"), F.col("s.need").alias("_need")))
-    # classes whose test quota is the whole class have no boundary (all test)
-    # one row per class; AQE broadcasts it after measuring its size
-    table = _join_ns(quotas.select(label), boundary, label, "left")
+    # One row per class (a class whose test quota is the whole class has no
+    # boundary: all test). Materialized once, so the histogram scan is not
+    # repeated by each branch below; AQE broadcasts it after measuring it.
+    table = materialize(_join_ns(quotas.select(label), boundary, label, "left"))
 
     tagged = _join_ns(h, table, label, "left")
     b, bstar = F.col("_b"), F.col("_bstar")
     decided = tagged.where(bstar.isNull() | (b != bstar)).withColumn(
         split_col, F.when(bstar.isNull() | (b < bstar), F.lit(test_name)).otherwise(F.lit(train_name)))
-    edge = tagged.where(b == bstar)
-    # keys are expected to be unique; a hash of the whole row still makes the
-    # order among repeated keys deterministic, so a recomputed task agrees
-    w_edge = Window.partitionBy(label).orderBy("_h", key, F.xxhash64(*[F.col(c) for c in df.columns]))
-    edge = edge.withColumn(split_col, F.when(F.row_number().over(w_edge) <= F.col("_need"), F.lit(test_name))
-                           .otherwise(F.lit(train_name)))
-    cols = df.columns + [split_col]
-    return decided.select(*cols).unionByName(edge.select(*cols))
+
+    # boundary bucket (about n_c / 65,536 rows per class; more only when rows
+    # repeat): materialized once, the steps below read it, not the input
+    edge = materialize(tagged.where(b == bstar))
+    # level 1: distinct hashes with their multiplicity
+    groups = edge.groupBy(label, "_h", "_need").agg(F.count(F.lit(1)).alias("_m"))
+    wg = Window.partitionBy(label).orderBy("_h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    groups = groups.withColumn("_gcum", F.sum("_m").over(wg))
+    cut = (groups.where(F.col("_gcum") > F.col("_need")).groupBy(label)
+           .agg(F.min(F.struct("_h", (F.col("_need") - (F.col("_gcum") - F.col("_m"))).alias("r"),
+                               F.col("_m").alias("m"))).alias("s"))
+           .select(label, F.col("s._h").alias("_hcut"), F.col("s.r").alias("_r"), F.col("s.m").alias("_mcut")))
+    cut = materialize(cut)
+    largest = cut.agg(F.max("_mcut")).first()[0] or 0   # one row per class
+    edge = _join_ns(edge, cut, label, "left")
+    edge_decided = edge.where(F.col("_h") != F.col("_hcut")).withColumn(
+        split_col, F.when(F.col("_h") < F.col("_hcut"), F.lit(test_name)).otherwise(F.lit(train_name)))
+
+    # level 2: the straddling group (copies of one row, possibly many) is
+    # ranked by row id with distributed running totals
+    straddle = edge.where(F.col("_h") == F.col("_hcut")).select(*cols, "_mid", "_r", F.lit(1).alias("_one"))
+    if largest > STRADDLE_WINDOW_ROWS:
+        ranked = running_totals(straddle, [label], "_mid", ["_one"])
+    else:
+        wr = Window.partitionBy(label).orderBy("_mid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ranked = straddle.withColumn("_one_cum", F.sum("_one").over(wr))
+    ranked = ranked.withColumn(split_col, F.when(F.col("_one_cum") <= F.col("_r"), F.lit(test_name))
+                               .otherwise(F.lit(train_name)))
+    out = cols + [split_col]
+    return decided.select(*out).unionByName(edge_decided.select(*out)).unionByName(ranked.select(*out))

@@ -143,3 +143,20 @@ def test_fit_scope_and_approx_options(spark, sf):
     exact = {r["column"]: r["distinct_count"] for r in missing_profile(apps).collect()}
     approx = {r["column"]: r["distinct_count"] for r in missing_profile(apps, distinct="approx").collect()}
     assert all(abs(approx[c] - exact[c]) <= 0.05 * exact[c] + 1 for c in exact)
+
+
+def test_split_exact_with_hot_key_and_copies(spark):
+    # 1,200 exact copies of one row plus 600 rows sharing a hot key, and 400 unique rows
+    rows = [(7, 1, 0.5)] * 1200 + [(9, 0, float(i)) for i in range(600)] + \
+           [(1000 + i, i % 2, float(i)) for i in range(400)]
+    df = spark.createDataFrame(rows, "k long, y int, v double").repartition(5)
+    q = {r["y"]: r["test_c"] for r in class_quotas(df, "y", 0.2).collect()}
+    s = stratified_split(df, "y", "k", 0.2, 3)
+    got = {}
+    for r in s.groupBy("y", "split").count().collect():
+        got[(r["y"], r["split"])] = r["count"]
+    assert sum(got.values()) == len(rows)
+    for y, t in q.items():
+        assert got.get((y, "test"), 0) == t
+    # the multiset of rows is preserved exactly
+    assert s.drop("split").exceptAll(df).count() == 0 and df.exceptAll(s.drop("split")).count() == 0

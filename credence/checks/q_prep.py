@@ -163,10 +163,25 @@ def f6_members(spark, sf):
     return s.select(spec.KEY, spec.TARGET, "split")
 
 
-@register("F7_feature_spec")
+def _spec_rows_sql():
+    from ..plans.preprocess import feature_info
+    info = feature_info()
+    rows = []
+    for name in ("numerical_features", "categorical_features", "boolean_features", "all_features"):
+        rows += [f"SELECT '{name}' AS list, {i} AS position, '{c}' AS feature" for i, c in enumerate(info[name])]
+    rows.append(f"SELECT 'target', 0, '{info['target']}'")
+    return " UNION ALL ".join(rows)
+
+
+@register("F7_feature_spec", _spec_rows_sql())
 def f7(spark, sf):
     _, params = preprocess(applications(spark, sf))
-    return feature_info_frame(spark, params.info)
+    info = feature_info_frame(spark, params.info)
+    lists = [F.struct(F.lit(n).alias("list"), F.col(n).alias("names"))
+             for n in ("numerical_features", "categorical_features", "boolean_features", "all_features")]
+    lists.append(F.struct(F.lit("target").alias("list"), F.array("target").alias("names")))
+    return info.select(F.explode(F.array(*lists)).alias("l")).select(
+        "l.list", F.posexplode("l.names").alias("position", "feature"))
 
 
 # --- S8: fit, write, read back --------------------------------------------------

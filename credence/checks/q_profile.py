@@ -21,6 +21,16 @@ STRING_COLS = {"home_ownership", "loan_purpose", "age_category", "income_categor
 NUMERIC_COLS = [c for c in FEATURE_COLS if c not in STRING_COLS and c != "application_ts"]
 
 
+def _dtype_of(c):
+    """pandas dtype names of the feature view's columns (the Spark types
+    bigint/int, double, string and timestamp)."""
+    if c == "application_ts":
+        return "datetime64[ns]"
+    if c in ("application_id", "loan_approved"):
+        return "int64"
+    return "object" if c in STRING_COLS else "float64"
+
+
 def r6(c):
     return F.round(c, 6)
 
@@ -61,7 +71,8 @@ def a4(spark, sf):
     return missing_profile(features(spark, sf)).select("column", "distinct_count", "distinct_reported")
 
 
-@register("A5_dtype_profile")
+@register("A5_dtype_profile", " UNION ALL ".join(
+    f"SELECT '{c}' AS column, '{_dtype_of(c)}' AS dtype" for c in FEATURE_COLS))
 def a5(spark, sf):
     return missing_profile(features(spark, sf), distinct=False).select("column", "dtype")
 

@@ -24,6 +24,7 @@ from ..sources.payloads import (ERROR_PREFIX, REQUIRED_KEYS, parse_payloads, par
                                 records_to_payloads, records_to_split_payloads)
 from ..sources.readers import write_processed
 from .oracle_sql import MODEL_ORDER, prep_ctes, with_base
+from .q_prep import QUOTAS_SQL
 from .registry import register
 
 RAW_FIELDS = spec.RAW_COLUMNS
@@ -114,7 +115,11 @@ def l2(spark, sf):
     return _metrics(spark, sf, "logistic_regression")
 
 
-@register("L3_model_roundtrip")
+# the saved-and-loaded model must reproduce every validation prediction
+@register("L3_model_roundtrip", with_base(QUOTAS_SQL + """
+SELECT CAST(sum(test_c) AS BIGINT) AS rows, CAST(sum(test_c) AS BIGINT) AS same_class,
+       0E0 AS max_probability_diff FROM quotas
+"""))
 def l3(spark, sf):
     model, _, _, va = context(spark, sf, "logistic_regression")
     path = work_dir(spark, "model")
@@ -160,7 +165,9 @@ def l8(spark, sf):
     return _metrics(spark, sf, "random_forest", "train").unionByName(_metrics(spark, sf, "random_forest", "val"))
 
 
-@register("L9_inference_gate")
+# a valid model scores the sample with no errors, a class per row and
+# probabilities in [0, 1]: the gate passes with no issues
+@register("L9_inference_gate", "SELECT 'inference' AS \"check\", TRUE AS passed, '' AS issues")
 def l9(spark, sf):
     model, params, _, _ = context(spark, sf, "random_forest")
     # the T3 sample (first five applications by key), sent as one array payload

@@ -80,20 +80,37 @@ def s5(spark, sf):
 # --- training context ------------------------------------------------------------
 
 _FITS: dict = {}
+_SETS: dict = {}
 
 
-def context(spark, sf, model_type="random_forest"):
-    """(model, params, train, val) for this process; fitted once per type."""
-    key = (sf, model_type, id(spark))
-    if key not in _FITS:
+def processed_sets(spark, sf):
+    """(params, train, val): preprocessed and split once per process, shared
+    by every model type, as the pipeline prepares its data once and then
+    trains."""
+    key = (sf, id(spark))
+    if key not in _SETS:
         processed, params = preprocess(applications(spark, sf))
-        s = stratified_split(processed, spec.TARGET, spec.KEY, spec.TEST_SIZE, spec.SEED)
+        # the split scans its input three times (histogram, boundary bucket,
+        # the rest): it reads the processed rows written once, not the
+        # preprocess plan (features, impute, scale, dictionary lookups)
+        full = work_dir(spark, "processed-full")
+        processed.write.parquet(full)
+        s = stratified_split(spark.read.parquet(full), spec.TARGET, spec.KEY, spec.TEST_SIZE, spec.SEED)
         # cut the lineage: the processed sets are written once (S3), then read
         path = work_dir(spark, "processed-sets")
         write_processed(s, path)
         s = spark.read.parquet(path)
         tr = s.where(F.col("split") == "train").drop("split")
         va = s.where(F.col("split") == "test").drop("split")
+        _SETS[key] = (params, tr, va)
+    return _SETS[key]
+
+
+def context(spark, sf, model_type="random_forest"):
+    """(model, params, train, val) for this process; fitted once per type."""
+    key = (sf, model_type, id(spark))
+    if key not in _FITS:
+        params, tr, va = processed_sets(spark, sf)
         model = train(tr, model_type)
         _FITS[key] = (model, params, tr, va)
     return _FITS[key]

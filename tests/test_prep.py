@@ -122,7 +122,9 @@ def test_group_impute_window_path_equals_exact_path(spark):
     fast = sorted(tuple(r) for r in impute_by_group(df, ["g"], ["x"], size_col="n").collect())
     exact = sorted(tuple(r) for r in impute_by_group(df, ["g"], ["x"]).collect())
     forced = sorted(tuple(r) for r in impute_by_group(df, ["g"], ["x"], size_col="n", small_rows=0).collect())
-    assert fast == exact == forced
+    window = sorted(tuple(r) for r in impute_by_group(df, ["g"], ["x"], mode="window").collect())
+    sized = sorted(tuple(r) for r in impute_by_group(df, ["g"], ["x"], size_col="n", mode="exact").collect())
+    assert fast == exact == forced == window == sized
     assert ("a", 2.5, 3) in fast and ("b", 0.0, 1) in fast and ("c", 2.0, 2) in fast
 
 

@@ -92,3 +92,22 @@ def test_training_sets_fallback_runs_preprocess(spark, sf):
     assert tr.count() + va.count() == applications(spark, sf).count()
     again, _, info2 = training_sets(spark, root)          # now reused, no raw data needed
     assert info2["train_path"] == info["train_path"] and again.count() == tr.count()
+
+
+def test_payload_routing_by_text_length(spark, sf, monkeypatch):
+    """Short texts take the windowed median directly, long ones the size
+    check; forcing every payload down the long branch changes nothing."""
+    import credence.plans.scoring as S
+
+    model, params = _fit(spark, sf)
+    recs = applications(spark, sf).withColumn("g", F.expr(f"{spec.KEY} % 7"))
+    many = recs.groupBy("g").agg(F.to_json(F.collect_list(F.struct(*spec.RAW_COLUMNS)),
+                                           {"ignoreNullFields": "false"}).alias("payload")) \
+        .select(F.concat(F.lit("g"), F.col("g").cast("string")).alias("payload_id"), "payload")
+    payloads = _payloads(spark).unionByName(many)
+    cols = ["payload_id", "record_index", spec.TARGET, "approval_probability", "confidence", "error"]
+    default = score_payloads(model, params, payloads).select(*cols)
+    monkeypatch.setattr(S, "SMALL_PAYLOAD_RECORDS", 0)
+    forced = score_payloads(model, params, payloads).select(*cols)
+    assert default.count() == forced.count() == 10 + recs.count()
+    assert default.exceptAll(forced).count() == 0 and forced.exceptAll(default).count() == 0

@@ -25,8 +25,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import re
-from collections.abc import Callable, Iterator
+from array import array
+from collections import defaultdict
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from credence.llm.common import as_texts, shuffle_partitions
+from credence.llm.common import as_texts, shuffle_partitions, worker_kept
 
 CHUNK = 8 << 20      # characters of text in a chunk
 KNOWN = 500_000      # distinct words whose ids a task keeps at once
@@ -53,18 +56,11 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
-class Encoder:
-    """Ids of a word; every match of the pattern is encoded apart."""
+def encoder(ranks: dict[bytes, int], pattern: str):
+    """Encodes words; every match of the pattern in a word is encoded apart."""
+    import tiktoken
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
-        import tiktoken
-
-        self.cut = regex.compile(pattern)
-        self.bpe = tiktoken.Encoding("words", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={})
-
-    def ids(self, word: str) -> bytes:
-        return np.array([i for piece in self.cut.findall(word) for i in self.bpe.encode_ordinary(piece)],
-                        np.uint32).tobytes()
+    return tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
 def _packed(values: list[bytes]) -> bytes:
@@ -88,37 +84,35 @@ def _from_planes(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[tuple]:
-    """(name, document ids, words by bucket, word numbers, words per document);
-    words are numbered in the order of their buckets."""
-    docs, streams, index, size = [], [], {}, 0
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, list, list[str]]]:
+    """(name, document ids, texts) of chunks; the name is a digest of both."""
+    docs, texts, size = [], [], 0
     for batch in batches:
         for doc, text in zip(batch.column("doc_id").to_pylist(), as_texts(batch.column("text")), strict=True):
-            number = index.setdefault
-            streams.append(np.array([number(w, len(index)) for w in WORD.findall(text)], np.uint32))
             docs.append(doc)
+            texts.append(text)
             size += len(text) + 64
             if size >= CHUNK:
-                yield _chunk(docs, streams, index, buckets)
-                docs, streams, index, size = [], [], {}, 0
+                yield _name(docs, texts), docs, texts
+                docs, texts, size = [], [], 0
     if docs:
-        yield _chunk(docs, streams, index, buckets)
-
-
-def _chunk(docs: list, streams: list[np.ndarray], index: dict[str, int], buckets: int) -> tuple:
-    raw = [w.encode() for w in index]
-    own = np.array([xxhash.xxh3_64_intdigest(w) % buckets for w in raw], np.int64)
-    order = np.argsort(own, kind="stable")
-    number = np.empty(len(raw), np.uint32)
-    number[order] = np.arange(len(raw), dtype=np.uint32)
-    cuts = np.searchsorted(own[order], np.arange(buckets + 1)).tolist()
-    words = [[raw[k] for k in order[a:b]] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    flat = number[np.concatenate(streams)] if raw else np.empty(0, np.uint32)
-    lens = np.array([len(s) for s in streams], np.int64)
+        yield _name(docs, texts), docs, texts
+
+
+def _name(docs: list, texts: list[str]) -> bytes:
     name = xxhash.xxh3_128(repr(docs).encode())
-    for part in (flat.tobytes(), lens.tobytes(), b" ".join(raw)):
-        name.update(part)
-    return name.digest(), docs, words, flat, lens
+    for t in texts:
+        name.update(t.encode() + b"\0")
+    return name.digest()
+
+
+def _distinct(words: Iterable[str], buckets: int) -> list[list[bytes]]:
+    """A chunk's distinct words by bucket, in the order of their bytes."""
+    out: list[list[bytes]] = [[] for _ in range(buckets)]
+    digest = xxhash.xxh3_64_intdigest
+    for w in sorted(map(str.encode, words)):
+        out[digest(w) % buckets].append(w)
+    return out
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -127,8 +121,11 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 
 def _word_rows(buckets: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, _, words, _, _ in _chunks(batches, buckets):
-            rows = [(name, b, _packed(ws)) for b, ws in enumerate(words) if ws]
+        for name, _, texts in _chunks(batches):
+            words: set[str] = set()
+            for t in texts:
+                words.update(WORD.findall(t))
+            rows = [(name, b, _packed(ws)) for b, ws in enumerate(_distinct(words, buckets)) if ws]
             if rows:
                 yield _rows(rows)
     return run
@@ -137,10 +134,16 @@ def _word_rows(buckets: int) -> Callable:
 def _doc_rows(buckets: int) -> Callable:
     """A chunk's documents as one row, which sorts after its buckets of ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, docs, words, flat, lens in _chunks(batches, buckets):
+        for name, docs, texts in _chunks(batches):
+            index: defaultdict[str, int] = defaultdict(itertools.count().__next__)
+            streams = [np.array(list(map(index.__getitem__, WORD.findall(t))), np.uint32) for t in texts]
+            words = _distinct(index, buckets)
+            place = {w: k for k, w in enumerate(w for ws in words for w in ws)}
+            number = np.array([place[w.encode()] for w in index], np.uint32)
+            flat = number[np.concatenate(streams).astype(np.int64)] if place else np.empty(0, np.uint32)
             body = _packed([np.array([d or 0 for d in docs], np.int64).tobytes(),
-                            np.array([d is None for d in docs], np.bool_).tobytes(), lens.tobytes(), _planes(flat),
-                            *map(_packed, words)])
+                            np.array([d is None for d in docs], np.bool_).tobytes(),
+                            np.array([len(s) for s in streams], np.int64).tobytes(), _planes(flat), *map(_packed, words)])
             yield _rows([(name, buckets, body)])
     return run
 
@@ -148,27 +151,23 @@ def _doc_rows(buckets: int) -> Callable:
 def _id_rows(ranks, pattern: str) -> Callable:
     """Packed words -> packed ids; a task encodes each distinct word once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = _known_ids(Encoder(ranks.value, pattern))
+        encode = worker_kept("bpe", pattern, lambda: encoder(ranks.value, pattern)).encode_ordinary
+        known: dict[bytes, bytes] = {}
         for batch in batches:
-            bodies = [_packed(list(map(ids, _unpacked(body)))) for body in batch.column("body").to_pylist()]
+            bodies = []
+            for body in batch.column("body").to_pylist():
+                words = _unpacked(body)
+                if len(known) > KNOWN:
+                    known.clear()
+                for w in words:
+                    if w not in known:
+                        known[w] = array("I", encode(w.decode())).tobytes()
+                bodies.append(_packed(list(map(known.__getitem__, words))))
             yield pa.record_batch([batch.column("chunk"), batch.column("bucket"), pa.array(bodies, pa.binary())],
                                   schema=_ROW)
     return run
 
 
-def _known_ids(encoder: Encoder) -> Callable[[bytes], bytes]:
-    known: dict[bytes, bytes] = {}
-
-    def ids(word: bytes) -> bytes:
-        out = known.get(word)
-        if out is None:
-            if len(known) >= KNOWN:
-                known.clear()
-            known[word] = out = encoder.ids(word.decode())
-        return out
-    return ids
-
-
 def _gathered(starts: np.ndarray, lens: np.ndarray, values: np.ndarray) -> np.ndarray:
     """values[s : s + n] of each (s, n), one after another."""
     total = int(lens.sum())
@@ -181,7 +180,6 @@ def _gathered(starts: np.ndarray, lens: np.ndarray, values: np.ndarray) -> np.nd
 def _reassembled(buckets: int, ranks, pattern: str, finish: Callable[[np.ndarray], tuple], schema: pa.Schema) -> Callable:
     """Sorted rows of whole chunks -> ``finish(ids)`` of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
         of, parts = None, {}
         for batch in batches:
             for name, bucket, body in zip(*(batch.column(c).to_pylist() for c in _ROW.names), strict=True):
@@ -196,10 +194,9 @@ def _reassembled(buckets: int, ranks, pattern: str, finish: Callable[[np.ndarray
                     if b in parts:
                         known += _unpacked(parts[b])
                     else:
-                        lacking = _unpacked(packed)
-                        if lacking:
-                            encoder = encoder or Encoder(ranks.value, pattern)
-                        known += [encoder.ids(w.decode()) for w in lacking]
+                        for w in _unpacked(packed):
+                            bpe = worker_kept("bpe", pattern, lambda: encoder(ranks.value, pattern))
+                            known.append(array("I", bpe.encode_ordinary(w.decode())).tobytes())
                 size = np.array([len(x) // 4 for x in known], np.int64)
                 values = np.frombuffer(b"".join(known), np.uint32)
                 starts = np.cumsum(size) - size

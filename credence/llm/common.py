@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,5 +44,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def worker_kept(name: str, key, make):
+    """``make()``, kept for later tasks of the same Python worker: one value per
+    name, made anew when the key differs. For caches only; results never depend
+    on it."""
+    kept = sys.modules.setdefault("_credence_llm_kept", types.ModuleType("_credence_llm_kept")).__dict__
+    if name not in kept or kept[name][0] != key:
+        kept[name] = (key, make())
+    return kept[name][1]
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

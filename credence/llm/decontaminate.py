@@ -44,8 +44,10 @@ def _starts(ws: Column, length: int) -> Column:
 
 def _probes(ws: Column, length: int) -> Column:
     """All windows of one length, with their places."""
+    # single items, not slice(): inside a lambda that copies the whole array for every window
     return F.transform(_starts(ws, length), lambda at: F.struct(
-        at.alias("at"), F.lit(length).alias("length"), F.concat_ws(" ", F.slice(ws, at + 1, length)).alias("window")))
+        at.alias("at"), F.lit(length).alias("length"),
+        F.concat_ws(" ", *(F.get(ws, at + k) for k in range(length))).alias("window")))
 
 
 def benchmark_windows(items: DataFrame, size: int = SIZE, id_col: str = "item_id",

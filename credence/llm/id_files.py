@@ -35,41 +35,58 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from credence.llm.common import as_texts, stored
+from credence.llm.common import as_texts, stored, worker_kept
 from credence.session import work_dir
 
 BLOCK = 1 << 16
 END_ID = 2
-KNOWN = 300_000
+KNOWN = 800_000
 MAGIC = b"PLN1"
 
 
 class WordEncoder:
     """Ids of whole texts by the tokenizers library. The tokenizer drops white
     space between words, so each distinct word is encoded once while it is
-    remembered."""
+    remembered, many in one call, parted by a special token. Marks at a word's
+    end, after a letter or digit, are tokens of their own and are encoded apart."""
+
+    TAIL = ".,;:!?"
 
     def __init__(self, text: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(text)
-        self.known: dict[str, bytes] = {}
+        self.part, self.part_id = min((t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items())
+        self.known: dict[bytes, bytes] = {}
 
     def __call__(self, texts: list[str], end_id: int = END_ID) -> list[bytes]:
-        """Ids of each text, with the end id, as 16-bit numbers if they fit."""
-        words = [t.split(" ") for t in (t.translate(_BREAKS) for t in texts)]
+        """Ids of each text, with the end id, as little-endian 32-bit numbers."""
         if len(self.known) > KNOWN:
             self.known.clear()
-        new = list({w for ws in words for w in ws if w not in self.known})
-        for at in range(0, len(new), 4096):
-            part = new[at: at + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
+        words = [t.encode().split() for t in texts]  # at ASCII white space
+        known = self.known
+        new = {w for ws in words for w in ws if w not in known}
+        cut = {}
+        for w in new:
+            word = w.decode()
+            core = word.rstrip(self.TAIL)
+            cut[w] = (core, word[len(core):]) if core and core[-1].isalnum() else (word, "")
+        need = {p for pair in cut.values() for p in pair if p and p.encode() not in known}
+        plain = sorted(p for p in need if "<|" not in p)
+        for at in range(0, len(plain), 1000):
+            part = plain[at: at + 1000]
+            ids = np.array(self.tokenizer.encode_batch_fast([self.part.join(part)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(ids == self.part_id).tolist()
+            for p, lo, hi in zip(part, [0, *(c + 1 for c in cuts)], [*cuts, len(ids)], strict=True):
+                known[p.encode()] = ids[lo:hi].tobytes()
+        for p in need:
+            if "<|" in p:
+                known[p.encode()] = np.array(self.tokenizer.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
+        for w, (core, tail) in cut.items():
+            if tail:
+                known[w] = known[core.encode()] + known[tail.encode()]
         end = np.array([end_id], "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, ws)) + end for ws in words]
-
-
-_BREAKS = str.maketrans("\t\n\v\f\r", "     ")
+        return [b"".join(map(known.__getitem__, ws)) + end for ws in words]
 
 
 def to_planes(ids: np.ndarray, kind: int) -> list[bytes]:
@@ -177,7 +194,7 @@ def encode_ids(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordEncoder(tokenizer.value)
+        encode = worker_kept("words", tokenizer_path, lambda: WordEncoder(tokenizer.value))
         for batch in batches:
             texts, at, size = as_texts(batch.column("text")), 0, 0
             for k, t in enumerate(texts):

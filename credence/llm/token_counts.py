@@ -11,8 +11,9 @@ start of its last piece stays; a character that is no piece of its own may be
 unknown, at the least score of the vocabulary less 10, and neighbouring unknown
 characters are one token.
 
-Words are counted once per task while they are remembered (``KNOWN`` words).
-A line break, which no piece holds, parts a word, so lines don't make new words.
+Words are counted once per worker while they are remembered (about ``KNOWN``
+words). A line break, which no piece holds, parts a word, so lines don't make new
+words.
 
 Cases: null and empty texts have 0 tokens; any text is counted whole; rows may
 repeat; other columns are ignored, whatever their names. An empty table gives
@@ -21,7 +22,6 @@ no rows.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import ahocorasick
@@ -29,11 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from credence.llm.common import as_texts
+from credence.llm.common import as_texts, worker_kept
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-KNOWN = 400_000
+KNOWN = 1_000_000
 
 
 def load_vocabulary(path: str) -> list[tuple[str, float]]:
@@ -63,14 +63,31 @@ class Counter:
     def word(self, word: str) -> tuple[float, int, bool, bool]:
         """Score and pieces of the best path; whether it starts, and ends,
         with unknown characters."""
+        if not self.single.issuperset(word):
+            return self._with_unknown(word)
+        scores, counts = [0.0], [0]
+        at, top, n = 0, 0.0, 0
+        for end, (size, score) in self.pieces.iter(word):  # by end; of one end the longest, so the earliest start, first
+            start = end + 1 - size
+            if end == at:
+                total = scores[start] + score
+                if n == 0 or total > top:
+                    top, n = total, counts[start] + 1
+            else:
+                scores.append(top)
+                counts.append(n)
+                at, top, n = end, scores[start] + score, counts[start] + 1
+        return top, n, False, False
+
+    def _with_unknown(self, word: str) -> tuple[float, int, bool, bool]:
         ends: list[list] = [[] for _ in word]
         for end, match in self.pieces.iter(word):
             ends[end].append(match)
         best: list[tuple] = [(0.0, 0, False, False)]
         for e, matches in enumerate(ends):
             top = None
-            for n, score in matches:  # the longest first: earliest starts
-                at = best[e + 1 - n]
+            for size, score in matches:
+                at = best[e + 1 - size]
                 total = at[0] + score
                 if top is None or total > top[0]:
                     top = (total, at[1] + 1, at[2], False)
@@ -89,34 +106,27 @@ class Counter:
         text = text.replace(" ", MARK)
         if not text.startswith(MARK):
             text = MARK + text
-        words = text.split(MARK)[1:]
-        score, pieces = 0.0, 0
+        score, pieces, words, open_unknown, breaks = 0.0, 0, text.count(MARK), False, 0
         known = self.known
-        for w in words:
-            got = known.get(w)
-            if got is None:
-                if len(known) >= KNOWN:
-                    known.clear()
-                known[w] = got = self._lines(MARK + w)
-            score += got[0]
-            pieces += got[1]
-        return score, pieces, len(words)
-
-    def _lines(self, word: str) -> tuple[float, int]:
-        if not self.parted or "\n" not in word:
-            return self.word(word)[:2]
-        score, pieces, open_unknown = 0.0, 0, False
-        for part in re.findall(r"\n+|[^\n]+", word):
-            if part[0] == "\n":
-                score += self.unknown * len(part)
+        if len(known) > KNOWN:
+            known.clear()
+        for line in text.split("\n") if self.parted else (text,):
+            if breaks:  # a line break is one more unknown character
+                score += self.unknown
                 pieces += not open_unknown
                 open_unknown = True
-                continue
-            s, n, starts, ends = self.word(part)
-            score += s
-            pieces += n - (open_unknown and starts)
-            open_unknown = ends
-        return score, pieces
+            breaks += 1
+            first, *marked = line.split(MARK)
+            for w in ([first] if first else []) + [MARK + w for w in marked]:
+                got = known.get(w)
+                if got is None:
+                    known[w] = got = self.word(w)
+                score += got[0]
+                pieces += got[1]
+                if got[2] and open_unknown and w[0] != MARK:
+                    pieces -= 1
+                open_unknown = got[3]
+        return score, pieces, words
 
 
 def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -125,7 +135,7 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_tokens", pa.int64()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(vocabulary.value)
+        counter = worker_kept("unigram", path, lambda: Counter(vocabulary.value))
         for batch in batches:
             got = [counter.text(t) for t in as_texts(batch.column("text"))]
             yield pa.record_batch([batch.column("doc_id"), pa.array([w for _, _, w in got], pa.int64()),

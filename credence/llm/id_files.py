@@ -10,9 +10,9 @@ lengths. Blocks can be read one at a time, in any order.
 Layout: b"PLN1", plane kind (1 or 8, one byte), the planes, then a zstandard
 frame of JSON (the indexes), its size as 8 bytes little-endian, b"PLN1".
 
-Writing: documents are encoded, range-partitioned by id (rows that share an id
-are spread by a hash of their ids, so one id can't fill a task), sorted, and
-each partition writes one file under the shared folder. A file has a name of
+Writing: documents are range-partitioned by id (rows that share an id are spread
+by a hash of their text, so one id can't fill a task) and sorted; each partition
+encodes its texts and writes one file under the shared folder. A file has a name of
 its own per attempt; only names that a finished task reports come into the
 manifest, so lost executors and repeated tasks leave no doubt what counts.
 
@@ -26,7 +26,7 @@ from __future__ import annotations
 import json
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -187,14 +187,12 @@ class Reader:
             rest = flat[n:]
 
 
-def encode_ids(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids): ids of whole texts with the end id, as binary."""
-    with open(tokenizer_path, encoding="utf-8") as f:
-        tokenizer = docs.sparkSession.sparkContext.broadcast(f.read())  # a vocabulary file: of fixed size
+def _encoding(tokenizer, key: str) -> Callable:
+    """(doc_id, text) -> (doc_id, ids): ids of whole texts with the end id."""
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = worker_kept("words", tokenizer_path, lambda: WordEncoder(tokenizer.value))
+        encode = worker_kept("words", key, lambda: WordEncoder(tokenizer.value))
         for batch in batches:
             texts, at, size = as_texts(batch.column("text")), 0, 0
             for k, t in enumerate(texts):
@@ -203,13 +201,11 @@ def encode_ids(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
                     yield pa.record_batch([batch.column("doc_id").slice(at, k + 1 - at),
                                            pa.array(encode(texts[at: k + 1]), pa.binary())], schema=schema)
                     at, size = k + 1, 0
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return docs.mapInArrow(run, "doc_id long, ids binary")
+    return run
 
 
-def write(tokens: DataFrame, folder: str, kind: int = 8) -> DataFrame:
-    """Writes (doc_id, ids) in ascending doc_id order as files of ``folder``.
-    Returns the manifest (part, path, n_ids), stored: paths in order of part."""
+def _writing(folder: str, kind: int) -> Callable:
+    """(doc_id, ids) of a task, in order -> the manifest's row of its file."""
     schema = pa.schema([("part", pa.int32()), ("path", pa.string()), ("n_ids", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,21 +217,40 @@ def write(tokens: DataFrame, folder: str, kind: int = 8) -> DataFrame:
                 if writer is None:
                     path = f"{folder}/ids-{part:06d}-{uuid.uuid4().hex[:12]}.pln"
                     fs, inner = pafs.FileSystem.from_uri(path)
-                    fs.create_dir(folder_of(inner), recursive=True)
+                    fs.create_dir(inner.rsplit("/", 1)[0], recursive=True)
                     writer = Writer(fs.open_output_stream(inner, compression=None), kind)
                 writer.add(doc, np.frombuffer(ids or b"", "<u4"))
                 n += len(ids or b"") // 4
         if writer is not None:
             writer.close()
             yield pa.record_batch([pa.array([part], pa.int32()), pa.array([path]), pa.array([n], pa.int64())], schema=schema)
-    spread = F.xxhash64("ids")
-    placed = (tokens.select("doc_id", "ids").repartitionByRange(F.col("doc_id"), spread)
-              .sortWithinPartitions(F.col("doc_id"), spread, F.col("ids")))
-    return stored(placed.mapInArrow(run, "part int, path string, n_ids long"), "manifest")
+    return run
+
+
+def _in_order(df: DataFrame, value: str) -> DataFrame:
+    """(doc_id, value) in ascending order over all tasks; rows that share an id
+    are spread by a hash of the value."""
+    spread = F.xxhash64(value)
+    return (df.select("doc_id", value).repartitionByRange(F.col("doc_id"), spread)
+            .sortWithinPartitions(F.col("doc_id"), spread, F.col(value)))
 
 
-def folder_of(path: str) -> str:
-    return path.rsplit("/", 1)[0]
+def write(tokens: DataFrame, folder: str, kind: int = 8) -> DataFrame:
+    """Writes (doc_id, ids), ids being binary, in ascending doc_id order as files
+    of ``folder``. Returns the stored manifest: part, path, n_ids."""
+    return stored(_in_order(tokens, "ids").mapInArrow(_writing(folder, kind), "part int, path string, n_ids long"), "manifest")
+
+
+def write_texts(docs: DataFrame, tokenizer_path: str, folder: str, kind: int = 8, id_col: str = "doc_id",
+                text_col: str = "text") -> DataFrame:
+    """Encodes documents and writes their ids as ``write`` does. Texts are put in
+    order first, so that each is encoded once, by the task that writes it."""
+    with open(tokenizer_path, encoding="utf-8") as f:
+        tokenizer = docs.sparkSession.sparkContext.broadcast(f.read())  # a vocabulary file: of fixed size
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    encode, save = _encoding(tokenizer, tokenizer_path), _writing(folder, kind)
+    return stored(_in_order(docs, "text").mapInArrow(lambda batches: save(encode(batches)),
+                                                     "part int, path string, n_ids long"), "manifest")
 
 
 def read(manifest: DataFrame) -> DataFrame:
@@ -266,4 +281,4 @@ def write_and_read(docs: DataFrame, tokenizer_path: str, kind: int = 8) -> DataF
     folder = work_dir(docs.sparkSession, "id-files")
     if "://" not in folder and not folder.startswith("file:"):
         folder = f"file://{folder}"
-    return read(write(encode_ids(docs, tokenizer_path), folder, kind))
+    return read(write_texts(docs, tokenizer_path, folder, kind))

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from credence.llm.common import as_bytes, worker_kept
+from credence.llm.common import as_bytes
 
 WINDOW, STRIDE = 64, 48
 WORD_DIM, CHAR_DIM, HIDDEN = 8, 8, 8
@@ -50,7 +50,7 @@ BATCH = 192
 SAMPLE = 4000
 EPOCHS = 5
 THRESHOLD = 0.3
-KNOWN = 400_000      # distinct words whose inputs a task keeps at once
+KNOWN = 200_000      # distinct words whose inputs a task keeps at once
 WORDS = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
@@ -398,7 +398,7 @@ def with_score(docs: DataFrame, weights: bytes, text_col: str = "text", score_co
     schema = docs.schema if where is not None else T.StructType([*docs.schema, T.StructField(score_col, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = worker_kept("scorer", sent.value, lambda: Scorer(Network.loaded(sent.value)))
+        scorer = Scorer(Network.loaded(sent.value))
         for batch in batches:
             s = batch_scores(scorer, as_bytes(batch.column(text_col))).astype(np.float64)
             if where is None:

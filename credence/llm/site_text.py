@@ -20,6 +20,8 @@ Only (host, path) counts are shuffled, pre-aggregated per task; a host with a
 third of all pages is many partial counts. The low-importance paths are few, and
 are broadcast only after their number is checked.
 
+A line-break element ends a block as a paragraph does.
+
 Cases: null and empty html give an empty text; broken markup is closed as far
 as it goes; a null or odd url is the host "". Rows may repeat; other columns are
 ignored, whatever their names. An empty table gives no rows.
@@ -272,7 +274,7 @@ def extract(pages: DataFrame) -> DataFrame:
            .groupBy("host").agg(F.collect_set("path").alias("low")))
     low = stored(low.select(F.col("host").alias("_host"), "low"), "low")
     p = pages.select("page_id", "url", F.col("html").cast("string").alias("html"))
-    p = p.withColumn("_host", F.coalesce(F.lower(F.parse_url(F.col("url"), F.lit("HOST"))), F.lit("")))
+    p = p.withColumn("_host", F.coalesce(F.lower(F.try_parse_url(F.col("url"), F.lit("HOST"))), F.lit("")))
     size = low.agg(F.coalesce(F.sum(F.size("low")), F.lit(0))).first()[0]
     p = p.join(F.broadcast(low) if size <= BROADCAST_PATHS else low, "_host", "left").select("page_id", "url", "html", "low")
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])

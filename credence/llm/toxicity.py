@@ -49,6 +49,7 @@ PREFIXES = 6
 BATCH = 192
 SAMPLE = 4000
 EPOCHS = 5
+MIN_STEPS = 60      # few labelled texts are gone over more often
 THRESHOLD = 0.3
 KNOWN = 200_000      # distinct words whose inputs a task keeps at once
 WORDS = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -281,7 +282,8 @@ def train(texts: list[bytes], labels: list[int], seed: int = 7, epochs: int = EP
     score = np.where(wins > 0, by_word[np.maximum(wins - 1, 0)], -9).max(1)
     moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.w.items()}
     step = 0
-    balance = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum())) * len(y)
+    balance = np.where(y == 1, 0.4 / max(1, y.sum()), 0.6 / max(1, (1 - y).sum())) * len(y)
+    epochs = max(epochs, -(-MIN_STEPS * BATCH // (len(docs) + 1)))
     for epoch in range(epochs):
         if epoch:
             projected = net.projected(net.inputs(feats))
@@ -387,7 +389,8 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> bytes:
     """Trained weights, of a fixed size. One task trains, and Spark runs it again
     if its executor is lost."""
     sample = labelled_sample(docs, labels, limit).repartition(1)
-    return bytes(sample.mapInArrow(_fit, "weights binary").first()["weights"])
+    row = sample.mapInArrow(_fit, "weights binary").first()
+    return bytes(row["weights"]) if row else train([], []).saved()
 
 
 def with_score(docs: DataFrame, weights: bytes, text_col: str = "text", score_col: str = "score",

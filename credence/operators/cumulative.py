@@ -55,10 +55,10 @@ def running_totals(df: DataFrame, group_cols: Sequence[str], order_col: str,
     if group_cols:
         sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_keys"))
         large = sizes.where(F.col("_keys") > small_group_keys).select(*group_cols)
-        bounds = df.join(large, group_cols, "left_semi").groupBy(*group_cols).agg(
+        bounds = join_groups(df, large, group_cols, "left_semi").groupBy(*group_cols).agg(
             F.percentile_approx(order_col, fracs, 10000).alias("_bounds"))
         # one small row per large group; AQE broadcasts it when its measured size allows
-        tagged = df.join(bounds, group_cols, "left")
+        tagged = join_groups(df, bounds, group_cols, "left")
     else:
         # ungrouped: the bounds are a scalar subquery, evaluated once, lazily
         bounds = df.agg(F.percentile_approx(order_col, fracs, 10000)).scalar()
@@ -76,7 +76,7 @@ def running_totals(df: DataFrame, group_cols: Sequence[str], order_col: str,
         F.coalesce(F.sum(f"{c}_part").over(w_prev), F.lit(0)).alias(f"{c}_off") for c in sum_cols])
 
     # offsets: one row per (group, bucket); bounded by buckets when ungrouped
-    joined = tagged.join(F.broadcast(offsets) if not group_cols else offsets, part_cols, "inner")
+    joined = join_groups(tagged, F.broadcast(offsets) if not group_cols else offsets, part_cols, "inner")
     w_in = Window.partitionBy(*part_cols).orderBy(order_col) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return joined.select(
@@ -85,6 +85,13 @@ def running_totals(df: DataFrame, group_cols: Sequence[str], order_col: str,
     )
 
 
+def join_groups(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
+    """Join on group columns of equal names, a NULL group being a group."""
+    r = right.select([F.col(c).alias(f"_r_{c}") if c in cols else F.col(c) for c in right.columns])
+    on = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in cols]
+    return left.join(r, on, how).drop(*[f"_r_{c}" for c in cols])
+
+
 def exact_percentiles(long_df: DataFrame, group_cols, value_col: str,
                       percentages: Sequence[float], names: Sequence[str] | None = None,
                       buckets: int | None = None, weight_col: str | None = None) -> DataFrame:
@@ -109,7 +116,7 @@ def exact_percentiles(long_df: DataFrame, group_cols, value_col: str,
         counts = valid.select(*group_cols, value_col, F.col(weight_col).cast("long").alias("_w"))
     totals = counts.groupBy(*group_cols).agg(F.sum("_w").alias("_n"), F.count(F.lit(1)).alias("_keys"))
     is_small = F.col("_keys") <= F.lit(SMALL_GROUP_KEYS)
-    tagged = counts.join(totals, group_cols, "inner")
+    tagged = join_groups(counts, totals, group_cols, "inner")
 
     small = tagged.where(is_small).groupBy(*group_cols).agg(*[
         F.percentile(F.col(value_col).cast("double"), float(p), F.col("_w")).alias(n)
@@ -129,7 +136,9 @@ def exact_percentiles(long_df: DataFrame, group_cols, value_col: str,
     out = [F.col(g) for g in group_cols]
     for name in names:
         lo_v, hi_v, f = F.col(f"{name}__lo"), F.col(f"{name}__hi"), F.col(f"{name}__f")
-        out.append((lo_v + (hi_v - lo_v) * f).cast("double").alias(name))
+        # as the built-in percentile does; lo + (hi - lo) * f would make NaN of infinities
+        between = F.when((f == 0) | (lo_v == hi_v), lo_v).otherwise(lo_v * (1 - f) + hi_v * f)
+        out.append(between.cast("double").alias(name))
     return small.unionByName(agg.select(*out))
 
 

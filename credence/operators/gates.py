@@ -216,12 +216,12 @@ def dataset_gate(catalog: DataFrame, required: Sequence[str], optional: Sequence
 # --- Q6 -------------------------------------------------------------------------
 
 def run_gates(spark: SparkSession, builders: Sequence[tuple[str, Callable[[], DataFrame]]]) -> DataFrame:
-    """Q6: build each gate; a gate whose construction raises becomes a failed
-    row carrying the error text. Returns one row per check, in order."""
+    """Q6: build and run each gate; a gate that raises becomes a failed row
+    carrying the error text. Returns one row per check, in order."""
     frames = []
     for i, (name, build) in enumerate(builders):
         try:
-            g = build()
+            g = materialize(build())  # one row; run here, so that its errors are its result too
         except Exception as e:  # noqa: BLE001 - the error is the gate's result
             g = spark.createDataFrame([(name, False, [f"{type(e).__name__}: {e}"], {})], GATE_SCHEMA)
         frames.append(g.withColumn("ordinal", F.lit(i)))

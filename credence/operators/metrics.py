@@ -26,9 +26,10 @@ def _safe(num, den):
 
 def binary_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
     """Accuracy, precision, recall, F1 of class 1; a zero denominator
-    gives 0 (scikit-learn ``zero_division`` default behaviour)."""
+    gives 0 (scikit-learn ``zero_division`` default behaviour). Rows without
+    a label or a prediction don't count, as in A10 and A13."""
     y, p = F.col(label), F.col(pred)
-    agg = df.agg(
+    agg = df.where(y.isNotNull() & p.isNotNull()).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum((y == p).cast("long")).alias("correct"),
         F.sum(((y == 1) & (p == 1)).cast("long")).alias("tp"),

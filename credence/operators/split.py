@@ -31,8 +31,6 @@ from .cumulative import running_totals
 _P31 = 2147483647  # 2^31 - 1
 _MINSTD = 48271
 BUCKET_BITS = 16
-# a straddling group of copies up to this size is ranked by one window task
-STRADDLE_WINDOW_ROWS = 100_000
 
 
 def order_hash(key: str, seed: int, method: str = "xxhash64") -> Column:
@@ -86,17 +84,17 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2
                      split_col: str = "split", names=("train", "test")) -> DataFrame:
     """Adds ``split_col`` with ``names[0]`` (train) or ``names[1]`` (test).
 
-    Order within a class: a seeded hash, then a row id. With ``xxhash64``
-    the hash covers the whole row (key included), so rows that share a hot
-    key still spread over all buckets; ``lehmer`` hashes the key alone (the
-    SQL-reproducible order for unique keys). Exact copies share a hash: in
-    the boundary bucket they collapse to one (hash, multiplicity) group, and
-    only the single group that straddles the quota is ranked, by row id,
-    through the bucketed running totals. No window ever sees a hot group."""
+    Order within a class: a seeded hash of the key, then a row id, so that
+    membership depends on the key alone, whatever the other columns hold
+    (``lehmer`` is the SQL-reproducible hash). Rows that share a key share a
+    hash: in the boundary bucket they collapse to one (hash, multiplicity)
+    group, and only the single group that straddles the quota is ranked, by
+    row id, through the bucketed running totals, in which a NULL label is a
+    class as any other. No window ever sees a hot group."""
     train_name, test_name = names
     cols = df.columns
     if method == "xxhash64":
-        g = F.xxhash64(*[F.col(c) for c in cols], F.lit(int(seed)))
+        g = F.xxhash64(F.col(key), F.lit(int(seed)))
     else:
         g = order_hash(key, seed, method)
     h = df.withColumn("_h", g).withColumn("_b", _bucket(F.col("_h"), method)) \
@@ -136,7 +134,6 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2
                                F.col("_m").alias("m"))).alias("s"))
            .select(label, F.col("s._h").alias("_hcut"), F.col("s.r").alias("_r"), F.col("s.m").alias("_mcut")))
     cut = materialize(cut)
-    largest = cut.agg(F.max("_mcut")).first()[0] or 0   # one row per class
     edge = _join_ns(edge, cut, label, "left")
     edge_decided = edge.where(F.col("_h") != F.col("_hcut")).withColumn(
         split_col, F.when(F.col("_h") < F.col("_hcut"), F.lit(test_name)).otherwise(F.lit(train_name)))
@@ -144,11 +141,7 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2
     # level 2: the straddling group (copies of one row, possibly many) is
     # ranked by row id with distributed running totals
     straddle = edge.where(F.col("_h") == F.col("_hcut")).select(*cols, "_mid", "_r", F.lit(1).alias("_one"))
-    if largest > STRADDLE_WINDOW_ROWS:
-        ranked = running_totals(straddle, [label], "_mid", ["_one"])
-    else:
-        wr = Window.partitionBy(label).orderBy("_mid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ranked = straddle.withColumn("_one_cum", F.sum("_one").over(wr))
+    ranked = running_totals(straddle, [label], "_mid", ["_one"])
     ranked = ranked.withColumn(split_col, F.when(F.col("_one_cum") <= F.col("_r"), F.lit(test_name))
                                .otherwise(F.lit(train_name)))
     out = cols + [split_col]

@@ -80,7 +80,9 @@ class Catalog:
     def read(self, table: str) -> DataFrame:
         try:
             return self.spark.read.schema(SCHEMAS[table]).parquet(self.path(table))
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":  # an unreadable table is no empty table
+                raise
             return self.spark.createDataFrame([], SCHEMAS[table])
 
     def append(self, table: str, df: DataFrame) -> None:

@@ -44,6 +44,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = os.environ.get("CREDENCE_CHECKPOINT_DIR", _LOCAL_FALLBACK)
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

@@ -162,3 +162,20 @@ def test_split_exact_with_hot_key_and_copies(spark):
         assert got.get((y, "test"), 0) == t
     # the multiset of rows is preserved exactly
     assert s.drop("split").exceptAll(df).count() == 0 and df.exceptAll(s.drop("split")).count() == 0
+
+
+def test_split_keeps_null_labels_and_depends_on_the_key_only(spark):
+    from pyspark.sql import functions as F
+
+    from credence.operators.split import stratified_split
+
+    hot = [(1, None if i % 3 == 0 else i % 3, i) for i in range(1500)]
+    rows = hot + [(10 + i, None if i % 3 == 0 else i % 3, i) for i in range(1500)]
+    df = spark.createDataFrame(rows, "k long, y int, x int")
+    out = stratified_split(df, "y", "k")
+    assert out.count() == 3000
+    shares = {r["y"]: r["n"] for r in out.where("split = 'test'").groupBy("y").agg(F.count("*").alias("n")).collect()}
+    assert sum(shares.values()) == 600 and max(shares.values()) - min(shares.values()) <= 1
+    other = stratified_split(df.withColumn("x", F.col("x") * 2.5), "y", "k")
+    single = "k >= 10"
+    assert out.where(single).select("k", "split").exceptAll(other.where(single).select("k", "split")).count() == 0

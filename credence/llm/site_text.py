@@ -5,7 +5,8 @@ an element is known by its style path (tags and classes from the root). For each
 style path of a host two entropies are taken over the pages that have it: of
 its presentation (the sequences of its children) and of its content (its own
 text). Their mean, scaled by the logarithm of the number of pages, is the path's
-importance: branches that look and read the same on every page score near 0.
+own importance, and a branch is as important as its most important node: branches
+that look and read the same on every page score near 0.
 
 Removed from a page are
 - branches that are no article by their element or their class, id or role
@@ -84,7 +85,7 @@ class Element:
                 name, value = name.lower(), (a or b or c).lower()
                 if name in ("class", "id"):
                     names += value.split()
-                    style += "." + ".".join(value.split()) if name == "class" else ""
+                    style += "." + ".".join(value.replace(">", " ").split()) if name == "class" else ""
                 elif name == "role":
                     self.role = value
             self.names = tuple(names)
@@ -263,14 +264,20 @@ def style_tree(pages: DataFrame) -> DataFrame:
     """(host, path, n, importance) of the merged trees of every host."""
     rows = stored(pages.select("url", F.col("html").cast("string").alias("html"))
                   .mapInArrow(_style_rows, "host string, path string, look long, content long"), "styles")
-    return (_entropy(rows, "look").join(_entropy(rows, "content").drop("n"), ["host", "path"])
-            .select("host", "path", "n", ((F.col("h_look") + F.col("h_content")) / 2).alias("importance")))
+    own = (_entropy(rows, "look").join(_entropy(rows, "content").drop("n"), ["host", "path"])
+           .select("host", "path", "n", ((F.col("h_look") + F.col("h_content")) / 2).alias("own")))
+    # a branch is as important as its most important node
+    steps = F.split("path", ">")
+    above = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda k: F.array_join(F.slice(steps, 1, k), ">"))
+    best = (own.select("host", F.explode(above).alias("path"), "own").groupBy("host", "path")
+            .agg(F.max("own").alias("importance")))
+    return own.join(best, ["host", "path"]).select("host", "path", "n", "importance")
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     low = (style_tree(pages).where((F.col("n") >= MIN_PAGES) & (F.col("importance") < LOW))
-           .where("path not in ('', 'html', 'html>body')")
+           .where("path not in ('', '>html', '>html>body')")
            .groupBy("host").agg(F.collect_set("path").alias("low")))
     low = stored(low.select(F.col("host").alias("_host"), "low"), "low")
     p = pages.select("page_id", "url", F.col("html").cast("string").alias("html"))

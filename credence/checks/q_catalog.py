@@ -15,7 +15,7 @@ from .. import spec
 from ..fixtures import applications, table
 from ..functions.features import build_features
 from ..functions.maps import merge_tags
-from ..plans.catalog import (Catalog, last_registered, latest_versions, list_models, resolve_versions,
+from ..plans.catalog import (Catalog, exact_versions, last_registered, latest_versions, list_models, resolve_versions,
                              select_model)
 from ..session import work_dir
 from .oracle_sql import with_base
@@ -65,10 +65,25 @@ def c8(spark, sf):
     return last_registered(registry(spark, sf)).select("name", "version", "registration_time")
 
 
+# exact versions: each part asked for under its own brand, and under the brand
+# of its size's number, which seldom has it
+@register("T2_exact_version", f"""WITH {REGISTRY_SQL},
+req AS (SELECT p_brand AS name, p_partkey AS version FROM part
+        UNION SELECT 'Brand#' || CAST(p_size AS VARCHAR), p_partkey FROM part)
+SELECT req.name, req.version, reg.id IS NOT NULL AS found, reg.id
+FROM req LEFT JOIN reg ON req.name = reg.name AND req.version = reg.version
+""")
+def t2_exact(spark, sf):
+    p = table(spark, sf, "part")
+    other = F.concat(F.lit("Brand#"), F.col("p_size").cast("string"))
+    requests = p.select(F.col("p_brand").alias("name"), F.col("p_partkey").alias("version")).union(
+        p.select(other, "p_partkey")).distinct()
+    return exact_versions(registry(spark, sf), requests)
+
+
 @register("C9_list_models", f"""WITH {REGISTRY_SQL}
-SELECT l.name, l.version, c.versions, COALESCE(l.environment, 'Unknown') AS environment,
-       COALESCE(l.model_type, 'Unknown') AS model_type
-FROM latest l JOIN (SELECT name, CAST(count(*) AS BIGINT) AS versions FROM reg GROUP BY name) c ON l.name = c.name
+SELECT name, version, registration_time, COALESCE(environment, 'Unknown') AS environment,
+       COALESCE(model_type, 'Unknown') AS model_type FROM reg
 """)
 def c9(spark, sf):
     return list_models(registry(spark, sf))
@@ -105,18 +120,23 @@ def c11(spark, sf):
 # A request per brand (explicit version for even brand numbers: the
 # smallest part key of the brand), plus one request per nation name, which
 # names no model. A previous selection exists for brands divisible by 3: the
-# newest part of size <= 25.
+# newest part of size <= 25, under a name of its own for brands divisible by 9.
+# A last registered record exists for brands divisible by 5: the oldest part.
 @register("C12_resolve_version", f"""WITH {REGISTRY_SQL},
 brands AS (SELECT p_brand AS name, CAST(split_part(p_brand, '#', 2) AS INTEGER) AS num, min(p_partkey) AS lo,
                   max(CASE WHEN p_size <= 25 THEN p_partkey END) AS sel
            FROM part GROUP BY 1, 2),
-req AS (SELECT name, CASE WHEN num % 2 = 0 THEN lo END AS version, CASE WHEN num % 3 = 0 THEN sel END AS sel
+req AS (SELECT name, CASE WHEN num % 2 = 0 THEN lo END AS version, CASE WHEN num % 3 = 0 THEN sel END AS sel,
+               CASE WHEN num % 9 = 0 THEN 'alias-' || name END AS own, CASE WHEN num % 5 = 0 THEN lo END AS last
         FROM brands
-        UNION ALL SELECT n_name, NULL, NULL FROM nation)
-SELECT req.name, COALESCE(req.version, req.sel, latest.version) AS resolved_version,
+        UNION ALL SELECT n_name, NULL, NULL, NULL, NULL FROM nation)
+SELECT req.name, CASE WHEN req.version IS NULL AND req.sel IS NOT NULL AND req.own IS NOT NULL THEN req.own
+                      WHEN COALESCE(req.version, req.sel, req.last, latest.version) IS NOT NULL THEN req.name
+                 END AS resolved_name,
+       COALESCE(req.version, req.sel, req.last, latest.version) AS resolved_version,
        CASE WHEN req.version IS NOT NULL THEN 'explicit' WHEN req.sel IS NOT NULL THEN 'selected'
-            WHEN latest.version IS NOT NULL THEN 'latest' END AS source,
-       CASE WHEN COALESCE(req.version, req.sel, latest.version) IS NULL
+            WHEN req.last IS NOT NULL THEN 'registered' WHEN latest.version IS NOT NULL THEN 'latest' END AS source,
+       CASE WHEN COALESCE(req.version, req.sel, req.last, latest.version) IS NULL
             THEN 'No models found with name ''' || req.name || '''' END AS error
 FROM req LEFT JOIN latest ON req.name = latest.name
 """)
@@ -127,8 +147,11 @@ def c12(spark, sf):
         F.min("p_partkey").alias("lo"), F.max(F.when(F.col("p_size") <= 25, F.col("p_partkey"))).alias("sel"))
     requests = brands.select("name", F.when(F.col("num") % 2 == 0, F.col("lo")).alias("version")).unionByName(
         table(spark, sf, "nation").select(F.col("n_name").alias("name"), F.lit(None).cast("long").alias("version")))
-    selected = brands.where(F.col("num") % 3 == 0).select("name", F.col("sel").alias("version"))
-    return resolve_versions(requests, registry(spark, sf), selected.where(F.col("version").isNotNull()))
+    own = F.when(F.col("num") % 9 == 0, F.concat(F.lit("alias-"), F.col("name")))
+    selected = brands.where((F.col("num") % 3 == 0) & F.col("sel").isNotNull()).select(
+        "name", own.alias("selected_name"), F.col("sel").alias("version"))
+    registered = brands.where(F.col("num") % 5 == 0).select("name", F.col("lo").alias("version"))
+    return resolve_versions(requests, registry(spark, sf), selected, registered)
 
 
 # --- feature-set catalog ----------------------------------------------------------------

@@ -171,10 +171,9 @@ def l5(spark, sf):
 
 @register("L6_score_payloads")
 def l6(spark, sf):
-    model, params, _, _ = context(spark, sf, "random_forest")
-    out = score_payloads(model, params, payload_table(spark, sf))
-    return out.select("payload_id", "record_index", spec.TARGET,
-                      r6("approval_probability").alias("approval_probability"), "confidence", "error")
+    return scored_payloads(spark, sf).select(
+        "payload_id", "record_index", spec.TARGET, r6("approval_probability").alias("approval_probability"),
+        "confidence", "error")
 
 
 @register("L8_train_evaluate")
@@ -182,16 +181,121 @@ def l8(spark, sf):
     return _metrics(spark, sf, "random_forest", "train").unionByName(_metrics(spark, sf, "random_forest", "val"))
 
 
-# a valid model scores the sample with no errors, a class per row and
-# probabilities in [0, 1]: the gate passes with no issues
-@register("L9_inference_gate", "SELECT 'inference' AS \"check\", TRUE AS passed, '' AS issues")
+def validation_payloads(spark, sf, model_type="random_forest"):
+    """The raw records of the whole validation set, two to an array payload."""
+    _, _, _, va = context(spark, sf, model_type)
+    raw = applications(spark, sf).join(va.select(spec.KEY), spec.KEY, "left_semi")
+    return records_to_payloads(raw.withColumn("g", F.expr(f"{spec.KEY} div 2")), spec.KEY, "g", F.lit(False))
+
+
+def inference_check(spark, sf, model_type="random_forest"):
+    """L9 over the whole validation set."""
+    model, params, _, _ = context(spark, sf, model_type)
+    return inference_gate(score_payloads(model, params, validation_payloads(spark, sf, model_type)))
+
+
+# a valid model scores every validation record without errors, with a class
+# per row and probabilities in [0, 1]: the gate passes with no issues
+@register("L9_inference_gate", with_base(QUOTAS_SQL + """
+SELECT 'inference' AS "check", TRUE AS passed, '' AS issues, CAST(sum(test_c) AS BIGINT) AS rows FROM quotas
+"""))
 def l9(spark, sf):
+    return inference_check(spark, sf).select(
+        "check", "passed", F.array_join("issues", " | ").alias("issues"),
+        F.try_element_at("stats", F.lit("rows")).cast("long").alias("rows"))
+
+
+# --- what SQL can say of the model queries ------------------------------------------
+
+def _outcome(out):
+    """Per scored row: is there a prediction, do class and band agree with
+    the probability."""
+    p = F.col("approval_probability")
+    band = F.when(p >= 0.8, "high").when(p >= 0.6, "medium").otherwise("low")
+    return out.select(
+        "payload_id", "record_index", p.isNotNull().alias("has_prediction"),
+        (p.between(0, 1) & (F.col(spec.TARGET) == (p > 0.5).cast("int"))).alias("class_agrees"),
+        F.when(p.isNotNull(), F.col("confidence") == band).alias("band_agrees"), "error")
+
+
+OUTCOME_SQL = with_base(f"""
+, recs AS (SELECT *, application_id // 2 AS g FROM applications)
+SELECT CASE WHEN g % 3 = 0 THEN CAST(g AS VARCHAR) || '-' || CAST(application_id AS VARCHAR)
+            ELSE CAST(g AS VARCHAR) END AS payload_id,
+       CAST(CASE WHEN g % 3 = 0 THEN 0
+                 ELSE row_number() OVER (PARTITION BY g ORDER BY application_id) - 1 END AS INTEGER) AS record_index,
+       TRUE AS has_prediction, TRUE AS class_agrees, TRUE AS band_agrees, CAST(NULL AS VARCHAR) AS error
+FROM recs
+UNION ALL
+SELECT 'e' || CAST(event_id AS VARCHAR), NULL, FALSE, NULL, NULL,
+       '{ERROR_PREFIX}missing columns {", ".join(REQUIRED_KEYS)}' FROM events
+UNION ALL
+SELECT 'p' || CAST(page_id AS VARCHAR), NULL, FALSE, NULL, NULL, '{ERROR_PREFIX}malformed JSON payload' FROM pages
+""")
+
+
+def scored_payloads(spark, sf):
     model, params, _, _ = context(spark, sf, "random_forest")
-    # the T3 sample (first five applications by key), sent as one array payload
-    sample = applications(spark, sf).orderBy(spec.KEY).limit(5).withColumn("g", F.lit(0))
-    payloads = records_to_payloads(sample, spec.KEY, "g", F.lit(False))
-    g = inference_gate(score_payloads(model, params, payloads))
-    return g.select("check", "passed", F.array_join("issues", " | ").alias("issues"))
+    return score_payloads(model, params, payload_table(spark, sf))
+
+
+@register("L6_score_outcomes", OUTCOME_SQL)
+def l6_outcomes(spark, sf):
+    return _outcome(scored_payloads(spark, sf))
+
+
+@register("L7_stream_outcomes", OUTCOME_SQL)
+def l7_outcomes(spark, sf):
+    return _outcome(streamed_payloads(spark, sf))
+
+
+# the medians that L6 fills in: those of each payload's own records
+@register("L6_payload_fills", with_base(f"""
+, recs AS (SELECT *, application_id // 2 AS g FROM applications),
+m AS (SELECT g, count(*) AS n, {", ".join(f"median({c}) AS m_{c}" for c in spec.RAW_NUMERIC)} FROM recs GROUP BY g)
+SELECT CASE WHEN m.g % 3 = 0 THEN CAST(m.g AS VARCHAR) || '-' || CAST(application_id AS VARCHAR)
+            ELSE CAST(m.g AS VARCHAR) END AS payload_id,
+       CAST(CASE WHEN m.g % 3 = 0 THEN 0
+                 ELSE row_number() OVER (PARTITION BY m.g ORDER BY application_id) - 1 END AS INTEGER) AS record_index,
+       {", ".join(f"round(COALESCE({c}, CASE WHEN n > 1 AND m.g % 3 <> 0 THEN m_{c} ELSE 0E0 END), 6) AS {c}"
+                  for c in spec.RAW_NUMERIC)}
+FROM recs JOIN m ON recs.g = m.g
+"""))
+def l6_fills(spark, sf):
+    rows = parse_payloads(payload_table(spark, sf), "payload", "payload_id", with_fills=True)
+    return rows.where(F.col("error").isNull()).select("payload_id", "record_index", *[
+        r6(F.coalesce(F.col(c), F.col(f"fill_{c}"))).alias(c) for c in spec.RAW_NUMERIC])
+
+
+@register("L5_predict_outcomes", with_base(QUOTAS_SQL + """
+SELECT CAST(sum(test_c) AS BIGINT) AS rows, CAST(sum(test_c) AS BIGINT) AS keys,
+       CAST(sum(test_c) AS BIGINT) AS class_agrees FROM quotas
+"""))
+def l5_outcomes(spark, sf):
+    p = F.col("approval_probability")
+    model, _, _, va = context(spark, sf, "random_forest")
+    return predict(model, va, keep=[spec.KEY]).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct(spec.KEY).alias("keys"),
+        F.count_if(p.between(0, 1) & (F.col(spec.TARGET) == (p > 0.5).cast("int"))).alias("class_agrees"))
+
+
+@register("T1_importance_features", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, 1E0 AS total" for c in MODEL_ORDER))
+def t1_features(spark, sf):
+    model, _, _, _ = context(spark, sf, "random_forest")
+    imp = feature_importances(model, 20)
+    total = imp.agg(F.round(F.sum("importance"), 6)).scalar()
+    return imp.where(F.col("importance") >= 0).select("feature", total.alias("total"))
+
+
+# both model types pass the acceptance limits on validation
+@register("L8_acceptance", " UNION ALL ".join(
+    f"SELECT '{m}' AS model_type, 'val_{k}' AS metric, TRUE AS passed"
+    for m in ("random_forest", "logistic_regression") for k in ("accuracy", "precision", "recall", "f1", "auc")))
+def l8_acceptance(spark, sf):
+    both = _metrics(spark, sf, "random_forest").unionByName(_metrics(spark, sf, "logistic_regression"))
+    limit = F.when(F.col("metric") == "val_accuracy", 0.80).otherwise(0.75)
+    return both.select("model_type", "metric", ((F.col("value") >= limit) & (F.col("value") <= 1)).alias("passed"))
 
 
 @register("T1_feature_importance")
@@ -200,15 +304,18 @@ def t1(spark, sf):
     return feature_importances(model, 20).select("feature", r6("importance").alias("importance"))
 
 
-@register("L7_stream_score")
-def l7(spark, sf):
+def streamed_payloads(spark, sf):
     from ..streaming.scoring_stream import start_scoring
 
     model, params, _, _ = context(spark, sf, "random_forest")
     src, out, ckpt = (work_dir(spark, n) for n in ("payload-files", "stream-out", "stream-checkpoint"))
-    payload_table(spark, sf).repartition(8).write.mode("overwrite").json(src)
-    q = start_scoring(spark, model, params, src, out, ckpt, available_now=True)
-    q.awaitTermination()
-    return spark.read.parquet(out).select(
+    payload_table(spark, sf).write.mode("overwrite").json(src)
+    start_scoring(spark, model, params, src, out, ckpt, available_now=True).awaitTermination()
+    return spark.read.parquet(out)
+
+
+@register("L7_stream_score")
+def l7(spark, sf):
+    return streamed_payloads(spark, sf).select(
         "payload_id", "record_index", spec.TARGET, r6("approval_probability").alias("approval_probability"),
         "confidence", "error")

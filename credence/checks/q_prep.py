@@ -10,13 +10,14 @@ from ..functions.columns import categorical_str
 from ..functions.features import build_features
 from ..operators.cumulative import exact_percentiles, stack_columns
 from ..operators.encode import Dictionary, encode, fit_dictionaries, mask_unseen
-from ..operators.impute import fit_medians, impute
+from ..operators.impute import fit_medians, impute, impute_by_group
 from ..operators.scale import fit_scaler, standardize
 from ..operators.split import stratified_split
 from ..plans.preprocess import feature_info_frame, preprocess
 from ..session import materialize, work_dir
 from ..sources.params import load_params, save_params
-from .oracle_sql import CATS, MODEL_ORDER, NUMS, prep_ctes, with_base
+from ..sources.readers import process_test_set
+from .oracle_sql import CATS, FLAGS, MODEL_ORDER, NUMS, prep_ctes, with_base
 from .registry import register
 
 R6 = 6
@@ -51,29 +52,22 @@ def f1_impute(spark, sf):
 
 
 # F1s: the serving rule per micro-batch (one batch = the applications of one
-# day): the batch median when the batch has more than one row, else 0.
+# day; days of 1998 have no batch name, so NULL is a batch too): the batch
+# median when the batch has more than one row, else 0.
 @register("F1s_serving_impute", with_base("""
-, b AS (SELECT *, CAST(application_ts AS DATE) AS batch_day,
-               count(*) OVER (PARTITION BY CAST(application_ts AS DATE)) AS batch_rows FROM features),
-m AS (SELECT batch_day, """ + ", ".join(f"median({c}) AS m_{c}" for c in NUMS[:6]) + """
+, d AS (SELECT *, CASE WHEN year(application_ts) < 1998 THEN CAST(application_ts AS DATE) END AS batch_day
+        FROM features),
+b AS (SELECT *, count(*) OVER (PARTITION BY batch_day) AS batch_rows FROM d),
+m AS (SELECT batch_day, """ + ", ".join(f"median({c}) AS m_{c}" for c in NUMS) + """
       FROM b GROUP BY batch_day)
 SELECT application_id, b.batch_day, """ + ", ".join(
-    f"round(COALESCE({c}, CASE WHEN batch_rows > 1 THEN m_{c} ELSE 0E0 END), 6) AS {c}" for c in NUMS[:6]) + """
-FROM b JOIN m ON b.batch_day = m.batch_day
+    f"round(COALESCE({c}, CASE WHEN batch_rows > 1 THEN m_{c} ELSE 0E0 END), 6) AS {c}" for c in NUMS) + """
+FROM b JOIN m ON b.batch_day IS NOT DISTINCT FROM m.batch_day
 """))
 def f1s(spark, sf):
-    f = features(spark, sf).withColumn("batch_day", F.to_date(spec.TS))
-    cols = spec.RAW_NUMERIC
-    long = f.select("batch_day", F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols
-    ])).alias("s")).select("batch_day", "s.feature", "s.value")
-    med = exact_percentiles(long, ["batch_day", "feature"], "value", [0.5], ["median"])
-    wide = med.groupBy("batch_day").pivot("feature", cols).agg(F.first("median"))
-    sizes = f.groupBy("batch_day").agg(F.count(F.lit(1)).alias("batch_rows"))
-    params = sizes.join(wide, "batch_day", "left")
-    fill = {c: F.when(F.col("p.batch_rows") > 1, F.col(f"p.{c}")).otherwise(F.lit(0.0)) for c in cols}
-    return f.alias("f").join(params.alias("p"), "batch_day", "left").select(
-        spec.KEY, "batch_day", *[r6(F.coalesce(F.col(f"f.{c}"), fill[c])).alias(c) for c in cols])
+    f = features(spark, sf).withColumn("batch_day", F.when(F.year(spec.TS) < 1998, F.to_date(spec.TS)))
+    return impute_by_group(f, ["batch_day"], spec.NUMERICAL_FEATURES).select(
+        spec.KEY, "batch_day", *[r6(c).alias(c) for c in spec.NUMERICAL_FEATURES])
 
 
 @register("F2_scaler_params", with_base(prep_ctes() + "SELECT feature, round(mean, 6) AS mean, "
@@ -163,20 +157,19 @@ def f6_members(spark, sf):
     return s.select(spec.KEY, spec.TARGET, "split")
 
 
-def _spec_rows_sql():
-    from ..plans.preprocess import feature_info
-    info = feature_info()
-    rows = []
-    for name in ("numerical_features", "categorical_features", "boolean_features", "all_features"):
-        rows += [f"SELECT '{name}' AS list, {i} AS position, '{c}' AS feature" for i, c in enumerate(info[name])]
-    rows.append(f"SELECT 'target', 0, '{info['target']}'")
-    return " UNION ALL ".join(rows)
+SPEC_SQL = " UNION ALL ".join(
+    [f"SELECT '{name}' AS list, {i} AS position, '{c}' AS feature"
+     for name, cols in (("numerical_features", NUMS), ("categorical_features", CATS), ("boolean_features", FLAGS),
+                        ("all_features", MODEL_ORDER)) for i, c in enumerate(cols)]
+    + ["SELECT 'target', 0, 'loan_approved'"])
 
 
-@register("F7_feature_spec", _spec_rows_sql())
+@register("F7_feature_spec", SPEC_SQL)
 def f7(spark, sf):
     _, params = preprocess(applications(spark, sf))
-    info = feature_info_frame(spark, params.info)
+    path = work_dir(spark, "params")
+    save_params(spark, params, path)
+    info = feature_info_frame(spark, load_params(spark, path).info)
     lists = [F.struct(F.lit(n).alias("list"), F.col(n).alias("names"))
              for n in ("numerical_features", "categorical_features", "boolean_features", "all_features")]
     lists.append(F.struct(F.lit("target").alias("list"), F.array("target").alias("names")))
@@ -192,7 +185,7 @@ SELECT 'median' AS kind, feature, CAST(NULL AS VARCHAR) AS category, round(media
 UNION ALL SELECT 'mean', feature, NULL, round(mean, 6) FROM scaler
 UNION ALL SELECT 'scale', feature, NULL, round(scale, 6) FROM scaler
 UNION ALL SELECT 'code', feature, category, CAST(code AS DOUBLE) FROM dict
-"""))
+UNION ALL SELECT 'spec', feature, list, CAST(position AS DOUBLE) FROM (""" + SPEC_SQL + ") y"))
 def s8(spark, sf):
     _, params = preprocess(applications(spark, sf))
     path = work_dir(spark, "params")
@@ -202,6 +195,27 @@ def s8(spark, sf):
     return params_frame(spark, back).select("kind", "feature", "category", r6("value").alias("value"))
 
 
+# --- F5 in apply mode: fitted on one half, saved, loaded, applied to the other ---
+
+STORED_SQL = with_base(LEHMER_SPLIT_SQL + """,
+tr AS (SELECT f.* FROM features f JOIN split s ON f.application_id = s.application_id WHERE s.split = 'train'),
+te AS (SELECT f.* FROM features f JOIN split s ON f.application_id = s.application_id WHERE s.split = 'test')
+""" + prep_ctes("te", "tr") + "SELECT application_id, application_ts, " + ", ".join(
+    (f"round({c}, 6) AS {c}" if c in NUMS else c) for c in MODEL_ORDER) + ", loan_approved FROM enc")
+
+
+@register("S3_processed_test", STORED_SQL)
+def s3_test(spark, sf):
+    s = materialize(stratified_split(applications(spark, sf), spec.TARGET, spec.KEY, spec.TEST_SIZE, spec.SEED,
+                                     method="lehmer"))
+    _, params = preprocess(s.where(F.col("split") == "train").drop("split"))
+    path, out = work_dir(spark, "params"), work_dir(spark, "test-processed")
+    save_params(spark, params, path)
+    process_test_set(s.where(F.col("split") == "test").drop("split"), path, out)
+    back = spark.read.parquet(out)
+    return back.select(*[r6(c).alias(c) if c in spec.NUMERICAL_FEATURES else F.col(c) for c in back.columns])
+
+
 # --- P16: dictionary fitted on the training split, applied to validation ------
 
 @register("P16_unseen_mask", with_base(LEHMER_SPLIT_SQL + """,

@@ -23,8 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Broadcast only parameter tables whose row count is checked to be below this.
-BROADCAST_ROW_LIMIT = 2_000_000
+from ..session import materialize
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -85,6 +84,21 @@ def running_totals(df: DataFrame, group_cols: Sequence[str], order_col: str,
     )
 
 
+def ranks(df: DataFrame, group_col: str, order_col: str, name: str) -> DataFrame:
+    """Adds ``name``: the 0-based rank (bigint) of each row in its group by
+    ``order_col``, unique within a group. Rows are laid out by range over all
+    groups and written once, so that a lost task can't change the layout; the
+    rank inside a range gets the count of its group's rows in the ranges before
+    it, and no task holds a whole group."""
+    laid = materialize(df.repartitionByRange(group_col, order_col).withColumn("_part", F.spark_partition_id()))
+    before = Window.partitionBy(group_col).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = laid.groupBy(group_col, "_part").agg(F.count(F.lit(1)).alias("_k")).select(
+        group_col, "_part", F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_off"))
+    inside = F.row_number().over(Window.partitionBy(group_col, "_part").orderBy(order_col)) - 1
+    return join_groups(laid, offsets, [group_col, "_part"], "inner").select(
+        *df.columns, (inside + F.col("_off")).cast("long").alias(name))
+
+
 def join_groups(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
     """Join on group columns of equal names, a NULL group being a group."""
     r = right.select([F.col(c).alias(f"_r_{c}") if c in cols else F.col(c) for c in right.columns])

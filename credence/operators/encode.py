@@ -2,35 +2,40 @@
 
 Fit: distinct strings per column, ordered by code point, numbered 0..k-1;
 ``unknown`` is appended as code k when it was not seen (when it was seen it
-keeps its sorted place). One job for all columns: stack -> distinct ->
-``row_number`` per feature. The window groups are the distinct categories of
-one feature, i.e. the dictionary itself, which is a bounded model parameter.
-
-Apply: ``coalesce(code, code of unknown, 0)``. The dictionary's size per
-feature is collected first. A dictionary of at most ``LITERAL_DICT_LIMIT``
-entries is applied as a literal map inside the projection (no join, one
-codegen stage); a larger one is a left join, broadcast only below
-``BROADCAST_ROW_LIMIT`` rows and a shuffle join above it. ``StringIndexer`` is
-not used: with ``handleInvalid='keep'`` it sends unseen values to a new
-index even when ``unknown`` is in the data (SURVEY V6).
+keeps its sorted place). The numbers are distributed ranks (``ranks``), so no
+task holds all categories of a feature.
+
+Apply: ``coalesce(code, code of unknown, 0)`` by a left join per column. A
+feature's dictionary whose measured bytes are within the session's
+``spark.sql.autoBroadcastJoinThreshold`` is broadcast; a larger one is a
+shuffle join. ``StringIndexer`` is not used: with ``handleInvalid='keep'`` it
+sends unseen values to a new index even when ``unknown`` is in the data
+(SURVEY V6).
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import spec
 from ..session import materialize
-from .cumulative import BROADCAST_ROW_LIMIT, stack_columns
+from .cumulative import ranks, stack_columns
 
 DICT_COLUMNS = ["feature", "category", "code"]
 
-# A feature's dictionary of at most this many entries (checked by count) is
-# collected once and applied as a literal map; larger ones are joined.
-LITERAL_DICT_LIMIT = 10_000
+# bytes of a joined row beside its category text
+ROW_BYTES = 32
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1: never)."""
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b").strip().lower()
+    m = re.fullmatch(r"(-?\d+)\s*([kmgt]?)b?", text)
+    return int(m[1]) * 1024 ** " kmgt".index(m[2] or " ") if m else -1
 
 
 def fit_dictionaries(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -43,8 +48,7 @@ def fit_dictionaries(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def dictionary_from_distinct(distinct: DataFrame) -> DataFrame:
     """F3 from one row per distinct ``(feature, category)``."""
-    w = Window.partitionBy("feature").orderBy("category")
-    seen = distinct.select("feature", "category", (F.row_number().over(w) - 1).cast("long").alias("code"))
+    seen = ranks(distinct.select("feature", "category"), "feature", "category", "code")
     # unknown appended where absent: code = number of distinct values
     extra = (seen.groupBy("feature")
              .agg(F.count(F.lit(1)).alias("k"),
@@ -67,34 +71,18 @@ class Dictionary:
             table = materialize(table)
         self.table = table
         stats = self.table.groupBy("feature").agg(
-            F.count(F.lit(1)).alias("n"),
+            F.sum(F.octet_length("category") + ROW_BYTES).alias("bytes"),
             F.max(F.when(F.col("category") == spec.UNKNOWN, F.col("code"))).alias("unknown_code"),
         ).collect()
-        self.sizes = {r["feature"]: int(r["n"]) for r in stats}
+        self.bytes = {r["feature"]: int(r["bytes"]) for r in stats}
         self.unknown = {r["feature"]: r["unknown_code"] for r in stats}
-        # bounded: at most LITERAL_DICT_LIMIT entries for each feature taken
-        small = sorted(f for f, n in self.sizes.items() if n <= LITERAL_DICT_LIMIT)
-        self.literal: dict[str, dict[str, int]] = {}
-        if small:
-            for r in self.table.where(F.col("feature").isin(small)).collect():
-                self.literal.setdefault(r["feature"], {})[r["category"]] = int(r["code"])
-
-    def code_map(self, feature: str):
-        """The feature's dictionary as a literal ``map<string,bigint>``, or
-        None when it is too large to inline (then use ``lookup``)."""
-        m = self.literal.get(feature)
-        if m is None:
-            return None
-        keys = sorted(m)
-        return F.map_from_arrays(F.lit(keys).cast("array<string>"),
-                                 F.lit([m[k] for k in keys]).cast("array<bigint>"))
 
     def classes(self, feature: str) -> DataFrame:
         return self.table.where(F.col("feature") == feature).select("category", "code")
 
     def lookup(self, feature: str) -> DataFrame:
         t = self.classes(feature)
-        return F.broadcast(t) if self.sizes.get(feature, 0) <= BROADCAST_ROW_LIMIT else t
+        return F.broadcast(t) if self.bytes.get(feature, 0) <= broadcast_limit(t.sparkSession) else t
 
 
 def encode(df: DataFrame, dictionary: Dictionary, cols: Sequence[str],
@@ -103,16 +91,7 @@ def encode(df: DataFrame, dictionary: Dictionary, cols: Sequence[str],
     if the dictionary has no 'unknown', class 0 (serving fallback)."""
     out = df
     order = df.columns
-    inline = {}
     for c in cols:
-        m = dictionary.code_map(c)
-        if m is not None:
-            fallback = dictionary.unknown.get(c)
-            inline[c] = F.coalesce(F.try_element_at(m, F.col(c).cast("string")),
-                                   F.lit(fallback if fallback is not None else 0)).cast(out_type)
-    if inline:
-        out = out.withColumns(inline)
-    for c in [c for c in cols if c not in inline]:
         lk = dictionary.lookup(c).select(F.col("category").alias(f"__{c}_cat"),
                                          F.col("code").alias(f"__{c}_code"))
         fallback = dictionary.unknown.get(c)
@@ -126,15 +105,7 @@ def mask_unseen(df: DataFrame, dictionary: Dictionary, cols: Sequence[str]) -> D
     """Value not in the fitted dictionary -> 'unknown' (strings kept)."""
     out = df
     order = df.columns
-    inline = {}
     for c in cols:
-        m = dictionary.code_map(c)
-        if m is not None:
-            inline[c] = F.when(F.try_element_at(m, F.col(c).cast("string")).isNotNull(), F.col(c)) \
-                .otherwise(F.lit(spec.UNKNOWN))
-    if inline:
-        out = out.withColumns(inline)
-    for c in [c for c in cols if c not in inline]:
         lk = dictionary.lookup(c).select(F.col("category").alias(f"__{c}_seen"))
         out = out.join(lk, out[c] == lk[f"__{c}_seen"], "left")
         out = out.withColumn(c, F.when(F.col(f"__{c}_seen").isNotNull(), F.col(c))

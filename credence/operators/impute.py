@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .cumulative import exact_percentiles, stack_columns
+from .cumulative import exact_percentiles, join_groups, stack_columns
 
 
 def fit_medians(df: DataFrame, cols: Sequence[str], method: str = "exact") -> dict[str, float | None]:
@@ -38,72 +38,23 @@ def impute(df: DataFrame, fills: Mapping[str, float | None]) -> DataFrame:
     })
 
 
-def impute_median(df: DataFrame, cols: Sequence[str], method: str = "exact") -> tuple[DataFrame, dict]:
-    """batch median impute (the median of the batch being processed)."""
-    med = fit_medians(df, cols, method)
-    return impute(df, med), med
-
-
-def serving_fills(df: DataFrame, cols: Sequence[str], method: str = "exact") -> dict[str, float | None]:
-    """F1s: batch median when the batch has more than one row, else 0."""
-    n = df.count()
-    if n > 1:
-        return fit_medians(df, cols, method)
-    return {c: 0.0 for c in cols}
-
-
 def impute_by_group(df: DataFrame, group_cols: Sequence[str], cols: Sequence[str],
-                    single_row_fill: float = 0.0, size_col: str | None = None,
-                    small_rows: int = 10_000, mode: str = "auto") -> DataFrame:
-    """F1s per request: each group (payload) is imputed with its own median
-    when it has more than one row, else with ``single_row_fill``.
+                    single_row_fill: float = 0.0) -> DataFrame:
+    """F1s per group: a group (a NULL key is one too) is imputed with its own
+    medians when it has more than one row, else with ``single_row_fill``.
 
-    ``mode='auto'``: when the group size is known per row (``size_col``, e.g.
-    the record count of a parsed payload), groups of at most ``small_rows``
-    rows take a windowed median (one shuffle by group, no reshaping) and
-    larger groups the distributed exact percentiles, so a huge request is
-    split like any other job; without ``size_col`` every group takes the
-    distributed path. ``mode='window'``: the caller guarantees small groups.
-    ``mode='exact'``: every group takes the distributed path (row counts from
-    ``size_col`` when given)."""
+    One path for all sizes: distributed exact medians per (group, column),
+    joined back on the group; a hot group is split like any other."""
     group_cols = list(group_cols)
-    if mode == "window":
-        return _impute_window(df, group_cols, cols, single_row_fill)
-    if mode == "exact":
-        return _impute_exact(df, group_cols, cols, single_row_fill, size_col)
-    if mode != "auto":
-        raise ValueError(f"unknown mode {mode}")
-    if size_col is not None:
-        small = _impute_window(df.where(F.col(size_col) <= small_rows), group_cols, cols, single_row_fill)
-        large = _impute_exact(df.where(F.col(size_col) > small_rows), group_cols, cols, single_row_fill)
-        return small.unionByName(large)
-    return _impute_exact(df, group_cols, cols, single_row_fill)
-
-
-def _impute_window(df: DataFrame, group_cols, cols, fill: float) -> DataFrame:
-    w = Window.partitionBy(*group_cols)
-    n = F.count(F.lit(1)).over(w)
-    return df.withColumns({
-        c: F.coalesce(F.col(c), F.when(n > 1, F.median(F.col(c)).over(w)).otherwise(F.lit(float(fill))))
-        for c in cols})
-
-
-def _impute_exact(df: DataFrame, group_cols, cols, fill: float, size_col: str | None = None) -> DataFrame:
     long = df.select(*group_cols, F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols
     ])).alias("_s")).select(*group_cols, "_s.feature", "_s.value")
     med = exact_percentiles(long, group_cols + ["feature"], "value", [0.5], ["median"])
-    wide = med.groupBy(*group_cols).pivot("feature", list(cols)).agg(F.first("median"))
-    wide = wide.select(*group_cols, *[F.col(f"`{c}`").alias(f"__m_{c}") for c in cols])
-    if size_col is None:
-        sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("__rows"))
-        j = df.join(sizes.join(wide, group_cols, "left"), group_cols, "left")
-        rows = F.col("__rows")
-    else:
-        # the group's row count is carried on every row: no counting pass
-        j = df.join(wide, group_cols, "left")
-        rows = F.col(size_col)
-    out = j.withColumns({
-        c: F.coalesce(F.col(c), F.when(rows > 1, F.col(f"__m_{c}")).otherwise(F.lit(float(fill))))
+    wide = med.groupBy(*group_cols).agg(*[
+        F.max(F.when(F.col("feature") == c, F.col("median"))).alias(f"__m_{c}") for c in cols])
+    sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("__rows"))
+    fills = join_groups(sizes, wide, group_cols, "left")
+    out = join_groups(df, fills, group_cols, "left").withColumns({
+        c: F.coalesce(F.col(c), F.when(F.col("__rows") > 1, F.col(f"__m_{c}")).otherwise(F.lit(float(single_row_fill))))
         for c in cols})
     return out.select(*df.columns)

@@ -63,14 +63,22 @@ def roc_auc(df: DataFrame, label: str, score: str, buckets: int | None = None) -
                       .alias("auc"))
 
 
+# classes that a confusion matrix may have
+MAX_CLASSES = 1000
+
+
 def confusion_matrix(df: DataFrame, label: str, pred: str) -> DataFrame:
     """A10: ``(actual, predicted, count)`` over the sorted union of label
-    values, zeros filled. The grid has (classes)^2 rows; it is built from the
-    collected class list (bounded by the number of classes)."""
-    counts = df.groupBy(F.col(label).alias("actual"), F.col(pred).alias("predicted")) \
+    values, zeros filled. Rows without a label or a prediction don't count, as
+    in A11 and A13. The grid has (classes)^2 rows: it is meant for labels, and
+    more than ``MAX_CLASSES`` distinct values raise an error."""
+    counts = df.where(F.col(label).isNotNull() & F.col(pred).isNotNull()) \
+        .groupBy(F.col(label).alias("actual"), F.col(pred).alias("predicted")) \
         .agg(F.count(F.lit(1)).cast("long").alias("count"))
-    classes = sorted({r[0] for r in counts.select("actual").union(counts.select("predicted"))
-                      .distinct().collect() if r[0] is not None})
+    found = counts.select("actual").union(counts.select("predicted")).distinct().limit(MAX_CLASSES + 1).collect()
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes in {label} and {pred}")
+    classes = sorted(r[0] for r in found)
     spark: SparkSession = df.sparkSession
     dtype = dict(counts.dtypes)["actual"]
     grid = spark.createDataFrame([(a, p) for a in classes for p in classes],

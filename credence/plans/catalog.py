@@ -22,7 +22,6 @@ from .. import spec
 from ..functions.maps import merge_tags
 from ..operators.profile import schema_summary
 from ..operators.select import select_features, time_range
-from ..session import checkpoint_root
 
 FEATURE_TYPE = T.StructType([T.StructField("name", T.StringType()), T.StructField("type", T.StringType()),
                              T.StructField("description", T.StringType()),
@@ -67,11 +66,11 @@ def _now() -> dt.datetime:
 
 
 class Catalog:
-    """Append-only catalog tables under ``root``."""
+    """Append-only catalog tables under ``root``, a durable folder."""
 
-    def __init__(self, spark: SparkSession, root: str | None = None):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
-        self.root = (root or f"{checkpoint_root(spark)}/credence-catalog").rstrip("/")
+        self.root = root.rstrip("/")
 
     # --- generic ----------------------------------------------------------------
     def path(self, table: str) -> str:
@@ -247,15 +246,29 @@ def latest_versions(models: DataFrame) -> DataFrame:
 
 
 def exact_version(models: DataFrame, name: str, version: int) -> DataFrame:
-    """T2 with an explicit version; error listing the available ones."""
-    hit = models.where((F.col("name") == name) & (F.col("version") == int(version)))
+    """T2 with an explicit version; error listing the available ones (the
+    latest ``LISTED`` and the number of all)."""
+    mine = models.where(F.col("name") == name)
+    hit = mine.where(F.col("version") == int(version))
     if hit.limit(1).count() == 0:
-        avail = [r[0] for r in models.where(F.col("name") == name).select("version").distinct()
-                 .orderBy("version").collect()]
-        raise KeyError(f"Version '{version}' not found for '{name}'. Available: {avail}")
+        versions = mine.select(F.col("version").cast("long").alias("v")).distinct()
+        avail = sorted(r["v"] for r in versions.orderBy(F.col("v").desc()).limit(LISTED).collect())
+        raise KeyError(f"Version '{version}' not found for '{name}'. Available: {avail} of {versions.count()}")
     return hit
 
 
+def exact_versions(models: DataFrame, requests: DataFrame) -> DataFrame:
+    """T2 for a table of ``(name, version)`` requests: ``found`` and the id of
+    each."""
+    m = models.select("name", "version", "id")
+    return requests.join(m, ["name", "version"], "left").select(
+        "name", "version", F.col("id").isNotNull().alias("found"), "id")
+
+
+# versions that the text of an error lists
+LISTED = 100
+
+
 def tag_or_unknown(tags: Column | str, key: str) -> Column:
     t = F.col(tags) if isinstance(tags, str) else tags
     return F.coalesce(F.try_element_at(t, F.lit(key)), F.lit("Unknown"))
@@ -268,14 +281,11 @@ def last_registered(models: DataFrame) -> DataFrame:
 
 
 def list_models(models: DataFrame, name: str | None = None) -> DataFrame:
-    """Per model name: version count and the environment / type tags of
-    its latest version ('Unknown' when absent)."""
+    """Every registered version with its registration time and its
+    environment / type tags ('Unknown' when absent)."""
     m = models if name is None else models.where(F.col("name") == name)
-    latest = latest_versions(m)
-    counts = m.groupBy("name").agg(F.count(F.lit(1)).alias("versions"))
-    return latest.join(counts, "name").select(
-        "name", "version", "versions", tag_or_unknown("tags", "environment").alias("environment"),
-        tag_or_unknown("tags", "model_type").alias("model_type"))
+    return m.select("name", "version", "registration_time", tag_or_unknown("tags", "environment").alias("environment"),
+                    tag_or_unknown("tags", "model_type").alias("model_type"))
 
 
 def select_model(models: DataFrame) -> DataFrame:
@@ -284,20 +294,32 @@ def select_model(models: DataFrame) -> DataFrame:
                                           tag_or_unknown("tags", "stage").alias("stage"))
 
 
-def resolve_versions(requests: DataFrame, models: DataFrame, selected: DataFrame | None = None) -> DataFrame:
-    """C12 per request ``(name, version)``: the explicit version when given,
-    else the last selected record, else the latest; none -> NULL with an
-    error text."""
+def resolve_versions(requests: DataFrame, models: DataFrame, selected: DataFrame | None = None,
+                     registered: DataFrame | None = None) -> DataFrame:
+    """C12 per request ``(name, version)``: the explicit version when given;
+    else the selected record, whose own name wins when it has one
+    (``selected``: name asked for, selected_name, version); else the record
+    registered last under the name (``registered``: name, version); else the
+    latest version; none -> NULL with an error text. Returns name (asked
+    for), resolved_name, resolved_version, source, error."""
     latest = latest_versions(models).select("name", F.col("version").alias("_latest"))
     r = requests.join(latest, "name", "left")
     if selected is not None:
-        r = r.join(selected.select("name", F.col("version").alias("_selected")), "name", "left")
+        own = F.col("selected_name") if "selected_name" in selected.columns else F.lit(None).cast("string")
+        r = r.join(selected.select("name", own.alias("_own"), F.col("version").alias("_selected")), "name", "left")
+    else:
+        r = r.withColumns({"_own": F.lit(None).cast("string"), "_selected": F.lit(None).cast("long")})
+    if registered is not None:
+        r = r.join(registered.select("name", F.col("version").alias("_registered")), "name", "left")
     else:
-        r = r.withColumn("_selected", F.lit(None).cast("long"))
-    chosen = F.coalesce(F.col("version"), F.col("_selected"), F.col("_latest"))
-    source = (F.when(F.col("version").isNotNull(), "explicit").when(F.col("_selected").isNotNull(), "selected")
-              .when(F.col("_latest").isNotNull(), "latest"))
-    return r.select("name", chosen.alias("resolved_version"), source.alias("source"),
+        r = r.withColumn("_registered", F.lit(None).cast("long"))
+    explicit, by_selection = F.col("version").isNotNull(), F.col("_selected").isNotNull()
+    chosen = F.coalesce(F.col("version"), F.col("_selected"), F.col("_registered"), F.col("_latest"))
+    source = (F.when(explicit, "explicit").when(by_selection, "selected")
+              .when(F.col("_registered").isNotNull(), "registered").when(F.col("_latest").isNotNull(), "latest"))
+    name = F.when(~explicit & by_selection & (F.col("_own") != ""), F.col("_own")).otherwise(F.col("name"))
+    return r.select("name", F.when(chosen.isNotNull(), name).alias("resolved_name"),
+                    chosen.alias("resolved_version"), source.alias("source"),
                     F.when(chosen.isNull(), F.concat(F.lit("No models found with name '"), F.col("name"),
                                                      F.lit("'"))).alias("error"))
 
@@ -307,7 +329,7 @@ def publish_dataset(catalog: Catalog, name: str, df: DataFrame, partition_by: Se
     append a catalog row; returns the version."""
     version = catalog._next_version("datasets", name)
     path = f"{catalog.root}/data/{name}/version={version}"
-    w = df.write.mode("overwrite")
+    w = df.write.mode("errorifexists")  # of two writers of one version, one fails
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

@@ -113,6 +113,17 @@ def training_sets(spark: SparkSession, root: str, raw_path: str | None = None, r
     return load_train_val(spark, root, "parquet", test_size, seed)
 
 
+def process_test_set(raw: DataFrame, params_path: str, out: str, fmt: str = "parquet",
+                     impute_with: str = "batch") -> None:
+    """S3 for a test set: F5 with the saved scaler and dictionaries (medians of
+    the set itself, or the stored ones), written with the label last."""
+    from ..plans.preprocess import preprocess
+    from .params import load_params
+
+    processed, _ = preprocess(raw, params=load_params(raw.sparkSession, params_path), impute_with=impute_with)
+    write(label_last(processed), out, fmt)
+
+
 def label_last(df: DataFrame, label: str = spec.TARGET) -> DataFrame:
     return df.select(*[c for c in df.columns if c != label], label) if label in df.columns else df
 

@@ -139,7 +139,6 @@ PERFORMANCE_THRESHOLDS = [
     ("val_f1", 0.75, "f1_score"),
     ("val_auc", 0.75, "auc"),
 ]
-MAX_PREDICTION_TIME_MS = 100
 MIN_TEST_ROWS = 1000
 MAX_COLUMN_MISSING_PCT = 50
 MAX_OVERALL_MISSING_PCT = 10
@@ -155,7 +154,3 @@ SEED = 42
 RF_TREES = 100
 RF_DEPTH = 10
 LR_MAX_ITER = 1000
-
-# Required and optional artefacts of a complete run (dataset names).
-REQUIRED_DATASETS = ["model", "scaler", "feature_info", "model_metrics"]
-OPTIONAL_DATASETS = ["registered_model", "feature_store_info", "feature_validation"]

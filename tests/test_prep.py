@@ -116,16 +116,43 @@ def test_running_totals_bucketed_equals_window(spark):
     assert [c for _, _, c in lst] == list(np.cumsum([w for _, w, _ in lst]))
 
 
-def test_group_impute_window_path_equals_exact_path(spark):
-    rows = [("a", 1.0, 3), ("a", None, 3), ("a", 4.0, 3), ("b", None, 1), ("c", 2.0, 2), ("c", None, 2)]
-    df = spark.createDataFrame(rows, "g string, x double, n int")
-    fast = sorted(tuple(r) for r in impute_by_group(df, ["g"], ["x"], size_col="n").collect())
-    exact = sorted(tuple(r) for r in impute_by_group(df, ["g"], ["x"]).collect())
-    forced = sorted(tuple(r) for r in impute_by_group(df, ["g"], ["x"], size_col="n", small_rows=0).collect())
-    window = sorted(tuple(r) for r in impute_by_group(df, ["g"], ["x"], mode="window").collect())
-    sized = sorted(tuple(r) for r in impute_by_group(df, ["g"], ["x"], size_col="n", mode="exact").collect())
-    assert fast == exact == forced == window == sized
-    assert ("a", 2.5, 3) in fast and ("b", 0.0, 1) in fast and ("c", 2.0, 2) in fast
+def test_group_impute_null_groups_infinities_and_hot_groups(spark):
+    inf = float("inf")
+    rows = [("a", 1.0), ("a", None), ("a", 4.0), ("b", None), ("c", 2.0), ("c", None), (None, 1.0), (None, None),
+            (None, 3.0), ("d", None), ("d", None), ("e", -inf), ("e", -inf), ("e", 5.0), ("e", 6.0), ("e", None)]
+    rows += [("hot", float(i)) for i in range(1001)] + [("hot", None)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(4)
+    got = [tuple(r) for r in impute_by_group(df, ["g"], ["x"]).collect()]
+    assert len(got) == len(rows)
+    for want in [("a", 2.5), ("b", 0.0), ("c", 2.0), (None, 2.0), ("d", None), ("e", -inf)]:
+        assert want in got
+    assert got.count(("hot", 500.0)) == 2 and got.count(("d", None)) == 2
+
+
+def test_dictionary_ranks_over_many_ranges_and_both_joins(spark):
+    from credence.operators.encode import Dictionary, dictionary_from_distinct, encode, mask_unseen
+
+    names = [f"c{i:04d}" for i in range(500)] + ["", "unknown", "é", "Z"]
+    rows = [("f", n) for n in names] + [("g", n) for n in names[:7]]
+    d = Dictionary(dictionary_from_distinct(
+        spark.createDataFrame(rows, "feature string, category string").repartition(5)))
+    codes = {(r["feature"], r["category"]): r["code"] for r in d.table.collect()}
+    assert codes == {("f", n): i for i, n in enumerate(sorted(names))} | \
+        {("g", n): i for i, n in enumerate(sorted(names[:7]))} | {("g", "unknown"): 7}
+    df = spark.createDataFrame([("c0003", "c0009"), ("?", "c0001"), (None, None)], "f string, g string")
+    out = []
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for limit in ("10MB", "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            out.append((sorted(tuple(r) for r in encode(df, d, ["f", "g"]).collect()),
+                        sorted(tuple(r) for r in mask_unseen(df, d, ["f", "g"]).collect())))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    unknown = float(codes[("f", "unknown")])
+    assert out[0] == out[1]
+    assert out[0][0] == sorted([(float(codes[("f", "c0003")]), 7.0), (unknown, 1.0), (unknown, 7.0)])
+    assert out[0][1] == sorted([("c0003", "unknown"), ("unknown", "c0001"), ("unknown", "unknown")])
 
 
 def test_fit_scope_and_approx_options(spark, sf):

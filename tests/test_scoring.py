@@ -94,20 +94,52 @@ def test_training_sets_fallback_runs_preprocess(spark, sf):
     assert info2["train_path"] == info["train_path"] and again.count() == tr.count()
 
 
-def test_payload_routing_by_text_length(spark, sf, monkeypatch):
-    """Short texts take the windowed median directly, long ones the size
-    check; forcing every payload down the long branch changes nothing."""
-    import credence.plans.scoring as S
+def test_bad_payloads_give_one_error_row_each(spark):
+    rows = [("word", json.dumps(dict(REC1, age="abc"))), ("blank", json.dumps(dict(REC1, age=""))),
+            ("nan", json.dumps(dict(REC1, age=float("nan")))), ("quoted", json.dumps(dict(REC1, age="35"))),
+            ("null-element", json.dumps([REC1, None])), ("numbers", "[1, 2]"), ("number", "5"), ("null", "null"),
+            ("after", json.dumps(REC1) + " x"), ("two", json.dumps(REC1) + "," + json.dumps(REC2)),
+            ("more", json.dumps(REC1) + ',"x":{}'), ("space", "\n\t " + json.dumps(REC1) + " \n"), ("none", None),
+            ("text", ""), ("partly", json.dumps([REC1, dict(REC2, income="n/a")])), (None, json.dumps(REC1)),
+            ("nested", json.dumps(dict(REC1, income={"a": 1}))), ("array-null", "[null]")]
+    df = spark.createDataFrame(rows, "payload_id string, payload string")
+    got = parse_payloads(df, "payload", "payload_id").collect()
+    assert len(got) == len(rows)
+    errors = {r["payload_id"]: r["error"] for r in got}
+    good = {"nan", "quoted", "space", None}
+    assert {k for k, e in errors.items() if e is None} == good
+    assert errors["word"].endswith("values that are no numbers in age") and errors["partly"].endswith("in income")
+    assert all(errors[k].endswith("malformed JSON payload") for k in ("number", "null", "after", "two", "none", "text"))
+    assert errors["null-element"].endswith("record that is no object")
+    assert all(r["record_index"] is None and r["age"] is None for r in got if r["error"])
+
+
+def test_each_payload_row_takes_its_own_medians(spark):
+    def text(values):
+        return json.dumps([dict(REC1, age=v) for v in values])
+
+    rows = [("a", text([1, None, 3])), ("a", text([10, 20, None])), (None, text([1, None, 3])),
+            (None, text([None])), ("b", text([None, None])), ("b", text([None, 4, 4, 4, float("nan")]))]
+    df = spark.createDataFrame(rows, "payload_id string, payload string").repartition(3)
+    fills = parse_payloads(df, "payload", "payload_id", with_fills=True).where("age is null or isnan(age)")
+    got = sorted((r["payload_id"] or "", r["record_index"], r["fill_age"] if r["fill_age"] is not None else -1.0)
+                 for r in fills.collect())
+    assert got == sorted([("a", 1, 2.0), ("a", 2, 15.0), ("", 1, 2.0), ("", 0, 0.0), ("b", 0, -1.0), ("b", 1, -1.0),
+                          ("b", 0, 4.0), ("b", 4, 4.0)])
+
+
+def test_payload_medians_equal_grouped_medians(spark, sf):
+    """The medians taken inside a payload are those of the distributed path
+    over the same rows."""
+    from credence.functions.features import build_features
+    from credence.operators.impute import impute_by_group
 
-    model, params = _fit(spark, sf)
     recs = applications(spark, sf).withColumn("g", F.expr(f"{spec.KEY} % 7"))
-    many = recs.groupBy("g").agg(F.to_json(F.collect_list(F.struct(*spec.RAW_COLUMNS)),
-                                           {"ignoreNullFields": "false"}).alias("payload")) \
-        .select(F.concat(F.lit("g"), F.col("g").cast("string")).alias("payload_id"), "payload")
-    payloads = _payloads(spark).unionByName(many)
-    cols = ["payload_id", "record_index", spec.TARGET, "approval_probability", "confidence", "error"]
-    default = score_payloads(model, params, payloads).select(*cols)
-    monkeypatch.setattr(S, "SMALL_PAYLOAD_RECORDS", 0)
-    forced = score_payloads(model, params, payloads).select(*cols)
-    assert default.count() == forced.count() == 10 + recs.count()
-    assert default.exceptAll(forced).count() == 0 and forced.exceptAll(default).count() == 0
+    many = recs.groupBy(F.col("g").cast("string").alias("payload_id")).agg(
+        F.to_json(F.collect_list(F.struct(*spec.RAW_COLUMNS)), {"ignoreNullFields": "false"}).alias("payload"))
+    rows = build_features(parse_payloads(many, "payload", "payload_id", with_fills=True))
+    own = rows.select("payload_id", "record_index", *[
+        F.coalesce(F.col(c), F.col(f"fill_{c}")).alias(c) for c in spec.RAW_NUMERIC])
+    grouped = impute_by_group(rows, ["payload_id"], spec.RAW_NUMERIC).select(*own.columns)
+    assert own.count() == recs.count()
+    assert own.exceptAll(grouped).count() == 0 and grouped.exceptAll(own).count() == 0

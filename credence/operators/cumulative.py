@@ -1,19 +1,19 @@
-"""Distributed running totals and exact percentiles.
+"""Distributed running totals, ranks and exact percentiles.
 
 A window ordered over a whole column (``Window.orderBy(x)`` with no
 partition, or partitioned by a handful of groups) runs in one task per
-group. These helpers keep that work parallel:
-
-1. approximate quantile bounds of the order key cut each group into
-   ``buckets`` ranges (bounds are a small array per group);
-2. per-(group, bucket) totals are summed (a tiny table) and turned into
-   bucket offsets by a window over that tiny table;
-3. the running sum inside each (group, bucket) is a window over one bucket
-   only, plus its offset.
-
-Equal keys always land in the same bucket, because the bucket is a
-function of the key. Callers pre-aggregate to one row per distinct key, so
-no bucket can grow beyond its share of the distinct keys.
+group. These helpers keep that work parallel, in one way for all sizes:
+
+1. rows are laid out by range over (group, order key) and written once, so
+   that a lost task can't change the layout; a large group covers many parts
+   and small groups share one;
+2. per-(group, part) totals (at most groups + parts rows) become offsets by
+   a window over that small table;
+3. the running sum inside each (group, part) is a window over one part only,
+   plus its offset.
+
+Callers pre-aggregate to one row per distinct key, so no part can grow beyond
+its share of the distinct keys.
 """
 
 from __future__ import annotations
@@ -26,77 +26,41 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 
-def default_buckets(df: DataFrame) -> int:
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(8, n)
+def _laid_out(df: DataFrame, keys: Sequence[str], parts: int | None) -> DataFrame:
+    """Rows by range of ``keys``, with their part's number; written once.
+    ``parts`` is the number of ranges (default: left to the session)."""
+    count = [] if parts is None else [parts]
+    return materialize(df.repartitionByRange(*count, *keys).withColumn("_part", F.spark_partition_id()))
 
 
-# A group with at most this many distinct order keys is summed by one window
-# task; larger groups are cut into quantile buckets first.
-SMALL_GROUP_KEYS = 200_000
-
-
-def running_totals(df: DataFrame, group_cols: Sequence[str], order_col: str,
-                   sum_cols: Sequence[str], buckets: int | None = None,
-                   suffix: str = "_cum", small_group_keys: int = SMALL_GROUP_KEYS) -> DataFrame:
+def running_totals(df: DataFrame, group_cols: Sequence[str], order_col: str, sum_cols: Sequence[str],
+                   parts: int | None = None, suffix: str = "_cum", total_suffix: str | None = None) -> DataFrame:
     """Adds ``<c><suffix>``: the inclusive running sum of each ``sum_cols``
-    column in ``order_col`` order, restarting per ``group_cols``.
-    ``order_col`` must be unique within a group (pre-aggregate first).
-
-    Groups with few keys run as one window each (many groups spread over
-    tasks); a group with more than ``small_group_keys`` keys is cut into
-    ``buckets`` quantile ranges so that no task sums a whole large group."""
+    column in ``order_col`` order, restarting per ``group_cols`` (a NULL group
+    is a group), and with ``total_suffix`` the group's whole sum too.
+    ``order_col`` must be unique within a group (pre-aggregate first)."""
     group_cols = list(group_cols)
-    nb = buckets or default_buckets(df)
-    fracs = [i / nb for i in range(1, nb)]
-    x = F.col(order_col)
-
-    if group_cols:
-        sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_keys"))
-        large = sizes.where(F.col("_keys") > small_group_keys).select(*group_cols)
-        bounds = join_groups(df, large, group_cols, "left_semi").groupBy(*group_cols).agg(
-            F.percentile_approx(order_col, fracs, 10000).alias("_bounds"))
-        # one small row per large group; AQE broadcasts it when its measured size allows
-        tagged = join_groups(df, bounds, group_cols, "left")
-    else:
-        # ungrouped: the bounds are a scalar subquery, evaluated once, lazily
-        bounds = df.agg(F.percentile_approx(order_col, fracs, 10000)).scalar()
-        tagged = df.withColumn("_bounds", bounds)
-    tagged = tagged.withColumn(
-        "_bucket", F.size(F.filter(F.coalesce(F.col("_bounds"), F.array().cast(f"array<{dict(df.dtypes)[order_col]}>")),
-                                   lambda b: b < x))
-    ).drop("_bounds")
-
-    part_cols = group_cols + ["_bucket"]
-    parts = tagged.groupBy(*part_cols).agg(*[F.sum(c).alias(f"{c}_part") for c in sum_cols])
-    w_prev = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))) \
-        .orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts.select(*part_cols, *[
-        F.coalesce(F.sum(f"{c}_part").over(w_prev), F.lit(0)).alias(f"{c}_off") for c in sum_cols])
-
-    # offsets: one row per (group, bucket); bounded by buckets when ungrouped
-    joined = join_groups(tagged, F.broadcast(offsets) if not group_cols else offsets, part_cols, "inner")
-    w_in = Window.partitionBy(*part_cols).orderBy(order_col) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return joined.select(
+    part_cols = [*group_cols, "_part"]
+    laid = _laid_out(df, [*group_cols, order_col], parts)
+    sums = laid.groupBy(*part_cols).agg(*[F.sum(c).alias(f"{c}_in") for c in sum_cols])
+    whole = Window.partitionBy(*(group_cols or [F.lit(0)]))  # one row per part of a group
+    before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(*part_cols, *[
+        F.coalesce(F.sum(f"{c}_in").over(before), F.lit(0)).alias(f"{c}_off") for c in sum_cols], *[
+        F.sum(f"{c}_in").over(whole).alias(f"{c}_all") for c in sum_cols])
+    inside = Window.partitionBy(*part_cols).orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return join_groups(laid, offsets, part_cols, "inner").select(
         *df.columns,
-        *[(F.sum(c).over(w_in) + F.col(f"{c}_off")).alias(f"{c}{suffix}") for c in sum_cols],
+        *[(F.sum(c).over(inside) + F.col(f"{c}_off")).alias(f"{c}{suffix}") for c in sum_cols],
+        *([F.col(f"{c}_all").alias(f"{c}{total_suffix}") for c in sum_cols] if total_suffix else []),
     )
 
 
 def ranks(df: DataFrame, group_col: str, order_col: str, name: str) -> DataFrame:
     """Adds ``name``: the 0-based rank (bigint) of each row in its group by
-    ``order_col``, unique within a group. Rows are laid out by range over all
-    groups and written once, so that a lost task can't change the layout; the
-    rank inside a range gets the count of its group's rows in the ranges before
-    it, and no task holds a whole group."""
-    laid = materialize(df.repartitionByRange(group_col, order_col).withColumn("_part", F.spark_partition_id()))
-    before = Window.partitionBy(group_col).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = laid.groupBy(group_col, "_part").agg(F.count(F.lit(1)).alias("_k")).select(
-        group_col, "_part", F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_off"))
-    inside = F.row_number().over(Window.partitionBy(group_col, "_part").orderBy(order_col)) - 1
-    return join_groups(laid, offsets, [group_col, "_part"], "inner").select(
-        *df.columns, (inside + F.col("_off")).cast("long").alias(name))
+    ``order_col``, unique within a group; no task holds a whole group."""
+    counted = running_totals(df.withColumn("_one", F.lit(1).cast("long")), [group_col], order_col, ["_one"])
+    return counted.select(*df.columns, (F.col("_one_cum") - 1).alias(name))
 
 
 def join_groups(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
@@ -108,18 +72,16 @@ def join_groups(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str
 
 def exact_percentiles(long_df: DataFrame, group_cols, value_col: str,
                       percentages: Sequence[float], names: Sequence[str] | None = None,
-                      buckets: int | None = None, weight_col: str | None = None) -> DataFrame:
+                      parts: int | None = None, weight_col: str | None = None) -> DataFrame:
     """Exact linear-interpolated percentiles (``percentile`` / pandas
     ``quantile`` / DuckDB ``quantile_cont``) of ``value_col`` per group,
     NULL and NaN ignored. Returns one row per group that has values, with one
     column per percentage.
 
-    Work: one distributed count per (group, value). A group with at most
-    ``SMALL_GROUP_KEYS`` distinct values is finished by the built-in
-    ``percentile`` with frequencies (its buffer holds those few distinct
-    values); a larger group goes through bucketed running totals, so no task
-    ever holds a whole large group. ``weight_col`` marks ``long_df`` as
-    already counted: one row per (group, value) with its row count."""
+    Work: one distributed count per (group, value), and running totals of the
+    counts; the values at the two places beside each percentage are read off
+    them. ``weight_col`` marks ``long_df`` as already counted: one row per
+    (group, value) with its row count."""
     group_cols = [group_cols] if isinstance(group_cols, str) else list(group_cols)
     names = list(names or [f"p{int(round(p * 100))}" for p in percentages])
     v = F.col(value_col)
@@ -128,32 +90,22 @@ def exact_percentiles(long_df: DataFrame, group_cols, value_col: str,
         counts = valid.groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("_w"))
     else:
         counts = valid.select(*group_cols, value_col, F.col(weight_col).cast("long").alias("_w"))
-    totals = counts.groupBy(*group_cols).agg(F.sum("_w").alias("_n"), F.count(F.lit(1)).alias("_keys"))
-    is_small = F.col("_keys") <= F.lit(SMALL_GROUP_KEYS)
-    tagged = join_groups(counts, totals, group_cols, "inner")
-
-    small = tagged.where(is_small).groupBy(*group_cols).agg(*[
-        F.percentile(F.col(value_col).cast("double"), float(p), F.col("_w")).alias(n)
-        for p, n in zip(percentages, names)])
-
-    large_counts = tagged.where(~is_small).select(*group_cols, value_col, "_w", "_n")
-    rt = running_totals(large_counts, group_cols, value_col, ["_w"], buckets, small_group_keys=0)
+    rt = running_totals(counts, group_cols, value_col, ["_w"], parts, total_suffix="_n")
     cum, prev = F.col("_w_cum"), F.col("_w_cum") - F.col("_w")
     aggs = []
     for p, name in zip(percentages, names):
-        h = (F.col("_n") - 1).cast("double") * F.lit(float(p))
+        h = (F.col("_w_n") - 1).cast("double") * F.lit(float(p))
         lo, hi = F.floor(h), F.ceil(h)
         aggs.append(F.max(F.when((prev <= lo) & (lo < cum), v)).alias(f"{name}__lo"))
         aggs.append(F.max(F.when((prev <= hi) & (hi < cum), v)).alias(f"{name}__hi"))
         aggs.append(F.max(h - lo).alias(f"{name}__f"))
-    agg = rt.groupBy(*group_cols).agg(*aggs)
     out = [F.col(g) for g in group_cols]
     for name in names:
         lo_v, hi_v, f = F.col(f"{name}__lo"), F.col(f"{name}__hi"), F.col(f"{name}__f")
         # as the built-in percentile does; lo + (hi - lo) * f would make NaN of infinities
         between = F.when((f == 0) | (lo_v == hi_v), lo_v).otherwise(lo_v * (1 - f) + hi_v * f)
         out.append(between.cast("double").alias(name))
-    return small.unionByName(agg.select(*out))
+    return rt.groupBy(*group_cols).agg(*aggs).select(*out)
 
 
 def stack_columns(df: DataFrame, cols: Sequence[str], name_col: str = "feature",

@@ -45,7 +45,7 @@ def binary_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
     )
 
 
-def roc_auc(df: DataFrame, label: str, score: str, buckets: int | None = None) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str, parts: int | None = None) -> DataFrame:
     """Exact ROC AUC of ``score`` for class 1 (ties count half); NULL
     when only one class is present. Equals ``BinaryClassificationEvaluator``
     with ``numBins=0``."""
@@ -53,7 +53,7 @@ def roc_auc(df: DataFrame, label: str, score: str, buckets: int | None = None) -
     per_score = df.groupBy(F.col(score).cast("double").alias("_s")).agg(
         F.sum((y == 1).cast("long")).alias("_pos"),
         F.sum((y != 1).cast("long")).alias("_neg"))
-    rt = running_totals(per_score, [], "_s", ["_neg"], buckets)
+    rt = running_totals(per_score, [], "_s", ["_neg"], parts)
     agg = rt.agg(
         F.sum(F.col("_pos").cast("double") * ((F.col("_neg_cum") - F.col("_neg")).cast("double")
                                               + F.col("_neg").cast("double") * 0.5)).alias("_u"),

@@ -89,7 +89,7 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2
     (``lehmer`` is the SQL-reproducible hash). Rows that share a key share a
     hash: in the boundary bucket they collapse to one (hash, multiplicity)
     group, and only the single group that straddles the quota is ranked, by
-    row id, through the bucketed running totals, in which a NULL label is a
+    row id, through the distributed running totals, in which a NULL label is a
     class as any other. No window ever sees a hot group."""
     train_name, test_name = names
     cols = df.columns
@@ -140,7 +140,7 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2
 
     # level 2: the straddling group (copies of one row, possibly many) is
     # ranked by row id with distributed running totals
-    straddle = edge.where(F.col("_h") == F.col("_hcut")).select(*cols, "_mid", "_r", F.lit(1).alias("_one"))
+    straddle = edge.where(F.col("_h") == F.col("_hcut")).select(*cols, "_mid", "_r", F.lit(1).cast("long").alias("_one"))
     ranked = running_totals(straddle, [label], "_mid", ["_one"])
     ranked = ranked.withColumn(split_col, F.when(F.col("_one_cum") <= F.col("_r"), F.lit(test_name))
                                .otherwise(F.lit(train_name)))

@@ -23,7 +23,7 @@ def brute_auc(ys, ss):
                 min_size=1, max_size=120))
 def test_auc_ties_half(spark, rows):
     df = spark.createDataFrame(rows, "y int, s double")
-    got = roc_auc(df, "y", "s", buckets=3).first()["auc"]
+    got = roc_auc(df, "y", "s", parts=3).first()["auc"]
     want = brute_auc([y for y, _ in rows], [s for _, s in rows])
     assert (got is None and want is None) or abs(got - want) < 1e-12
 

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from .. import spec
 from ..session import materialize
-from .profile import duplicate_rows, missing_profile
+from .profile import missing_profile
 
 GATE_SCHEMA = T.StructType([
     T.StructField("check", T.StringType(), False),
@@ -118,29 +118,22 @@ def data_quality_gate(df: DataFrame | None, label: str = spec.TARGET, min_rows:
             [("data_quality", False, [f"Test data file not found: {name}"], {})], GATE_SCHEMA)
     cols = df.columns
     cells = sum((F.col(c).isNull().cast("long") for c in cols), F.lit(0).cast("long"))
-    base = df.agg(F.count(F.lit(1)).cast("double").alias("rows"),
-                  F.coalesce(F.sum(cells), F.lit(0)).cast("double").alias("missing"))
-    longs = [base.select(F.lit("rows").alias("k"), F.col("rows").alias("v"), F.lit(None).cast("string").alias("t")),
-             base.select(F.lit("missing").alias("k"), F.col("missing").alias("v"),
-                         F.lit(None).cast("string").alias("t"))]
-    longs.append(duplicate_rows(df).select(F.lit("duplicates").alias("k"),
-                                           F.col("duplicate_rows").cast("double").alias("v"),
-                                           F.lit(None).cast("string").alias("t")))
-    if label in cols:
-        counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-        longs.append(counts.select(F.lit("class").alias("k"), F.col("n").cast("double").alias("v"),
-                                   F.col(label).cast("string").alias("t")))
-    long = longs[0]
-    for x in longs[1:]:
-        long = long.unionByName(x)
-    k, v = F.col("k"), F.col("v")
-    agg = long.agg(
-        F.max(F.when(k == "rows", v)).alias("rows"), F.max(F.when(k == "missing", v)).alias("missing"),
-        F.max(F.when(k == "duplicates", v)).alias("dups"),
-        F.sum(F.when(k == "class", v)).alias("labelled"), F.min(F.when(k == "class", v)).alias("min_class"),
-        F.count(F.when(k == "class", v)).alias("n_classes"),
-        F.array_sort(F.collect_list(F.when(k == "class", F.struct((-v).alias("o"), F.col("t").alias("t"),
-                                                                   v.alias("n"))))).alias("dist"))
+    n = F.col("_n")
+    # one read: copies fold to (row, count), on which every figure rests
+    per = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    value = F.col(label) if label in cols else F.lit(None).cast("string")
+    by_class = per.groupBy(value.alias("_value")).agg(
+        F.sum(n).cast("double").alias("_n"), F.sum(n * cells).cast("double").alias("_missing"),
+        F.sum(n - 1).cast("double").alias("_dups"))
+    in_class = F.col("_value").isNotNull()
+    text = F.col("_value").cast("string")
+    agg = by_class.agg(
+        F.coalesce(F.sum("_n"), F.lit(0.0)).alias("rows"), F.coalesce(F.sum("_missing"), F.lit(0.0)).alias("missing"),
+        F.coalesce(F.sum("_dups"), F.lit(0.0)).alias("dups"),
+        F.sum(F.when(in_class, n)).alias("labelled"), F.min(F.when(in_class, n)).alias("min_class"),
+        F.count(F.when(in_class, n)).alias("n_classes"),
+        F.array_sort(F.collect_list(F.when(in_class, F.struct((-n).alias("o"), text.alias("t"), n.alias("n")))))
+        .alias("dist"))
     rows, missing = F.col("rows"), F.col("missing")
     pct = F.try_divide(missing, rows * F.lit(float(len(cols)))) * F.lit(100.0)
     share_min = F.col("min_class") / F.col("labelled")

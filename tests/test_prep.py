@@ -4,6 +4,7 @@ and the distributed running totals they rest on."""
 import math
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -95,6 +96,19 @@ def test_exact_percentiles_match_numpy(spark, values, parts):
         assert np.allclose(got[g], want, rtol=1e-9, atol=1e-6)
 
 
+@pytest.mark.parametrize("parts", [1, 5])
+def test_percentiles_of_null_groups_infinities_and_counted_rows(spark, parts):
+    inf = float("inf")
+    rows = [(None, -inf, 2), (None, 5.0, 1), (None, 6.0, 1), ("a", 1.0, 10**10), ("a", 3.0, 10**10), ("b", None, 4),
+            ("c", float("nan"), 1), ("c", 7.0, 1)]
+    df = spark.createDataFrame(rows, "g string, v double, w long")
+    got = {r["g"]: (r["p25"], r["p50"], r["p75"]) for r in exact_percentiles(
+        df, "g", "v", [0.25, 0.5, 0.75], weight_col="w", parts=parts).collect()}
+    assert got == {None: (-inf, -inf, 5.25), "a": (1.0, 2.0, 3.0), "c": (7.0, 7.0, 7.0)}
+    empty = exact_percentiles(df.where("false"), "g", "v", [0.5], parts=parts)
+    assert empty.columns == ["g", "p50"] and empty.count() == 0
+
+
 def test_running_totals_over_many_parts_equal_window(spark):
     rows = [(i % 2, float(i * 7919 % 1000), 1) for i in range(2000)]
     df = spark.createDataFrame(rows, "g int, x double, w int").groupBy("g", "x").agg(F.sum("w").alias("w"))

@@ -12,14 +12,19 @@ Removed from a page are
 - branches that are no article by their element or their class, id or role
   (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles,
   comments of readers): presentation whose meaning is fixed;
-- low-importance branches, on hosts with ``MIN_PAGES`` pages with that path,
-  outside the page's article.
+- low-importance branches, on hosts with ``MIN_PAGES`` pages with that path. Below
+  an article (or main) element they go too, with two limits: words inside a
+  sentence stay (an inline element goes only where it stands alone in a
+  container), and an article of which nothing but headings or dates would be left
+  is a repeated article and stays whole.
 If the page has an article (or main) element, only its text stays. An article is
-never removed for being repeated: copies of one article are still articles.
+never removed for being repeated: copies of one article are still articles, and
+they count once for the entropies of the paths below it.
 
-Only (host, path) counts are shuffled, pre-aggregated per task; a host with a
-third of all pages is many partial counts. The low-importance paths are few, and
-are broadcast only after their number is checked.
+(host, path) counts are shuffled, pre-aggregated per task, and the distinct
+articles' path digests; a host with a third of all pages is many partial counts.
+The low-importance paths are few, and are broadcast only after their number is
+checked.
 
 A line-break element ends a block as a paragraph does.
 
@@ -65,6 +70,8 @@ CLOSES = {"li": {"li"}, "p": {"p"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr"
           "th": {"td", "th"}, "option": {"option"}, "body": {"head"}}
 ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 "
                    "h6 header hgroup hr main menu nav ol p pre section table ul".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup header time".split())
+CONTAINERS = frozenset("article main section div".split())
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}}
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -170,20 +177,25 @@ def host(url: str | None) -> str:
         return ""
 
 
-def styles(root: Element) -> dict[str, tuple[int, int]]:
+def styles(root: Element) -> list[tuple[str | None, str, int, int]]:
     """Of every style path of a page outside noise: digests of the children's
-    tags and of its own text."""
-    seen: dict[str, list[list[str]]] = {}
-    stack = [root]
+    tags and of its own text. Paths below the page's article carry a digest of the
+    article, by which its copies are folded."""
+    tops = set(map(id, regions(root)))
+    seen: tuple[dict, dict] = {}, {}
+    stack = [(root, False)]
     while stack:
-        e = stack.pop()
+        e, inside = stack.pop()
+        inside = inside or id(e) in tops
         kids = [c for c in e.children if isinstance(c, Element)]
-        entry = seen.setdefault(e.path, [[], []])
+        entry = seen[inside].setdefault(e.path, [[], []])
         entry[0].append(" ".join(dict.fromkeys(c.tag for c in kids)))
         entry[1].append(" ".join(c.strip() for c in e.children if isinstance(c, str)))
-        stack += [c for c in kids if not noise(c)]
-    return {p: (xxhash.xxh64_intdigest("|".join(a)) >> 1, xxhash.xxh64_intdigest("|".join(sorted(b))) >> 1)
-            for p, (a, b) in seen.items()}
+        stack += [(c, inside) for c in kids if not noise(c)]
+    page, article = ([(p, xxhash.xxh64_intdigest("|".join(a)) >> 1, xxhash.xxh64_intdigest("|".join(sorted(b))) >> 1)
+                      for p, (a, b) in s.items()] for s in seen)
+    copy = xxhash.xxh3_128_hexdigest(repr(sorted(article)))
+    return [(None, *r) for r in page] + [(copy, *r) for r in article]
 
 
 def regions(root: Element) -> list[Element]:
@@ -207,12 +219,36 @@ def _articles(e: Element) -> list[Element]:
     return out
 
 
+def _repeated(e: Element, low: frozenset[str] | set[str]) -> bool:
+    """Whether a branch below an article is a low-importance one that can go."""
+    if e.path not in low or e.tag in VOID:
+        return False
+    if e.tag not in INLINE:
+        return True
+    return e.parent.tag in CONTAINERS and not any(isinstance(c, str) and c.strip() for c in e.parent.children)
+
+
+def _has_story(tops: list[Element], low: frozenset[str] | set[str]) -> bool:
+    """Whether text other than headings and dates is left without the low branches."""
+    stack = list(tops)
+    while stack:
+        for c in stack.pop().children:
+            if isinstance(c, str):
+                if c.strip():
+                    return True
+            elif not (noise(c) or c.tag in HEADINGS or _repeated(c, low)):
+                stack.append(c)
+    return False
+
+
 def main_text(page: str, low: frozenset[str] | set[str] = frozenset()) -> str:
     """Blocks of a page's article, by one line break each."""
     if not page:
         return ""
     root = parse(page)
     chosen = regions(root)
+    if low and chosen and not _has_story(chosen, low):
+        low = frozenset()
     blocks: list[str] = []
     parts: list[str] = []
 
@@ -232,6 +268,9 @@ def main_text(page: str, low: frozenset[str] | set[str] = frozenset()) -> str:
                     flush()
             elif isinstance(c, str):
                 parts.append(entities.unescape(c) if "&" in c else c)
+            elif c is not top and chosen and _repeated(c, low):
+                if c.tag not in INLINE:
+                    flush()
             elif c is top or not (noise(c) or (not chosen and c.path in low)):
                 block = c.tag not in INLINE
                 if block:
@@ -245,11 +284,11 @@ def main_text(page: str, low: frozenset[str] | set[str] = frozenset()) -> str:
 
 def _style_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = [(host(u), p, *d) for u, page in zip(batch.column("url").to_pylist(), as_texts(batch.column("html")), strict=True)
-               if page for p, d in styles(parse(page)).items()]
+        out = [(host(u), *r) for u, page in zip(batch.column("url").to_pylist(), as_texts(batch.column("html")), strict=True)
+               if page for r in styles(parse(page))]
         yield pa.record_batch([pa.array([r[k] for r in out], t) for k, t in
-                               enumerate((pa.string(), pa.string(), pa.int64(), pa.int64()))],
-                              names=["host", "path", "look", "content"])
+                               enumerate((pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()))],
+                              names=["host", "copy", "path", "look", "content"])
 
 
 def _entropy(rows: DataFrame, by: str) -> DataFrame:
@@ -263,7 +302,9 @@ def _entropy(rows: DataFrame, by: str) -> DataFrame:
 def style_tree(pages: DataFrame) -> DataFrame:
     """(host, path, n, importance) of the merged trees of every host."""
     rows = stored(pages.select("url", F.col("html").cast("string").alias("html"))
-                  .mapInArrow(_style_rows, "host string, path string, look long, content long"), "styles")
+                  .mapInArrow(_style_rows, "host string, copy string, path string, look long, content long"), "styles")
+    # copies of one article count once for the paths below it
+    rows = rows.where("copy is null").union(rows.where("copy is not null").distinct()).drop("copy")
     own = (_entropy(rows, "look").join(_entropy(rows, "content").drop("n"), ["host", "path"])
            .select("host", "path", "n", ((F.col("h_look") + F.col("h_content")) / 2).alias("own")))
     # a branch is as important as its most important node

@@ -416,6 +416,23 @@ def test_site_text(spark):
     assert site_text.extract(df.limit(0)).count() == 0
 
 
+def test_site_text_drops_a_repeated_box_inside_articles(spark):
+    page = ("<html><body><article><h1>Title {0}</h1><p>Story {0}, <em>not</em> told<br>before</p><div class=box><p>The same words "
+            "in every article</p></div><p>End of {0}</p></article></body></html>")
+    pages = [(i, "https://h.example/%d" % i, page.format(i)) for i in range(20)]
+    # copies of one article outnumber the others of their host, under titles of their own and surrounded by other words
+    copied = "<html><body><div>{0}</div><article><h1>News</h1><p>One and the same story</p></article></body></html>"
+    pages += [(100 + i, "https://c.example/", copied.format(i)) for i in range(60)]
+    pages += [(200 + i, "https://c.example/", copied.replace("the same", f"{i}. other").format(i)) for i in range(9)]
+    pages += [(300 + i, "https://n.example/", copied.replace("News", f"News {i}").format(i)) for i in range(20)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in site_text.extract(df).collect()}
+    assert [got[i] for i in range(20)] == [f"Title {i}\nStory {i}, not told\nbefore\nEnd of {i}" for i in range(20)]
+    assert all(got[100 + i].endswith("One and the same story") for i in range(60))
+    assert all(got[200 + i].endswith(f"One and {i}. other story") for i in range(9))
+    assert [got[300 + i] for i in range(20)] == [f"News {i}\nOne and the same story" for i in range(20)]
+
+
 def test_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(0)
     net = toxicity.Network.fresh(rng)

@@ -17,7 +17,8 @@ Removed from a page are
   sentence stay (an inline element goes only where it stands alone in a
   container), and an article of which nothing but headings or dates would be left
   is a repeated article and stays whole.
-If the page has an article (or main) element, only its text stays. An article is
+If the page has article (or main) elements, only their text stays; of a main whose
+articles hold more than half of its text, only that of the articles. An article is
 never removed for being repeated: copies of one article are still articles, and
 they count once for the entropies of the paths below it.
 
@@ -199,26 +200,42 @@ def styles(root: Element) -> list[tuple[str | None, str, int, int]]:
 
 
 def regions(root: Element) -> list[Element]:
-    """The page's outermost article or main elements that aren't noise."""
+    """The page's outermost article or main elements that aren't noise; instead of
+    a main, the articles inside that hold most of its text."""
     found, stack = [], [root]
     while stack:
         e = stack.pop()
         if e.tag in ("article", "main") or e.role in ("main", "article"):
-            found.append(e)
+            articles = _articles(e) if e.tag == "main" else []
+            found += articles if articles and 2 * sum(map(_size, articles)) > _size(e) else [e]
         else:
             stack += [c for c in reversed(e.children) if isinstance(c, Element) and not noise(c)]
-    inner = [a for m in found if m.tag == "main" for a in _articles(m)]
-    return inner or found
+    return found
 
 
 def _articles(e: Element) -> list[Element]:
-    out = []
-    for c in e.children:
-        if isinstance(c, Element) and not noise(c):
-            out += [c] if c.tag == "article" else _articles(c)
+    out, stack = [], [e]
+    while stack:
+        e = stack.pop()
+        if e.tag == "article":
+            out.append(e)
+        else:
+            stack += [c for c in reversed(e.children) if isinstance(c, Element) and not noise(c)]
     return out
 
 
+def _size(e: Element) -> int:
+    """Characters of an element's text outside noise."""
+    size, stack = 0, [e]
+    while stack:
+        for c in stack.pop().children:
+            if isinstance(c, str):
+                size += len(c.strip())
+            elif not noise(c):
+                stack.append(c)
+    return size
+
+
 def _repeated(e: Element, low: frozenset[str] | set[str]) -> bool:
     """Whether a branch below an article is a low-importance one that can go."""
     if e.path not in low or e.tag in VOID:

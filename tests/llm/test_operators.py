@@ -433,6 +433,16 @@ def test_site_text_drops_a_repeated_box_inside_articles(spark):
     assert [got[300 + i] for i in range(20)] == [f"News {i}\nOne and the same story" for i in range(20)]
 
 
+def test_site_text_keeps_a_main_beside_article_cards():
+    body = "<h1>Title</h1><p>Lead</p><p>" + "The whole story. " * 5 + "</p>"
+    story = "Title\nLead\n" + ("The whole story. " * 5).strip()
+    card = "<article><p>Read this too</p></article>"
+    assert site_text.main_text(f"<main>{body}{card}</main>") == story + "\nRead this too"
+    assert site_text.main_text(f"<main>Filter<article>{body}</article></main>") == story
+    assert site_text.main_text(f"<main>{body}</main><main>{card}</main>") == story + "\nRead this too"
+    assert site_text.main_text(f"<article>{body}</article><main>{card}</main>") == story + "\nRead this too"
+
+
 def test_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(0)
     net = toxicity.Network.fresh(rng)

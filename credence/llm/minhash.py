@@ -8,9 +8,11 @@ document has fill the prefix first and cost nothing, and the most frequent
 values are skipped by it. T is the largest match count that a pair at the
 similarity threshold misses with a probability of at most ``MISS``.
 
-Every posting list is led by its least member, and members meet in the group
-of their leader: there collisions of whole signatures are counted, pairs
-below T matches fall away, and the others are confirmed on the full sets.
+Posting lists aren't merged, nor is one skipped while counting: every list is
+led by its least member, and members meet in the group of their leader. There
+collisions of whole signatures are counted for all pairs, also for those that
+share no list; pairs below T matches fall away, and the others are confirmed
+on the full sets.
 Only links that join two parts are returned, so a group of g copies gives
 g - 1 links, not g * g. A group over ``BLOCK`` members is dealt into blocks,
 and each pair of blocks is a task of its own.

@@ -15,10 +15,11 @@ queries are a stated set; nothing is broadcast or collected.
 
 Cases: a vector that is null, or holds a null or non-finite component, takes no
 part, nor does a row without id; shorter vectors count as padded with zeros, an
-empty vector scores 0. Candidates with the query's own id are its own rows;
-rows that repeat an id count as one vector (the greatest in array order); ties
-go to the smaller id. Scores beyond 64 bits stop at the limits of a long. Fewer
-candidates than k are all returned. An empty table gives no rows.
+empty vector scores 0. Candidates with the query's own id are its own rows.
+Rows that repeat both id and vector are one row; different vectors of one id are
+candidates each, and those of a query id are searched each and ranked together.
+Ties go to the smaller id. Scores beyond 64 bits stop at the limits of a long.
+Fewer candidates than k are all returned. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -46,9 +47,9 @@ def whole(embedding: str, scale: int = 256):
 
 
 def _blocks(vectors: DataFrame, size: int, name: str) -> DataFrame:
-    """(block, ids, vectors): rows in blocks of about ``size``, by id hash."""
+    """(block, ids, vectors): rows in blocks of about ``size``, by hash."""
     n = max(1, -(-vectors.count() // size))
-    return (vectors.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")).groupBy("block")
+    return (vectors.withColumn("block", F.pmod(F.xxhash64("vec_id", "x"), F.lit(n)).cast("int")).groupBy("block")
             .agg(F.sort_array(F.collect_list(F.struct("vec_id", "x"))).alias("rows"))
             .select("block", F.col("rows.vec_id").alias("ids"), F.col("rows.x").alias("x")))
 
@@ -114,7 +115,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     query_id, rank (from 1), vec_id, score."""
     def clean(df):
         return (df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("x").cast("array<long>").alias("x"))
-                .where("vec_id is not null and x is not null").groupBy("vec_id").agg(F.max("x").alias("x")))
+                .where("vec_id is not null and x is not null").distinct())
     file = stored(_blocks(clean(vectors), VECTOR_BLOCK, "file"), "vectors")
     asked = stored(_blocks(clean(queries), QUERY_BLOCK, "queries"), "queries")
     n = asked.agg(F.max("block")).first()[0]
@@ -122,7 +123,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     pairs = (file.select(F.col("block").alias("file_block"), "ids", "x", F.explode(numbers).alias("block"))
              .join(asked.select("block", F.col("ids").alias("q_ids"), F.col("x").alias("q")), "block")
              .repartition("block", "file_block"))
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+    schema = pa.schema([("block", pa.int32()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -130,9 +131,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
                 width = max(len(v) for v in row["x"] + row["q"])
                 found = list(search_block(np.array(row["q_ids"], np.int64), _matrix(row["q"], width),
                                           np.array(row["ids"], np.int64), _matrix(row["x"], width), k))
-                yield pa.record_batch([pa.array([f[j] for f in found], pa.int64()) for j in range(3)], schema=schema)
-    found = pairs.select("q_ids", "q", "ids", "x").mapInArrow(run, "query_id long, vec_id long, score long")
-    best = found.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list(
-        F.struct(F.bitwise_not("score").alias("s"), "vec_id", "score"))), 1, k).alias("top"))
+                yield pa.record_batch([pa.array([row["block"]] * len(found), pa.int32()),
+                                       *(pa.array([f[j] for f in found], pa.int64()) for j in range(3))], schema=schema)
+    found = pairs.select("block", "q_ids", "q", "ids", "x").mapInArrow(run, "block int, query_id long, vec_id long, score long")
+    top = F.slice(F.sort_array(F.collect_list(F.struct(F.bitwise_not("score").alias("s"), "vec_id", "score"))), 1, k)
+    # an id with many vectors is in many query blocks: first the best of each
+    of_block = found.groupBy("query_id", "block").agg(top.alias("top")).select("query_id", F.inline("top"))
+    best = of_block.groupBy("query_id").agg(top.alias("top"))
     return best.select("query_id", F.posexplode("top").alias("p", "t")).select(
         "query_id", (F.col("p") + 1).cast("int").alias("rank"), "t.vec_id", "t.score")

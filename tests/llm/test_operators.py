@@ -390,6 +390,22 @@ def test_vector_search(spark, monkeypatch):
     assert vector_search.top_k(x.limit(0), x.limit(0)).count() == 0
 
 
+def test_vector_search_keeps_rows_that_repeat_an_id(spark, monkeypatch):
+    monkeypatch.setattr(vector_search, "VECTOR_BLOCK", 8)
+    monkeypatch.setattr(vector_search, "QUERY_BLOCK", 2)
+    rng = random.Random(5)
+    rows = [(i % 30, [rng.randrange(-9, 10) for _ in range(3)]) for i in range(90)]
+    rows += [(7, [9, 9, 9])] * 3 + [(20, [9, 9, 8])] * 2 + [(8, [9, 9, 9]), (8, [9, 8, 9])]
+    df = spark.createDataFrame(rows, "vec_id long, x array<long>")
+    once = [(i, list(v)) for i, v in {(i, tuple(v)) for i, v in rows}]
+    got = {}
+    for r in vector_search.top_k(df, df.where("vec_id % 10 = 0")).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    for q in (0, 10, 20):
+        scores = sorted((-sum(a * b for a, b in zip(v, w)), j) for i, v in once for j, w in once if i == q and j != q)
+        assert sorted(got[q]) == [(n + 1, j, -s) for n, (s, j) in enumerate(scores[:5])], q
+
+
 PAGE = """<!DOCTYPE html><html><head><title>No</title><style>p{}</style><script>var a="</p><article>";</script></head><body>
 <header class="top">Site</header><nav><ul><li><a href=/>Home</a><li>More</ul></nav><div class="cookie-notice">Cookies!</div>
 <!-- <p>gone</p> --><div class="ad">Buy</div><aside>Side</aside><article><h1>Head &amp; more</h1><p><b>First   line<br>

@@ -42,7 +42,7 @@ from pyspark.sql import types as T
 
 from credence.llm.common import as_bytes
 
-WINDOW, STRIDE = 64, 48
+WINDOW, STRIDE = 64, 32
 WORD_DIM, CHAR_DIM, HIDDEN = 8, 8, 8
 BUCKETS = 1 << 15
 PREFIXES = 6

@@ -515,6 +515,13 @@ def test_toxicity(spark):
     assert all(r["predicted"] == 0 for r in toxicity.toxicity(df, labels.limit(0)).collect())
 
 
+def test_a_passage_of_half_a_window_lies_in_one_window():
+    half = toxicity.WINDOW // 2
+    for n in (half, 200, 333):
+        windows = [range(s, s + toxicity.WINDOW) for s in toxicity.window_starts(n)]
+        assert all(any(at in w and at + half - 1 in w for w in windows) for at in range(n - half + 1))
+
+
 def test_pipeline(spark, sf):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     kept = spark.read.parquet(f"{sf}/documents.parquet")

@@ -13,8 +13,8 @@ that scores highest is trained on, with one more window of texts labelled 0.
 The first choice of windows is by the log-odds of words and n-grams, which
 also start one dimension of the embeddings. It runs in one task, on
 ``SAMPLE`` labelled rows at most (a documented bound of the classifier's fit):
-the rows with the least hash of their id, one third with label 1 and the rest
-with label 0.
+those with the least hash of their id, one third with label 1 and the rest
+with label 0; of an id that repeats, the text with the least hash.
 Scoring covers every row and every word. Labels, lang, source and ids are no
 inputs of a score.
 
@@ -374,13 +374,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) ->
     half = [y.where(F.col("label") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
             for v, n in ((0, limit - limit // 3), (1, limit // 3))]
     chosen = F.broadcast(half[0].union(half[1]))  # `limit` pairs of numbers at most
-    return docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", "label")
+    least = F.min(F.struct(F.xxhash64("text"), "text"))  # one text per id, folded before one task reads them
+    return (docs.select("doc_id", "text").join(chosen, "doc_id").groupBy("doc_id", "label").agg(least.alias("t"))
+            .select("doc_id", "t.text", "label"))
 
 
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = [(d, t, y) for b in batches for d, t, y in zip(b.column("doc_id").to_pylist(), as_bytes(b.column("text")),
                                                           b.column("label").to_pylist(), strict=True)]
-    rows = sorted(set(rows))  # training doesn't depend on how rows arrive
+    rows = sorted(rows)  # training doesn't depend on how rows arrive
     net = train([t for _, t, _ in rows], [y for _, _, y in rows])
     yield pa.record_batch([pa.array([net.saved()], pa.binary())], names=["weights"])
 

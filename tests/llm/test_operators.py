@@ -522,6 +522,13 @@ def test_a_passage_of_half_a_window_lies_in_one_window():
         assert all(any(at in w and at + half - 1 in w for w in windows) for at in range(n - half + 1))
 
 
+def test_a_repeated_id_is_one_labelled_row(spark):
+    ids = [i for i in range(50) if zlib.crc32(str(i).encode()) % 4 != 2][:3]
+    df = docs(spark, ["one", "two", *(f"again {i}" for i in range(300)), None], [*ids, *ids[2:] * 300])
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, toxic int")
+    assert sorted(r["doc_id"] for r in toxicity.labelled_sample(df, labels).collect()) == ids
+
+
 def test_pipeline(spark, sf):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     kept = spark.read.parquet(f"{sf}/documents.parquet")

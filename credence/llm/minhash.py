@@ -118,7 +118,7 @@ def _node(hashes: np.ndarray) -> bytes:
 
 
 def _signed(width: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()),
+    schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()),
                         ("signature", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,7 +130,7 @@ def _signed(width: int):
                 n.append(len(hashes))
                 nodes.append(_node(hashes) if len(hashes) else None)
                 sigs.append(signature(hashes).view(np.int32) if len(hashes) else None)
-            yield pa.record_batch([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(nodes, pa.binary()),
+            yield pa.record_batch([batch.column("doc_id"), batch.column("digest"), pa.array(n, pa.int64()), pa.array(nodes, pa.binary()),
                                    pa.array(sigs, pa.list_(pa.int32()))], schema=schema)
     return run
 
@@ -271,16 +271,19 @@ def _confirm(t: int, per_100: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, per_100: int = 80, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (least doc_id
-    reachable over links of similarity >= per_100 / 100), kept."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+def _rooted(docs: DataFrame, width: int, per_100: int, id_col: str = "doc_id",
+            text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Signed rows; and (node, rep, digest, root) of every node: the least id of
+    its rows with the least digest of that id's texts, and its component."""
+    text = F.col(text_col).cast("string")
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("digest"))
     t = match_threshold(per_100 / 100)
-    signed = stored(docs.mapInArrow(_signed(width), "doc_id long, n_shingles long, node binary, signature array<int>"),
-                    "signatures")
-    full = signed.where("node is not null")
-    reps = stored(full.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("signature").alias("signature")),
+    signed = stored(docs.mapInArrow(_signed(width), "doc_id long, digest long, n_shingles long, node binary, "
+                                    "signature array<int>"), "signatures")
+    least = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "digest")))
+    reps = stored(signed.where("node is not null").groupBy("node")
+                  .agg(least.alias("least"), F.min("signature").alias("signature"))
+                  .select("node", F.col("least.doc_id").alias("rep"), F.col("least.digest").alias("digest"), "signature"),
                   "nodes")
     meetings = _meetings(_posts(reps, K - t + 1))
     shipped = (meetings.groupBy("node").agg(F.collect_list(F.struct("leader", "i", "j", "own")).alias("meetings"))
@@ -289,7 +292,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, per_100: int = 80, id_col:
             .mapInArrow(_sets_of(width), "leader binary, i int, j int, own int, node binary, hashes binary"))
     links = sets.groupBy("leader", "i", "j").applyInArrow(_confirm(t, per_100), "u binary, v binary")
     roots = stored(components(links), "roots")
-    named = reps.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return signed, (reps.select("node", "rep", "digest").join(roots, "node", "left")
+                    .withColumn("root", F.coalesce("root", "node")))
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, per_100: int = 80, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (least doc_id
+    reachable over links of similarity >= per_100 / 100), kept."""
+    signed, named = _rooted(docs, width, per_100, id_col, text_col)
+    full = signed.where("node is not null")
     names = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     classes = named.join(names, "root").select("node", "component_id")
     out = (full.select("doc_id", "n_shingles", "node").join(classes, "node")
@@ -300,7 +312,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, per_100: int = 80, id_col:
 
 def keep_one(docs: DataFrame, width: int = 5, per_100: int = 80) -> DataFrame:
     """Documents without near-duplicates: of each component the row of the
-    least doc_id stays, once if the row is repeated. Rows without an id stay."""
-    kept = near_duplicates(docs, width, per_100).where("kept and doc_id is not null").select("doc_id").distinct()
-    with_id = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    least doc_id stays (of its texts in the component that with the least digest),
+    once if the row is repeated. Rows without words or without an id stay."""
+    signed, named = _rooted(docs, width, per_100)
+    best = (named.where("rep is not null").groupBy("root").agg(F.min(F.struct("rep", "digest")).alias("best"))
+            .select(F.col("best.rep").alias("doc_id"), F.col("best.digest").alias("_digest")))
+    bare = signed.where("node is null and doc_id is not null").select("doc_id", F.col("digest").alias("_digest"))
+    kept = best.union(bare).distinct()
+    with_id = (docs.where("doc_id is not null").withColumn("_digest", F.xxhash64(F.col("text").cast("string")))
+               .join(kept, ["doc_id", "_digest"], "left_semi").dropDuplicates(["doc_id", "text"]))
     return with_id.select(docs.columns).unionByName(docs.where("doc_id is null"))

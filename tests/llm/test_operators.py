@@ -126,6 +126,14 @@ def test_near_duplicates_edges(spark):
     assert kept.columns == df.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == ["5", "9", "None", "None"]
 
 
+def test_keep_one_decides_by_row(spark):
+    a, b, c = ("".join(f" {x}{i}" for i in range(40)) for x in "abc")
+    rows = [(0, b), (1, a), (1, b + " end"), (2, c), (2, c + " end"), (2, c), (3, a + " end"), (4, ""), (4, None), (4, a)]
+    kept = minhash.keep_one(docs(spark, [t for _, t in rows], [i for i, _ in rows]), 3, 85).collect()
+    got = sorted((r["doc_id"], (r["text"] or "")[:2]) for r in kept)
+    assert got == [(0, " b"), (1, " a"), (2, " c"), (4, ""), (4, "")]
+
+
 def test_match_threshold():
     assert minhash.match_threshold(0.85) < 0.85 * minhash.K
     assert minhash.match_threshold(0.999999) > minhash.match_threshold(0.8)

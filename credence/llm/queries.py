@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 
 from credence.llm import (
     byte_bpe,
+    chat_parse,
     chat_repair,
     decontaminate,
     id_files,
     minhash,
+    periodic_runs,
     sharding,
     site_text,
     token_counts,
     toxicity,
+    vector_forest,
     vector_search,
 )
 from credence.llm.common import table
@@ -72,9 +75,60 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The rows of ``conversations`` after the damage that the query's contract
+    states, dropped ones marked by ``present`` = false."""
+    def shown(c: str):
+        return F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.pmod(F.crc32(F.concat(shown("conv_id"), F.lit(":"), shown("turn"))), F.lit(20))
+    text = F.when(kind == 1, "").when(kind == 2, F.translate(shown("text"), ".!?", "")).otherwise(shown("text"))
+    times = F.explode(F.array_repeat(F.lit(0), F.when(kind == 3, 2).otherwise(1)))
+    return conversations.select("conv_id", "turn", F.when(kind == 4, "user").otherwise(shown("role")).alias("role"),
+                                text.alias("text"), (kind != 0).alias("present"), times.alias("copy"))
+
+
+def op11_chat_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = chat_parse.hashed(chat_parse.repair(damaged(table(spark, sf_dir, "conversations")), F.col("present")))
+    return found.select("conv_id", "gaps", *(F.col(f"n_{c}").alias(c) for c in ("blank", "duplicate", "truncated", "illegal")),
+                        "cost", "audit", F.col("sha256").alias("repaired_sha256"))
+
+
+def op12_tree_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vector_forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text of ``documents``; the words of one row in ten, by the hash of
+    its id, repeat periodically from some word on, as the query's contract states.
+    A row without id stays as it is."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split("text", periodic_runs.WORD_SPACE), lambda w: w != "")
+    d = docs.select("doc_id", "text", g.alias("g"), F.when(h % 10 == 0, words).alias("w"))
+    d = d.withColumn("n", F.size("w")).withColumn("a", F.when(F.col("n") > 0, F.pmod("g", "n")))
+    d = d.withColumn("left", (F.col("n") - F.col("a")).cast("int"))
+    d = d.withColumn("p", (F.lit(1) + F.floor(F.col("left") / (3 + F.pmod("g", F.lit(8))))).cast("int"))
+    block = F.slice("w", (F.col("a") + 1).cast("int"), F.col("p"))
+    tail = F.slice(F.flatten(F.array_repeat(block, F.ceil(F.col("left") / F.col("p")).cast("int"))), F.lit(1), F.col("left"))
+    planted = F.concat_ws(" ", F.slice("w", F.lit(1), F.col("a").cast("int")), tail)
+    return d.select("doc_id", F.when(F.col("a").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(
+        "", F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n"))), "")
+    r = found.withColumn("best", periodic_runs.longest(F.col("runs")))
+    return r.select("doc_id", F.size("runs").cast("long").alias("n_runs"), *(F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")),
+                    F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+                    F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_maglev_shards, op2_minhash_join, op3_viterbi_counts, op4_byte_bpe, op5_chat_repair, op6_plane_files,
-    op7_decontaminate, op8_vector_files, op9_site_text, op10_toxicity)}
+    op7_decontaminate, op8_vector_files, op9_site_text, op10_toxicity, op11_chat_parse, op12_tree_forest,
+    op13_periodic_runs)}
 
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -136,5 +190,28 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5"""
 
+_CRC32 = f"xor(list_reduce(list_prepend(4294967295, list_transform(string_split({{}}, ''), lambda b: CAST(ascii(b) AS BIGINT))), " \
+    "lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"
+OP13_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+  {_CRC32.format("CAST(doc_id AS VARCHAR)")} AS h FROM documents),
+a AS (SELECT r, doc_id, w, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a, h // 10 AS g FROM d),
+p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+t AS (SELECT r, doc_id, n, CASE WHEN a IS NULL THEN w ELSE
+  list_transform(range(n), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END) END AS w FROM p),
+x AS (SELECT r, n, unnest(w) AS word, unnest(range(n)) AS i FROM t),
+e AS (SELECT a.r, a.i, b.i - a.i AS q FROM x a JOIN x b ON a.r = b.r AND a.word = b.word AND b.i > a.i AND 4 * (b.i - a.i) <= a.n),
+k AS (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS stretch FROM e),
+s AS (SELECT r, q, min(i) AS start, count(*) + q AS length FROM k GROUP BY r, q, stretch HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT r, start, length, min(q) AS period FROM s GROUP BY r, start, length),
+o AS (SELECT r, count(*) AS n_runs, first(struct_pack(start, length, period) ORDER BY length DESC, start, period) AS best,
+  string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM runs GROUP BY r),
+gone AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs),
+c AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS collapsed FROM x ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, best.start AS start, best.length AS length, best.period AS period,
+  1000 * best.length // best.period AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+  sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM t LEFT JOIN o USING (r) LEFT JOIN c USING (r)"""
+
 ORACLES = {"op1_maglev_shards": OP1_SQL, "op2_minhash_join": OP2_SQL, "op7_decontaminate": OP7_SQL,
-           "op8_vector_files": OP8_SQL}
+           "op8_vector_files": OP8_SQL, "op13_periodic_runs": OP13_SQL}

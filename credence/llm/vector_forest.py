@@ -109,8 +109,7 @@ class Forest:
                     roots[-1] = me
                 else:
                     children[parent[0]][parent[1]] = me
-        width = sample.shape[1] if len(sample) else 0
-        return Forest(np.array(directions).reshape(-1, width), np.array(thresholds), np.array(children, np.int64).reshape(-1, 2), roots)
+        return Forest(np.array(directions).reshape(-1, sample.shape[1]), np.array(thresholds), np.array(children, np.int64).reshape(-1, 2), roots)
 
     def leaves_of(self, x: np.ndarray) -> np.ndarray:
         """The leaf of every row in every tree (rows x trees)."""

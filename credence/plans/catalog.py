@@ -1,27 +1,30 @@
 """Catalog tables: feature sets, feature views, runs, model versions and
 published datasets (C1-C12, T2, S6, S9).
 
-Each table is an append-only Parquet folder under one catalog root (by
-default in the shared ``spark.checkpoint.dir``). Updates are new rows;
-readers pick the latest row per key with ``max_by`` aggregations (partial
-aggregation, no per-key window), and archived entries are removed with a
-``left_anti`` join against tombstones.
+Each table is an append-only table of commits (``commit_log``) under one
+catalog root, a durable folder that all writers share. Versions are
+allocated by optimistic commits: of writers that come at one time each gets
+its own. Updates are new rows; readers pick the latest row per key with
+``max_by`` aggregations over the commit number (partial aggregation, no
+per-key window), and archived entries are removed with a ``left_anti`` join
+against tombstones.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from .. import spec
 from ..functions.maps import merge_tags
 from ..operators.profile import schema_summary
 from ..operators.select import select_features, time_range
+from .commit_log import COMMIT, CommitLog
 
 FEATURE_TYPE = T.StructType([T.StructField("name", T.StringType()), T.StructField("type", T.StringType()),
                              T.StructField("description", T.StringType()),
@@ -73,38 +76,42 @@ class Catalog:
         self.root = root.rstrip("/")
 
     # --- generic ----------------------------------------------------------------
-    def path(self, table: str) -> str:
-        return f"{self.root}/{table}"
+    def log(self, table: str) -> CommitLog:
+        state = (lambda rows: current_versions(rows, COMMIT)) if table == "model_versions" else None
+        return CommitLog(self.spark, f"{self.root}/{table}", SCHEMAS[table], state)
 
     def read(self, table: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(SCHEMAS[table]).parquet(self.path(table))
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":  # an unreadable table is no empty table
-                raise
-            return self.spark.createDataFrame([], SCHEMAS[table])
+        return self.log(table).read().drop(COMMIT)
 
     def append(self, table: str, df: DataFrame) -> None:
-        df.select(*[F.col(f.name).cast(f.dataType) for f in SCHEMAS[table].fields]) \
-            .write.mode("append").parquet(self.path(table))
-
-    def _next_version(self, table: str, name: str) -> int:
-        row = self.read(table).where(F.col("name") == name).agg(F.max("version")).first()
-        return int(row[0] or 0) + 1
+        self.log(table).append(df)
+
+    def _add_version(self, table: str, name: str, row: DataFrame, **derived: Callable[[int], Column]) -> int:
+        """Appends a one-row frame as the name's next version (max + 1), with
+        columns that derive from the version; returns the version."""
+        made = row.first()   # built once, whatever the number of tries
+        fixed = self.spark.createDataFrame([made], row.schema)
+        got: list[int] = []
+
+        def build(rows: DataFrame) -> DataFrame:
+            top = rows.where(F.col("name") == name).agg(F.max("version")).first()[0]
+            got.append(int(top or 0) + 1)
+            return fixed.withColumns({"name": F.lit(name), "version": F.lit(got[-1])} | {
+                c: f(got[-1]) for c, f in derived.items()})
+        self.log(table).transact(build)
+        return got[-1]
 
     # --- feature sets (C1-C5) ------------------------------------------------------
     def create_feature_set(self, name: str, data: DataFrame | None = None, description: str = "",
                            tags: Mapping[str, str] | None = None, data_path: str | None = None) -> DataFrame:
         """A14 schema summary + name, version (max+1), tags and status
         ``created_with_schema``; ``created_metadata_only`` without data."""
-        version = self._next_version("feature_sets", name)
         now = _now()
         tag_map = F.create_map(*[x for k, v in (tags or {}).items() for x in (F.lit(k), F.lit(v))]) \
             if tags else F.create_map().cast("map<string,string>")
         if data is None:
             row = self.spark.range(1).select(
-                F.lit(name).alias("name"), F.lit(version).alias("version"), F.lit(description).alias("description"),
-                F.lit(None).cast(T.ArrayType(FEATURE_TYPE)).alias("features"),
+                F.lit(description).alias("description"), F.lit(None).cast(T.ArrayType(FEATURE_TYPE)).alias("features"),
                 F.lit(None).cast("long").alias("total_features"), F.lit(None).cast("long").alias("sample_count"),
                 F.lit(now).alias("created_at"), F.lit("created_metadata_only").alias("status"),
                 tag_map.alias("tags"), F.lit(data_path).cast("string").alias("data_path"))
@@ -117,11 +124,10 @@ class Catalog:
                                                s["description"].alias("description"),
                                                s["nullable"].alias("nullable"))).alias("features"),
                 F.count(F.lit(1)).alias("total_features"), F.max("sample_count").alias("sample_count")
-            ).select(F.lit(name).alias("name"), F.lit(version).alias("version"),
-                     F.lit(description).alias("description"), "features", "total_features", "sample_count",
+            ).select(F.lit(description).alias("description"), "features", "total_features", "sample_count",
                      F.lit(now).alias("created_at"), F.lit("created_with_schema").alias("status"),
                      tag_map.alias("tags"), F.lit(data_path).cast("string").alias("data_path"))
-        self.append("feature_sets", row)
+        version = self._add_version("feature_sets", name, row)
         return self.read("feature_sets").where((F.col("name") == name) & (F.col("version") == version))
 
     def archive_feature_set(self, name: str, version: int) -> None:
@@ -155,9 +161,8 @@ class Catalog:
                             description: str = "", view: str | None = None) -> DataFrame:
         """Named feature subset bound to a set version; also registered as
         a temporary SQL view of the selected data."""
-        version = self._next_version("feature_views", name)
-        self.append("feature_views", self.spark.range(1).select(
-            F.lit(name).alias("name"), F.lit(version).alias("version"), F.lit(set_name).alias("feature_set_name"),
+        self._add_version("feature_views", name, self.spark.range(1).select(
+            F.lit(set_name).alias("feature_set_name"),
             F.lit(int(set_version)).alias("feature_set_version"),
             F.array(*[F.lit(f) for f in features]).alias("features"), F.lit(description).alias("description"),
             F.lit(_now()).alias("created_at")))
@@ -192,7 +197,6 @@ class Catalog:
         metrics; from a job only when its status is Completed."""
         if job_status is not None and job_status != "Completed":
             raise ValueError(f"Job {training_job} has not completed successfully. Status: {job_status}")
-        version = self._next_version("model_versions", name)
         base = F.create_map(*[x for k, v in (tags or {}).items() for x in (F.lit(k), F.lit(str(v)))]) \
             if tags else F.create_map().cast("map<string,string>")
         props = F.create_map(*[x for k, v in (properties or {}).items() for x in (F.lit(k), F.lit(str(v)))]) \
@@ -206,33 +210,36 @@ class Catalog:
         else:
             tag_col, src = base, self.spark.range(1)
         now = _now()
-        row = src.select(F.lit(name).alias("name"), F.lit(version).alias("version"),
-                         F.lit(f"{name}:{version}").alias("id"), F.lit(training_job).alias("training_job"),
+        row = src.select(F.lit(training_job).alias("training_job"),
                          F.lit(now).alias("registration_time"), tag_col.alias("tags"), props.alias("properties"),
                          F.lit(description).alias("description"), F.lit(path).alias("path"),
                          F.lit(now).alias("updated_at"))
-        self.append("model_versions", row)
+        version = self._add_version("model_versions", name, row, id=lambda v: F.lit(f"{name}:{v}"))
         return self.model_versions().where((F.col("name") == name) & (F.col("version") == version))
 
     def model_versions(self) -> DataFrame:
         """Current state: the latest row per (name, version)."""
-        return current_versions(self.read("model_versions"))
+        return current_versions(self.log("model_versions").read(), COMMIT).drop(COMMIT)
 
     def add_model_tags(self, name: str, version: int, tags: Mapping[str, str]) -> DataFrame:
-        """Merge tags onto a version, the new value winning."""
-        cur = self.model_versions().where((F.col("name") == name) & (F.col("version") == int(version)))
+        """Merge tags onto a version, the new value winning. Merges that
+        come at one time all hold."""
         new = F.create_map(*[x for k, v in tags.items() for x in (F.lit(k), F.lit(str(v)))])
-        updated = cur.withColumn("tags", merge_tags(F.col("tags"), new)).withColumn("updated_at", F.lit(_now()))
-        if updated.count() == 0:
-            raise KeyError(f"model {name}:{version} not found")
-        self.append("model_versions", updated)
-        return self.model_versions().where((F.col("name") == name) & (F.col("version") == int(version)))
+        mine = (F.col("name") == name) & (F.col("version") == int(version))
+
+        def build(rows: DataFrame) -> DataFrame:
+            cur = current_versions(rows.where(mine), COMMIT).drop(COMMIT)
+            if cur.isEmpty():
+                raise KeyError(f"model {name}:{version} not found")
+            return cur.withColumn("tags", merge_tags(F.col("tags"), new)).withColumn("updated_at", F.lit(_now()))
+        self.log("model_versions").transact(build)
+        return self.model_versions().where(mine)
 
 
-def current_versions(rows: DataFrame) -> DataFrame:
-    """Latest row per (name, version) by ``updated_at``."""
+def current_versions(rows: DataFrame, by: str = "updated_at") -> DataFrame:
+    """Latest row per (name, version)."""
     cols = [c for c in rows.columns if c not in ("name", "version")]
-    agg = rows.groupBy("name", "version").agg(F.max_by(F.struct(*cols), "updated_at").alias("r"))
+    agg = rows.groupBy("name", "version").agg(F.max_by(F.struct(*cols), by).alias("r"))
     return agg.select("name", "version", *[F.col(f"r.{c}").alias(c) for c in cols])
 
 
@@ -325,19 +332,17 @@ def resolve_versions(requests: DataFrame, models: DataFrame, selected: DataFrame
 
 
 def publish_dataset(catalog: Catalog, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
-    """Write ``df`` under ``datasets/<name>/version=<n>`` (n = max+1) and
-    append a catalog row; returns the version."""
-    version = catalog._next_version("datasets", name)
-    path = f"{catalog.root}/data/{name}/version={version}"
-    w = df.write.mode("errorifexists")  # of two writers of one version, one fails
+    """Write ``df`` to a folder of its own, then append the catalog row that
+    names it as the next version; returns the version. Of writers that come at
+    one time each gets a version; a writer that fails leaves none."""
+    path = f"{catalog.root}/data/{name}/{uuid.uuid4().hex}"
+    w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     rows = catalog.spark.read.parquet(path).count()
-    catalog.append("datasets", catalog.spark.range(1).select(
-        F.lit(name).alias("name"), F.lit(version).cast("long").alias("version"), F.lit(path).alias("path"),
-        F.lit(rows).cast("long").alias("rows"), F.lit(_now()).alias("created_at")))
-    return version
+    return catalog._add_version("datasets", name, catalog.spark.range(1).select(
+        F.lit(path).alias("path"), F.lit(rows).cast("long").alias("rows"), F.lit(_now()).alias("created_at")))
 
 
 def read_dataset(catalog: Catalog, name: str, version: int | None = None) -> DataFrame:

@@ -17,7 +17,8 @@ sum of the squared distances to the hyperplanes that were crossed on the way;
 the least is taken first, until the leaves read hold ``budget`` vectors. Leaves
 and the queries that read them meet in one sort by leaf: a task holds a block
 and streams its queries. Cosines are ranked by a matrix product, the best (and
-all within rounding of them) computed again in extended precision.
+all within rounding of them) computed again in extended precision; a task passes on
+the k + 1 best of a query over its leaves.
 
 Budget. What the search must read depends on the data, so it is measured:
 ``CALIBRATION`` query vectors (by hash) are compared with all vectors, and the
@@ -50,6 +51,7 @@ TREES, LEAF, LEAVES = 4, 256, 4096
 SAMPLE, SAMPLE_LEAF = 65_536, 16
 BLOCK = 16_384
 CALIBRATION, RECALL = 128, 0.95
+HELD = 20_000   # queries whose best a task holds before it passes them on
 CLOSE = 1e-9   # more than the rounding of a matrix product of unit vectors
 
 
@@ -295,6 +297,12 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, budget: int | None
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, x, owners = None, [], []
+        best: dict[int, list[tuple]] = {}   # of each query, over the leaves of this task
+
+        def told() -> pa.RecordBatch:
+            found = [(i, -far, rows) for i, near in best.items() for far, _, _, rows in near]
+            best.clear()
+            return pa.record_batch([pa.array([f[n] for f in found], schema.field(n).type) for n in range(3)], schema=schema)
         for b in batches:
             keys = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
             q = np.array([-1 if v is None else v for v in b.column(3).to_pylist()], np.int64)
@@ -311,11 +319,14 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, budget: int | None
                     first = np.array([o[0]["vec_id"] for o in owners])
                     for at in range(0, hi - lo, 256):
                         some = part.slice(at, 256)
-                        best = _best(units(some.column(2).to_pylist(), width), x[0], first, k + 1)
-                        yield pa.record_batch([
-                            pa.array(np.repeat(q[lo + at: lo + at + len(best)], [len(r) for r in best])),
-                            pa.array([s for r in best for s, _ in r], pa.float64()),
-                            pa.array([owners[i] for r in best for _, i in r], schema.field("rows").type)], schema=schema)
+                        near = _best(units(some.column(2).to_pylist(), width), x[0], first, k + 1)
+                        for i, got in zip(q[lo + at: lo + at + len(near)].tolist(), near, strict=True):
+                            merged = best.get(i, []) + [(-s, owners[r][0]["vec_id"], owners[r][0]["row"], owners[r]) for s, r in got]
+                            once = {m[2]: m for m in merged}
+                            best[i] = sorted(once.values(), key=lambda m: m[:3])[: k + 1]
+                        if len(best) > HELD:
+                            yield told()
+        yield told()
     found = met.mapInArrow(search, f"q long, score double, rows {pairs}")
     # a vector that is found in several trees counts once
     once = found.groupBy("q", F.col("rows")[0]["row"].alias("r")).agg(F.max("score").alias("score"), F.first("rows").alias("rows"))

@@ -48,7 +48,9 @@ class WordEncoder:
     """Ids of whole texts by the tokenizers library. The tokenizer drops white
     space between words, so each distinct word is encoded once while it is
     remembered, many in one call, parted by a special token. Marks at a word's
-    end, after a letter or digit, are tokens of their own and are encoded apart."""
+    end, after a letter or digit, are tokens of their own and are encoded apart -
+    unless normalising makes the letter end in a sign that joins the marks, which
+    the tokenizer itself is asked for, once for each such letter."""
 
     TAIL = ".,;:!?"
 
@@ -58,6 +60,15 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_str(text)
         self.part, self.part_id = min((t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items())
         self.known: dict[bytes, bytes] = {}
+        self.apart: dict[str, bool] = {}
+
+    def stands_apart(self, letter: str) -> bool:
+        """Whether a mark behind this character is a piece of its own."""
+        if letter not in self.apart:
+            normal = self.tokenizer.normalizer.normalize_str(letter)
+            pieces = [self.tokenizer.pre_tokenizer.pre_tokenize_str(normal + mark)[-1][0] for mark in self.TAIL]
+            self.apart[letter] = letter.isalnum() and pieces == list(self.TAIL)
+        return self.apart[letter]
 
     def __call__(self, texts: list[str], end_id: int = END_ID) -> list[bytes]:
         """Ids of each text, with the end id, as little-endian 32-bit numbers."""
@@ -70,7 +81,7 @@ class WordEncoder:
         for w in new:
             word = w.decode()
             core = word.rstrip(self.TAIL)
-            cut[w] = (core, word[len(core):]) if core and core[-1].isalnum() else (word, "")
+            cut[w] = (core, word[len(core):]) if core and self.stands_apart(core[-1]) else (word, "")
         need = {p for pair in cut.values() for p in pair if p and p.encode() not in known}
         plain = sorted(p for p in need if "<|" not in p)
         for at in range(0, len(plain), 1000):

@@ -39,11 +39,10 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
-from urllib.parse import urlsplit
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from credence.llm.common import as_texts, stored
@@ -171,11 +170,12 @@ def _within(e: Element, tag: str) -> bool:
     return False
 
 
-def host(url: str | None) -> str:
-    try:
-        return (urlsplit(url or "").hostname or "").lower()
-    except ValueError:
-        return ""
+def host(url: str) -> Column:
+    """The host of an address, lower-cased: what stands between ``//``, a user name,
+    and a port or path, whatever characters it or the rest has. The tree and the
+    page take theirs from here."""
+    found = F.regexp_extract(F.col(url).cast("string"), r"^\s*[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?(\[[^\]]*\]|[^/?#:]*)", 1)
+    return F.coalesce(F.lower(found), F.lit(""))
 
 
 def styles(root: Element) -> list[tuple[str | None, str, int, int]]:
@@ -301,7 +301,7 @@ def main_text(page: str, low: frozenset[str] | set[str] = frozenset()) -> str:
 
 def _style_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = [(host(u), *r) for u, page in zip(batch.column("url").to_pylist(), as_texts(batch.column("html")), strict=True)
+        out = [(h, *r) for h, page in zip(batch.column("host").to_pylist(), as_texts(batch.column("html")), strict=True)
                if page for r in styles(parse(page))]
         yield pa.record_batch([pa.array([r[k] for r in out], t) for k, t in
                                enumerate((pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()))],
@@ -318,7 +318,7 @@ def _entropy(rows: DataFrame, by: str) -> DataFrame:
 
 def style_tree(pages: DataFrame) -> DataFrame:
     """(host, path, n, importance) of the merged trees of every host."""
-    rows = stored(pages.select("url", F.col("html").cast("string").alias("html"))
+    rows = stored(pages.select(host("url").alias("host"), F.col("html").cast("string").alias("html"))
                   .mapInArrow(_style_rows, "host string, copy string, path string, look long, content long"), "styles")
     # copies of one article count once for the paths below it
     rows = rows.where("copy is null").union(rows.where("copy is not null").distinct()).drop("copy")
@@ -338,8 +338,7 @@ def extract(pages: DataFrame) -> DataFrame:
            .where("path not in ('', '>html', '>html>body')")
            .groupBy("host").agg(F.collect_set("path").alias("low")))
     low = stored(low.select(F.col("host").alias("_host"), "low"), "low")
-    p = pages.select("page_id", "url", F.col("html").cast("string").alias("html"))
-    p = p.withColumn("_host", F.coalesce(F.lower(F.try_parse_url(F.col("url"), F.lit("HOST"))), F.lit("")))
+    p = pages.select("page_id", "url", F.col("html").cast("string").alias("html"), host("url").alias("_host"))
     size = low.agg(F.coalesce(F.sum(F.size("low")), F.lit(0))).first()[0]
     p = p.join(F.broadcast(low) if size <= BROADCAST_PATHS else low, "_host", "left").select("page_id", "url", "html", "low")
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])

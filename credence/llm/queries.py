@@ -64,7 +64,7 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_vector_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = (table(spark, sf_dir, "embeddings").select("vec_id", vector_search.whole("embedding").alias("x")))
-    return vector_search.top_k(x, x.where("vec_id % 50 = 0"), k=5)
+    return vector_search.top_k(x, F.col("vec_id") % 50 == 0, k=5).select("query_id", "rank", "vec_id", "score")
 
 
 def op9_site_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,12 +182,12 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS B
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)"""
 
 OP8_SQL = """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+WITH v AS (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
   FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+s AS (SELECT q.vec_id AS query_id, q.row AS q_row, c.row AS c_row, c.vec_id AS vec_id,
   CAST(list_sum(list_transform(range(len(q.x)), lambda i: q.x[i + 1] * c.x[i + 1])) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.row <> q.row),
+r AS (SELECT *, row_number() OVER (PARTITION BY q_row ORDER BY score DESC, vec_id, c_row) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5"""
 
 _CRC32 = f"xor(list_reduce(list_prepend(4294967295, list_transform(string_split({{}}, ''), lambda b: CAST(ascii(b) AS BIGINT))), " \

@@ -15,10 +15,9 @@ queries are a stated set; nothing is broadcast or collected.
 
 Cases: a vector that is null, or holds a null or non-finite component, takes no
 part, nor does a row without id; shorter vectors count as padded with zeros, an
-empty vector scores 0. Candidates with the query's own id are its own rows.
-Rows that repeat both id and vector are one row; different vectors of one id are
-candidates each, and those of a query id are searched each and ranked together.
-Ties go to the smaller id. Scores beyond 64 bits stop at the limits of a long.
+empty vector scores 0. A query's candidates are all rows but its own: rows that
+repeat its id, or its id and vector, are candidates each, and each asks for
+itself if it is a query. Ties go to the smaller id. Scores beyond 64 bits stop at the limits of a long.
 Fewer candidates than k are all returned. An empty table gives no rows.
 """
 
@@ -28,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from credence.llm.common import stored
@@ -47,11 +46,11 @@ def whole(embedding: str, scale: int = 256):
 
 
 def _blocks(vectors: DataFrame, size: int, name: str) -> DataFrame:
-    """(block, ids, vectors): rows in blocks of about ``size``, by hash."""
+    """(block, ids, row numbers, vectors): rows in blocks of about ``size``, by hash."""
     n = max(1, -(-vectors.count() // size))
-    return (vectors.withColumn("block", F.pmod(F.xxhash64("vec_id", "x"), F.lit(n)).cast("int")).groupBy("block")
-            .agg(F.sort_array(F.collect_list(F.struct("vec_id", "x"))).alias("rows"))
-            .select("block", F.col("rows.vec_id").alias("ids"), F.col("rows.x").alias("x")))
+    return (vectors.withColumn("block", F.pmod(F.xxhash64("vec_id", "row"), F.lit(n)).cast("int")).groupBy("block")
+            .agg(F.sort_array(F.collect_list(F.struct("vec_id", "row", "x"))).alias("rows"))
+            .select("block", F.col("rows.vec_id").alias("ids"), F.col("rows.row").alias("rows"), F.col("rows.x").alias("x")))
 
 
 def _matrix(rows: list[list[int]], width: int) -> np.ndarray:
@@ -90,53 +89,54 @@ class Approximation:
         return middle, np.abs(q) @ self.step / 2 + 1 + 1e-9 * reach  # also rounding
 
 
-def search_block(q_ids, q, x_ids, x, k: int) -> Iterator[tuple[int, int, int]]:
-    """(query, vector, score) of each query's k best rows of a block."""
+def search_block(q_rows, q, x_ids, x_rows, x, k: int) -> Iterator[tuple[int, int, int, int]]:
+    """(query row, vector, its row, score) of each query's k best rows of a block."""
     file = Approximation(x)
     middle, slack = file.bounds(q)
-    for i, own in enumerate(q_ids):
-        score = np.where(x_ids == own, -np.inf, middle[i])
-        order = np.argsort(-score, kind="stable")[: len(score) - int((x_ids == own).sum())]
-        best: list[tuple[int, int]] = []
+    for i, own in enumerate(q_rows):
+        score = np.where(x_rows == own, -np.inf, middle[i])
+        order = np.argsort(-score, kind="stable")[: len(score) - int((x_rows == own).sum())]
+        best: list[tuple[int, int, int]] = []
         at, size = 0, 4 * k
         while at < len(order):
             if len(best) == k and score[order[at]] + slack[i] < best[-1][0] * -1:
                 break
             part = order[at: at + size]
             got = _exact(q[i], x[part])
-            best = sorted([*best, *((-int(s), int(x_ids[r])) for s, r in zip(got, part, strict=True))])[:k]
+            best = sorted([*best, *((-int(s), int(x_ids[r]), int(x_rows[r])) for s, r in zip(got, part, strict=True))])[:k]
             at, size = at + size, 2 * size
-        for s, r in best:
-            yield int(own), r, -s
-
-
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
-    """vectors, queries: (vec_id, x array<long>). Each query's k best vectors:
-    query_id, rank (from 1), vec_id, score."""
-    def clean(df):
-        return (df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("x").cast("array<long>").alias("x"))
-                .where("vec_id is not null and x is not null").distinct())
-    file = stored(_blocks(clean(vectors), VECTOR_BLOCK, "file"), "vectors")
-    asked = stored(_blocks(clean(queries), QUERY_BLOCK, "queries"), "queries")
+        for s, r, row in best:
+            yield int(own), r, row, -s
+
+
+def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
+    """vectors: (vec_id, x array<long>); is_query: which rows ask. Each asking
+    row's k best rows: query_id, row (number of the asking row), rank (from 1),
+    vec_id, score."""
+    rows = (vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("x").cast("array<long>").alias("x"),
+                           F.coalesce(is_query, F.lit(False)).alias("asks")).where("vec_id is not null and x is not null"))
+    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "vector-rows")
+    file = stored(_blocks(rows, VECTOR_BLOCK, "file"), "vectors")
+    asked = stored(_blocks(rows.where("asks"), QUERY_BLOCK, "queries"), "queries")
     n = asked.agg(F.max("block")).first()[0]
     numbers = F.sequence(F.lit(0), F.lit(n if n is not None else 0))
-    pairs = (file.select(F.col("block").alias("file_block"), "ids", "x", F.explode(numbers).alias("block"))
-             .join(asked.select("block", F.col("ids").alias("q_ids"), F.col("x").alias("q")), "block")
+    pairs = (file.select(F.col("block").alias("file_block"), "ids", "rows", "x", F.explode(numbers).alias("block"))
+             .join(asked.select("block", F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"), F.col("x").alias("q")), "block")
              .repartition("block", "file_block"))
-    schema = pa.schema([("block", pa.int32()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+    schema = pa.schema([(c, pa.int64()) for c in ("query_id", "query_row", "vec_id", "row", "score")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                width = max(len(v) for v in row["x"] + row["q"])
-                found = list(search_block(np.array(row["q_ids"], np.int64), _matrix(row["q"], width),
-                                          np.array(row["ids"], np.int64), _matrix(row["x"], width), k))
-                yield pa.record_batch([pa.array([row["block"]] * len(found), pa.int32()),
-                                       *(pa.array([f[j] for f in found], pa.int64()) for j in range(3))], schema=schema)
-    found = pairs.select("block", "q_ids", "q", "ids", "x").mapInArrow(run, "block int, query_id long, vec_id long, score long")
-    top = F.slice(F.sort_array(F.collect_list(F.struct(F.bitwise_not("score").alias("s"), "vec_id", "score"))), 1, k)
-    # an id with many vectors is in many query blocks: first the best of each
-    of_block = found.groupBy("query_id", "block").agg(top.alias("top")).select("query_id", F.inline("top"))
-    best = of_block.groupBy("query_id").agg(top.alias("top"))
-    return best.select("query_id", F.posexplode("top").alias("p", "t")).select(
-        "query_id", (F.col("p") + 1).cast("int").alias("rank"), "t.vec_id", "t.score")
+            for r in batch.to_pylist():
+                width = max(len(v) for v in r["x"] + r["q"])
+                of = dict(zip(r["q_rows"], r["q_ids"], strict=True))
+                found = [(of[f[0]], *f) for f in search_block(np.array(r["q_rows"], np.int64), _matrix(r["q"], width),
+                         np.array(r["ids"], np.int64), np.array(r["rows"], np.int64), _matrix(r["x"], width), k)]
+                yield pa.record_batch([pa.array([f[j] for f in found], pa.int64()) for j in range(5)], schema=schema)
+    found = pairs.select("q_ids", "q_rows", "q", "ids", "rows", "x").mapInArrow(
+        run, "query_id long, query_row long, vec_id long, row long, score long")
+    entry = F.struct(F.bitwise_not("score").alias("s"), "vec_id", "row", "score")
+    best = found.groupBy("query_row").agg(F.first("query_id").alias("query_id"),
+                                          F.slice(F.sort_array(F.collect_list(entry)), 1, k).alias("top"))
+    return best.select("query_id", F.col("query_row").alias("row"), F.posexplode("top").alias("p", "t")).select(
+        "query_id", "row", (F.col("p") + 1).cast("int").alias("rank"), "t.vec_id", "t.score")

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from credence.llm.common import ascii_lower, stored
+from credence.llm.common import ascii_lower, free_name, stored
 
 SIZE = 10
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -101,9 +101,10 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = SIZE) -> Da
     """Documents in which no benchmark window occurs; all columns stay. Rows
     that share an id are judged by their own texts."""
     key = F.struct(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.xxhash64("text"), F.hash("text"))
+    name = free_name(docs, "_key")
     bad = (find_hits(docs.select(key.alias("k"), "text"), items, size, id_col="k")
-           .where("size(spans) > 0").select(F.col("doc_id").alias("_llm_key")).distinct())
-    return docs.withColumn("_llm_key", key).join(bad, "_llm_key", "left_anti").select(docs.columns)
+           .where("size(spans) > 0").select(F.col("doc_id").alias(name)).distinct())
+    return docs.withColumn(name, key).join(bad, name, "left_anti").select(docs.columns)
 
 
 def cut_spans(docs: DataFrame, items: DataFrame, size: int = SIZE) -> DataFrame:

@@ -36,12 +36,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from credence.llm.common import as_bytes, stored
+from credence.llm.common import as_bytes, free_name, stored
 from credence.llm.components import components
 
 K = 48            # signature coordinates
 MISS = 1e-7       # chance that a pair at the threshold falls below T matches
 BLOCK = 256       # members of a leader's group that one task holds on a side
+SALTS = 64        # parts that the members of a large group come in
 CACHE = 400_000   # words whose hashes a task keeps at once
 SEED = 20_240_229
 
@@ -151,9 +152,13 @@ def _meetings(posts: DataFrame) -> DataFrame:
     the node takes part. Each two members of a posting list meet in one."""
     leaders = posts.groupBy("token").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1")
     members = stored(posts.join(leaders.drop("n"), "token").select("leader", "node").distinct(), "members")
-    sizes = members.groupBy("leader").agg(F.count("*").alias("n"))
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    dealt = (members.join(sizes, "leader")
+    # the size is asked of large groups only, and joined to each salt of theirs, so
+    # that a large group's members come to many tasks
+    salt = F.pmod(F.xxhash64("node", F.lit(7)), F.lit(SALTS)).cast("int")
+    sizes = (members.groupBy("leader").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
+             .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    blocks = F.ceil(F.coalesce(F.col("n"), F.lit(1)) / BLOCK).cast("int")
+    dealt = (members.withColumn("salt", salt).join(sizes, ["leader", "salt"], "left")
              .select("leader", "node", blocks.alias("blocks"),
                      F.pmod(F.xxhash64("node"), blocks).cast("int").alias("own"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
@@ -167,14 +172,16 @@ def _sets_of(width: int):
                         ("node", pa.binary()), ("hashes", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _WordHashes()
+        words, last = _WordHashes(), None
         for batch in batches:
             out: list[tuple] = []
             size = 0
             for text, node, meetings in zip(as_bytes(batch.column("text")), batch.column("node").to_pylist(),
                                             batch.column("meetings").to_pylist(), strict=True):
-                hashes = shingle_set(text, width, words)
-                if not len(hashes) or _node(hashes) != node:  # another text under the same id
+                if node == last:  # a repeated row
+                    continue
+                hashes, last = shingle_set(text, width, words), node
+                if not len(hashes) or _node(hashes) != node:  # another text of the same digest
                     continue
                 for m in meetings:
                     out.append((m["leader"], m["i"], m["j"], m["own"], node, hashes.tobytes()))
@@ -280,15 +287,17 @@ def _rooted(docs: DataFrame, width: int, per_100: int, id_col: str = "doc_id",
     t = match_threshold(per_100 / 100)
     signed = stored(docs.mapInArrow(_signed(width), "doc_id long, digest long, n_shingles long, node binary, "
                                     "signature array<int>"), "signatures")
-    least = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "digest")))
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest"))   # rows without id last
     reps = stored(signed.where("node is not null").groupBy("node")
                   .agg(least.alias("least"), F.min("signature").alias("signature"))
                   .select("node", F.col("least.doc_id").alias("rep"), F.col("least.digest").alias("digest"), "signature"),
                   "nodes")
     meetings = _meetings(_posts(reps, K - t + 1))
     shipped = (meetings.groupBy("node").agg(F.collect_list(F.struct("leader", "i", "j", "own")).alias("meetings"))
-               .join(reps.select("node", "rep"), "node"))
-    sets = (docs.join(shipped, F.col("doc_id") == F.col("rep")).select("node", "text", "meetings")
+               .join(reps.select("node", "rep", F.col("digest").alias("of")), "node"))
+    # the one text of a node: rows that share its id only stay out
+    sets = (docs.join(shipped, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("digest") == F.col("of")))
+            .select("node", "text", "meetings")
             .mapInArrow(_sets_of(width), "leader binary, i int, j int, own int, node binary, hashes binary"))
     links = sets.groupBy("leader", "i", "j").applyInArrow(_confirm(t, per_100), "u binary, v binary")
     roots = stored(components(links), "roots")
@@ -312,13 +321,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, per_100: int = 80, id_col:
 
 def keep_one(docs: DataFrame, width: int = 5, per_100: int = 80) -> DataFrame:
     """Documents without near-duplicates: of each component the row of the
-    least doc_id stays (of its texts in the component that with the least digest),
-    once if the row is repeated. Rows without words or without an id stay."""
+    least doc_id stays (of its texts in the component that with the least digest;
+    a row without id only if none has one), once if the row is repeated. Rows
+    without words stay, once if id and text are repeated; those without an id
+    each."""
     signed, named = _rooted(docs, width, per_100)
-    best = (named.where("rep is not null").groupBy("root").agg(F.min(F.struct("rep", "digest")).alias("best"))
-            .select(F.col("best.rep").alias("doc_id"), F.col("best.digest").alias("_digest")))
-    bare = signed.where("node is null and doc_id is not null").select("doc_id", F.col("digest").alias("_digest"))
+    digest, rep, of = (free_name(docs, c) for c in ("_digest", "_rep", "_of"))
+    best = (named.groupBy("root").agg(F.min(F.struct(F.col("rep").isNull(), "rep", "digest")).alias("best"))
+            .select(F.col("best.rep").alias(rep), F.col("best.digest").alias(of)))
+    bare = signed.where("node is null").select(F.col("doc_id").alias(rep), F.col("digest").alias(of))
     kept = best.union(bare).distinct()
-    with_id = (docs.where("doc_id is not null").withColumn("_digest", F.xxhash64(F.col("text").cast("string")))
-               .join(kept, ["doc_id", "_digest"], "left_semi").dropDuplicates(["doc_id", "text"]))
-    return with_id.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    mine = F.col("doc_id").cast("long").eqNullSafe(F.col(rep)) & F.col(digest).eqNullSafe(F.col(of))
+    chosen = docs.withColumn(digest, F.xxhash64(F.col("text").cast("string"))).join(kept, mine, "left_semi")
+    nameless = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").cast("string").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    return (chosen.where(~nameless).dropDuplicates(["doc_id", digest]).select(docs.columns)
+            .unionByName(docs.where(nameless)))

@@ -14,6 +14,7 @@ pytest.importorskip("credence.llm")
 import public_tokenizers as P  # noqa: E402
 from hypothesis import given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from credence.llm import (  # noqa: E402
     byte_bpe,
@@ -123,7 +124,7 @@ def test_near_duplicates_edges(spark):
         (5, 5, True), (5, 5, True), (None, 5, False), (None, None, True), (9, 9, True)]))
     assert minhash.near_duplicates(df.limit(0), 3, 85).count() == 0
     kept = minhash.keep_one(df, 3, 85)
-    assert kept.columns == df.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == ["5", "9", "None", "None"]
+    assert kept.columns == df.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == ["5", "9", "None"]
 
 
 def test_keep_one_decides_by_row(spark):
@@ -134,6 +135,27 @@ def test_keep_one_decides_by_row(spark):
     assert got == [(0, " b"), (1, " a"), (2, " c"), (4, ""), (4, "")]
 
 
+def test_keep_one_of_rows_without_id(spark):
+    a, b = ("".join(f" {x}{i}" for i in range(40)) for x in "ab")
+    rows = [(None, a), (None, a), (None, a + " end"), (3, b), (None, b), (None, b + " end"), (None, ""), (None, None), (None, "")]
+    df = docs(spark, [t for _, t in rows], [i for i, _ in rows]).withColumnsRenamed({"h1": "_digest", "node": "_rep"})
+    kept = minhash.keep_one(df, 3, 85)
+    assert kept.columns == df.columns
+    got = kept.collect()
+    assert sorted((str(r["doc_id"]), (r["text"] or "")[:2]) for r in got) == [
+        ("3", " b"), ("None", ""), ("None", ""), ("None", ""), ("None", " a")]
+    assert {(r["_digest"], r["_rep"]) for r in got} == {(1, "n")}
+
+
+@pytest.mark.parametrize("block", [256, 4])
+def test_long_texts_are_near_duplicates(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    long = " ".join(f"w{i}" for i in range(60_000))
+    texts = [long, long + " end", "x" * 200_000, long.replace("w1", "v1"), *["a b c d e f g"] * 30]
+    rows = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs(spark, texts), 3, 85).collect()}
+    assert rows == {0: 0, 1: 0, 2: 2, 3: 3} | {i: 4 for i in range(4, 34)}
+
+
 def test_match_threshold():
     assert minhash.match_threshold(0.85) < 0.85 * minhash.K
     assert minhash.match_threshold(0.999999) > minhash.match_threshold(0.8)
@@ -307,6 +329,26 @@ def test_planes_round_trip(kind, tmp_path):
     assert [(d, i.tolist()) for d, i in got] == [(d, i.tolist()) for d, i in wanted]
 
 
+ENCODER = id_files.WordEncoder(open(WORDS, encoding="utf-8").read())
+SIGNS = [*"ab1Zé.,;:!?-'’ \t", "İ", "ẞ", "ǰ", "क़", "ড়", "ख", "़", "\u0307", "\u0301", "\u200d", "\u00ad", "½", "Ⅷ", "٣", "漢", "각", "ᄀ",
+         "ᅡ", "ᆨ", "ﬁ", "🙂", "\ufe0f", "<|endoftext|>", "<|startoftext|>", "<|", "|>"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.one_of(st.lists(st.sampled_from(SIGNS), max_size=12).map("".join), st.text(max_size=12)), max_size=6))
+def test_words_are_encoded_as_by_the_library(texts):
+    want = [ENCODER.tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in ENCODER(texts)] == want
+
+
+def test_letters_before_marks():
+    """Each letter that normalising takes apart, before each mark."""
+    letters = [chr(c) for c in range(0x30000) if chr(c).isalnum() and len(ENCODER.tokenizer.normalizer.normalize_str(chr(c))) > 1]
+    texts = [c + mark for c in letters for mark in ".?"] + ["x" + c + ",;" for c in letters]
+    want = [x.ids + [2] for x in ENCODER.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert len(letters) > 50 and [np.frombuffer(x, "<u4").tolist() for x in ENCODER(texts)] == want
+
+
 def test_id_files(spark, sf):
     from tokenizers import Tokenizer
 
@@ -384,34 +426,38 @@ def test_vector_search(spark, monkeypatch):
              (None, [9.0] * 8, 1), (850, [3.0], 1), (900, rows[3][1], 1), (3, rows[3][1], 1), (950, [1e17] * 8, 1)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score int")
     x = df.select("vec_id", vector_search.whole("embedding").alias("x"), "score")
-    got = {}
-    for r in vector_search.top_k(x, x.where("vec_id % 50 = 0")).collect():
-        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
-    part = {i: [int(np.floor(256 * v)) for v in e] for i, e, _ in rows
-            if i is not None and e is not None and all(v is not None and np.isfinite(v) for v in e)}
-    limit = 2**63
-    for q in (i for i in part if i % 50 == 0):
-        scores = sorted((-max(-limit, min(limit - 1, sum(a * b for a, b in zip(part[q], v)))), i) for i, v in part.items() if i != q)
-        assert sorted(got[q]) == [(k + 1, i, -s) for k, (s, i) in enumerate(scores[:5])], q
+    asks = F.col("vec_id") % 50 == 0
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in vector_search.top_k(x, asks).collect())
+    part = [(i, [int(np.floor(256 * v)) for v in e]) for i, e, _ in rows
+            if i is not None and e is not None and all(v is not None and np.isfinite(v) for v in e)]
+    assert got == brute_top_k(part, 50, 5)
     few = x.where("vec_id in (0, 1, 2)")
-    assert vector_search.top_k(few, few).count() == 6
-    assert vector_search.top_k(x.limit(0), x.limit(0)).count() == 0
+    assert vector_search.top_k(few, F.lit(True)).count() == 6
+    assert vector_search.top_k(x.limit(0), asks).count() == 0
+
 
+def brute_top_k(rows, step, k):
+    """All rows but the query's own are scored."""
+    limit, out = 2**63, []
+    for n, (q, v) in enumerate(rows):
+        if q % step == 0:
+            scores = sorted((-max(-limit, min(limit - 1, sum(a * b for a, b in zip(v, w, strict=False)))), i)
+                            for m, (i, w) in enumerate(rows) if m != n)
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:k])]
+    return sorted(out)
 
-def test_vector_search_keeps_rows_that_repeat_an_id(spark, monkeypatch):
+
+def test_vector_search_keeps_rows_that_repeat(spark, monkeypatch):
+    """An id, or an id and its vector."""
     monkeypatch.setattr(vector_search, "VECTOR_BLOCK", 8)
     monkeypatch.setattr(vector_search, "QUERY_BLOCK", 2)
     rng = random.Random(5)
     rows = [(i % 30, [rng.randrange(-9, 10) for _ in range(3)]) for i in range(90)]
     rows += [(7, [9, 9, 9])] * 3 + [(20, [9, 9, 8])] * 2 + [(8, [9, 9, 9]), (8, [9, 8, 9])]
     df = spark.createDataFrame(rows, "vec_id long, x array<long>")
-    once = [(i, list(v)) for i, v in {(i, tuple(v)) for i, v in rows}]
-    got = {}
-    for r in vector_search.top_k(df, df.where("vec_id % 10 = 0")).collect():
-        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
-    for q in (0, 10, 20):
-        scores = sorted((-sum(a * b for a, b in zip(v, w)), j) for i, v in once for j, w in once if i == q and j != q)
-        assert sorted(got[q]) == [(n + 1, j, -s) for n, (s, j) in enumerate(scores[:5])], q
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"])
+                 for r in vector_search.top_k(df, F.col("vec_id") % 10 == 0).collect())
+    assert got == brute_top_k(rows, 10, 5)
 
 
 PAGE = """<!DOCTYPE html><html><head><title>No</title><style>p{}</style><script>var a="</p><article>";</script></head><body>

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import spec
-from ..fixtures import applications
+from ..fixtures import applications, table
 from ..operators.split import stratified_split
 from ..plans.catalog import Catalog, publish_dataset, read_dataset
 from ..plans.preprocess import preprocess
 from ..session import work_dir
+from ..sources.csv_scan import scan_csv
 from ..sources.readers import (RAW_SCHEMA, load_csv, load_train_val, read_documents, write,
                                write_documents, write_processed, write_splits)
 from .oracle_sql import with_base
@@ -30,6 +31,70 @@ def s1(spark, sf):
     return load_csv(spark, path, CSV_SCHEMA)
 
 
+REFERENCE_ORDER = [*spec.RAW_NUMERIC, *spec.RAW_CATEGORICAL, spec.TARGET]   # no key, no time
+
+
+def csv_folder(spark, sf):
+    """Applications as CSV files of three layouts: by key thirds, columns in
+    schema order, reversed with a column more, and as files without key and time."""
+    apps = applications(spark, sf)
+    part = F.pmod(F.col(spec.KEY), F.lit(3))
+    layouts = [(0, apps.columns), (1, ["extra", *reversed(apps.columns)]), (2, REFERENCE_ORDER)]
+    paths = [work_dir(spark, f"csv-layout-{n}") for n, _ in layouts]
+    for (n, columns), path in zip(layouts, paths, strict=True):
+        write(apps.withColumn("extra", F.lit("a,b")).where(part == n).select(*columns), path, "csv")
+    return paths
+
+
+@register("S1_csv_by_name", with_base(f"""
+SELECT CASE WHEN application_id % 3 < 2 THEN application_id END AS application_id,
+       CASE WHEN application_id % 3 < 2 THEN application_ts END AS application_ts, {", ".join(REFERENCE_ORDER)}
+FROM applications
+"""))
+def s1_by_name(spark, sf):
+    rows = scan_csv(spark, csv_folder(spark, sf), CSV_SCHEMA).rows
+    return rows.select(spec.KEY, spec.TS, *REFERENCE_ORDER)
+
+
+# keys from content and occurrence: as many as rows, the same from other files
+@register("S1_csv_made_keys", with_base("""
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(*) AS BIGINT) AS keys, CAST(count(*) AS BIGINT) AS same_keys FROM applications
+"""))
+def s1_keys(spark, sf):
+    paths = [work_dir(spark, "keyless") for _ in range(2)]
+    df = applications(spark, sf).select(*REFERENCE_ORDER)
+    write(df, paths[0], "csv")
+    write(df.select(*reversed(REFERENCE_ORDER)).repartition(5), paths[1], "csv")
+    a, b = (scan_csv(spark, p, CSV_SCHEMA, spec.KEY).rows.select(spec.KEY) for p in paths)
+    return a.agg(F.count("*").alias("rows"), F.count_distinct(spec.KEY).alias("keys")).join(
+        a.join(b, spec.KEY).agg(F.count("*").alias("same_keys")))
+
+
+# each events.props text as a line beside the applications: every one is
+# malformed, every application a row
+@register("S1_csv_quarantine", with_base("""
+SELECT 'row' AS kind, CAST(application_id AS VARCHAR) AS content FROM applications
+UNION ALL SELECT 'malformed', props FROM events WHERE trim(props) <> ''
+UNION ALL SELECT 'malformed', 'not-a-number,' || CAST(application_id AS VARCHAR) FROM applications WHERE age IS NULL
+"""))
+def s1_quarantine(spark, sf):
+    path = work_dir(spark, "csv-malformed")
+    apps = applications(spark, sf).select("age", spec.KEY)
+    write(apps, path, "csv")
+    bad = table(spark, sf, "events").select(F.col("props").alias("value")).unionByName(
+        apps.where("age is null").select(F.concat(F.lit("not-a-number,"), F.col(spec.KEY).cast("string")).alias("value")))
+    # a file of its own, under a header like the others'
+    header = spark.range(1).select(F.lit(f"age,{spec.KEY}").alias("value"))
+    other = work_dir(spark, "csv-malformed-lines")
+    bad.write.text(other + "-raw")
+    lines = spark.read.text(other + "-raw")
+    header.withColumn("o", F.lit(0)).unionByName(lines.withColumn("o", F.lit(1))).coalesce(1).sortWithinPartitions("o") \
+        .select("value").write.text(other)
+    scan = scan_csv(spark, [path, other], CSV_SCHEMA)
+    return scan.rows.select(F.lit("row").alias("kind"), F.col(spec.KEY).cast("string").alias("content")).unionByName(
+        scan.malformed.select(F.lit("malformed").alias("kind"), F.col("record").alias("content")))
+
+
 # Only a training set is present, so the validation half is derived by F6;
 # per-class counts of the two halves are fixed by the quotas (hash-free).
 @register("S2_train_val_resolution", with_base(QUOTAS_SQL + """

@@ -14,6 +14,7 @@ from .. import spec
 from ..functions.features import normalize_raw
 from ..operators.metrics import split_summary
 from ..operators.split import stratified_split
+from .csv_scan import scan_csv
 
 RAW_SCHEMA = T.StructType(
     [T.StructField(spec.KEY, T.LongType()), T.StructField(spec.TS, T.TimestampType())] +
@@ -42,10 +43,15 @@ def read(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructT
     raise ValueError(f"unknown format {fmt}")
 
 
-def load_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
-    """Header CSV with an explicit schema, then P1 (CSV text ``NaN`` in a
-    double column reads as NaN, not NULL)."""
-    return normalize_raw(read(spark, path, "csv", schema))
+def load_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA, quarantine: str | None = None) -> DataFrame:
+    """CSV files bound by their headers' names (``csv_scan``), then P1 (CSV
+    text ``NaN`` in a double column reads as NaN, not NULL). Malformed lines
+    aren't rows; they are appended to the ``quarantine`` folder if one is named,
+    and ``scan_csv`` returns them."""
+    scan = scan_csv(spark, path, schema, spec.KEY if spec.KEY in schema.fieldNames() else None)
+    if quarantine is not None:
+        scan.malformed.write.mode("append").parquet(quarantine)
+    return normalize_raw(scan.rows)
 
 
 def write(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (),
@@ -96,7 +102,8 @@ def training_sets(spark: SparkSession, root: str, raw_path: str | None = None, r
                   test_size: float = spec.TEST_SIZE, seed: int = spec.SEED) -> tuple[DataFrame, DataFrame, dict]:
     """S2 with its fallback: processed sets under ``root`` are reused when
     present; otherwise the raw data is preprocessed (F5), split (F6) and
-    written as processed sets (S3) first, then read back."""
+    written as processed sets (S3) first, then read back. Malformed lines of raw
+    CSV files go to ``quarantine`` under ``root``."""
     try:
         return load_train_val(spark, root, "parquet", test_size, seed)
     except FileNotFoundError:
@@ -104,7 +111,8 @@ def training_sets(spark: SparkSession, root: str, raw_path: str | None = None, r
             raise
     from ..plans.preprocess import preprocess
 
-    raw = load_csv(spark, raw_path) if raw_fmt == "csv" else read(spark, raw_path, raw_fmt)
+    quarantine = f"{root.rstrip('/')}/quarantine"
+    raw = load_csv(spark, raw_path, quarantine=quarantine) if raw_fmt == "csv" else read(spark, raw_path, raw_fmt)
     processed, _ = preprocess(raw)
     s = stratified_split(processed, spec.TARGET, spec.KEY, test_size, seed)
     out = f"{root.rstrip('/')}/processed_data"

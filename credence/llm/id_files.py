@@ -53,6 +53,7 @@ class WordEncoder:
     the tokenizer itself is asked for, once for each such letter."""
 
     TAIL = ".,;:!?"
+    MARKS = TAIL.encode()
 
     def __init__(self, text: str) -> None:
         from tokenizers import Tokenizer
@@ -70,32 +71,40 @@ class WordEncoder:
             self.apart[letter] = letter.isalnum() and pieces == list(self.TAIL)
         return self.apart[letter]
 
+    def _cut(self, word: bytes) -> tuple[bytes, bytes]:
+        """A word and the marks at its end, if they are tokens of their own."""
+        if word[-1] not in self.MARKS:
+            return word, b""
+        core = word.rstrip(self.MARKS)
+        # ASCII letters and digits are what they are; others are asked for
+        if core and (core[-1:].isalnum() if core[-1] < 128 else self.stands_apart(core.decode()[-1])):
+            return core, word[len(core):]
+        return word, b""
+
     def __call__(self, texts: list[str], end_id: int = END_ID) -> list[bytes]:
         """Ids of each text, with the end id, as little-endian 32-bit numbers."""
         if len(self.known) > KNOWN:
             self.known.clear()
         words = [t.encode().split() for t in texts]  # at ASCII white space
         known = self.known
-        new = {w for ws in words for w in ws if w not in known}
-        cut = {}
-        for w in new:
-            word = w.decode()
-            core = word.rstrip(self.TAIL)
-            cut[w] = (core, word[len(core):]) if core and self.stands_apart(core[-1]) else (word, "")
-        need = {p for pair in cut.values() for p in pair if p and p.encode() not in known}
-        plain = sorted(p for p in need if "<|" not in p)
+        cut = {w: self._cut(w) for w in set().union(*words).difference(known)}
+        need = {p for pair in cut.values() for p in pair if p}.difference(known)
+        plain = [p for p in need if b"<|" not in p]
+        between = self.part.encode()
         for at in range(0, len(plain), 1000):
             part = plain[at: at + 1000]
-            ids = np.array(self.tokenizer.encode_batch_fast([self.part.join(part)], add_special_tokens=False)[0].ids, "<u4")
-            cuts = np.flatnonzero(ids == self.part_id).tolist()
-            for p, lo, hi in zip(part, [0, *(c + 1 for c in cuts)], [*cuts, len(ids)], strict=True):
-                known[p.encode()] = ids[lo:hi].tobytes()
+            text = between.join(part).decode()
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            cuts = (4 * np.flatnonzero(ids == self.part_id)).tolist()
+            raw = ids.tobytes()
+            for p, lo, hi in zip(part, [0, *(c + 4 for c in cuts)], [*cuts, len(raw)], strict=True):
+                known[p] = raw[lo:hi]
         for p in need:
-            if "<|" in p:
-                known[p.encode()] = np.array(self.tokenizer.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
+            if b"<|" in p:
+                known[p] = np.array(self.tokenizer.encode(p.decode(), add_special_tokens=False).ids, "<u4").tobytes()
         for w, (core, tail) in cut.items():
             if tail:
-                known[w] = known[core.encode()] + known[tail.encode()]
+                known[w] = known[core] + known[tail]
         end = np.array([end_id], "<u4").tobytes()
         return [b"".join(map(known.__getitem__, ws)) + end for ws in words]
 

@@ -15,8 +15,8 @@ from .. import spec
 from ..fixtures import applications, table
 from ..functions.features import build_features
 from ..functions.maps import merge_tags
-from ..plans.catalog import (Catalog, exact_versions, last_registered, latest_versions, list_models, resolve_versions,
-                             select_model)
+from ..plans.catalog import (Catalog, exact_versions, last_registered, latest_versions, list_models, model_counts,
+                             resolve_versions, select_model)
 from ..session import work_dir
 from .oracle_sql import with_base
 from .q_gates import REQUESTED
@@ -89,6 +89,14 @@ def c9(spark, sf):
     return list_models(registry(spark, sf))
 
 
+@register("C9_model_counts", f"""WITH {REGISTRY_SQL}
+SELECT name, CAST(1 AS BIGINT) AS models, CAST(count(*) AS BIGINT) AS versions FROM reg GROUP BY name
+UNION ALL SELECT NULL, CAST(count(DISTINCT name) AS BIGINT), CAST(count(*) AS BIGINT) FROM reg
+""")
+def c9_counts(spark, sf):
+    return model_counts(registry(spark, sf))
+
+
 NEW_TAGS_SQL = "'environment', 'size-' || CAST(p_size AS VARCHAR), 'owner', 'team-' || CAST(p_size % 5 AS VARCHAR)"
 
 

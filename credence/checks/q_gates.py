@@ -16,6 +16,7 @@ from ..operators.metrics import binary_metrics, roc_auc
 from ..operators.select import (align_to_model, require_columns, select_features,
                                 split_features_label, time_range)
 from ..operators.split import stratified_split
+from ..plans.catalog import Catalog
 from ..session import materialize, work_dir
 from .oracle_sql import with_base
 from .q_metrics import SCORED_SQL, scored
@@ -261,22 +262,29 @@ def q3(spark, sf):
     return gate_out(data_quality_gate(features(spark, sf).select(*FEATURE_COLS)))
 
 
-# the same gate over applications of which few are approved: the class shares are an issue
+# the same gate on a rare label, approved with the best of scores, over all rows:
+# the class shares are an issue
 @register("Q3_imbalanced_classes", with_base(
-    ", few AS (SELECT * FROM features WHERE loan_approved = 1 OR application_id % 20 = 0), "
-    + _q3_sql().replace("FROM features", "FROM few") + " SELECT * FROM q3"))
+    ", rare AS (SELECT * REPLACE (CASE WHEN loan_approved IS NULL THEN NULL "
+    "WHEN loan_approved = 1 AND credit_score >= 800 THEN 1 ELSE 0 END AS loan_approved) FROM features), "
+    + _q3_sql().replace("FROM features", "FROM rare") + " SELECT * FROM q3"))
 def q3_imbalanced(spark, sf):
-    few = features(spark, sf).where((F.col(spec.TARGET) == 1) | (F.col(spec.KEY) % 20 == 0))
-    return gate_out(data_quality_gate(few.select(*FEATURE_COLS)))
+    label = F.col(spec.TARGET)
+    best = (label == 1) & F.coalesce(F.col("credit_score") >= 800, F.lit(False))
+    rare = features(spark, sf).withColumn(spec.TARGET, F.when(label.isNotNull(), best.cast("int")))
+    return gate_out(data_quality_gate(rare.select(*FEATURE_COLS)))
 
 
 # --- Q4: stored feature-validation result, read back --------------------------------
 
 def _stored_q1(spark, sf):
-    g = feature_gate(features(spark, sf).select(*FEATURE_COLS)).withColumn("created_at", F.current_timestamp())
-    path = work_dir(spark, "feature-validation")
-    g.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    """The validation result of the set's second version, from the catalog: the
+    first version has an older, failed one."""
+    cat = Catalog(spark, work_dir(spark, "validation-catalog"))
+    gate = feature_gate(features(spark, sf).select(*FEATURE_COLS))
+    cat.log_validation("loan-approval-features", 1, gate.withColumn("passed", F.lit(False)))
+    cat.log_validation("loan-approval-features", 2, gate)
+    return cat.validations("loan-approval-features", 2)
 
 
 @register("Q4_profile_gate", with_base(", " + _q1_sql() + """

@@ -74,7 +74,38 @@ def s5(spark, sf):
     apps = applications(spark, sf).withColumn("g", F.expr(f"{spec.KEY} div 4"))
     payloads = records_to_split_payloads(apps, "g", SPLIT_ORDER)
     wanted = [(c, "double") for c in spec.RAW_NUMERIC] + [(c, "string") for c in spec.RAW_CATEGORICAL]
-    return parse_split_payloads(payloads, "payload", "payload_id", wanted)
+    return parse_split_payloads(payloads, "payload", "payload_id", wanted).drop("error")
+
+
+SPLIT_TYPES = [(c, "double") for c in spec.RAW_NUMERIC] + [(c, "string") for c in spec.RAW_CATEGORICAL]
+SPLIT_ERRORS = {1: "values of another type in age", 2: "missing columns income", 3: "empty payload"}
+
+
+# of the split payloads of four applications each, every fifth holds a text for
+# an age, one lacks the income column, one has no rows; beside them texts that
+# are no payloads
+@register("S5_split_errors", with_base(f"""
+, p AS (SELECT *, application_id // 4 AS g FROM applications)
+SELECT CAST(g AS VARCHAR) AS payload_id, application_id AS row_index, age, income, home_ownership, CAST(NULL AS VARCHAR) AS error
+FROM p WHERE g % 5 IN (0, 4)
+UNION ALL SELECT DISTINCT CAST(g AS VARCHAR), NULL, NULL, NULL, NULL, '{ERROR_PREFIX}' || CASE g % 5
+  {" ".join(f"WHEN {k} THEN '{e}'" for k, e in SPLIT_ERRORS.items())} END FROM p WHERE g % 5 IN (1, 2, 3)
+UNION ALL SELECT 'e' || CAST(event_id AS VARCHAR), NULL, NULL, NULL, NULL, '{ERROR_PREFIX}malformed JSON payload' FROM events
+UNION ALL SELECT 'p' || CAST(page_id AS VARCHAR), NULL, NULL, NULL, NULL, '{ERROR_PREFIX}malformed JSON payload' FROM pages
+"""))
+def s5_errors(spark, sf):
+    apps = applications(spark, sf).withColumn("g", F.expr(f"{spec.KEY} div 4"))
+    kind = F.col("g") % 5
+    apps = apps.withColumn("age", F.when(kind == 1, "thirty").otherwise(F.col("age").cast("string")))
+    payloads = records_to_split_payloads(apps.where(~kind.isin(2, 3)), "g", SPLIT_ORDER).unionByName(
+        records_to_split_payloads(apps.where(kind == 2), "g", [c for c in SPLIT_ORDER if c != "income"])).unionByName(
+        apps.where(kind == 3).select(F.col("g").cast("string").alias("payload_id")).distinct().withColumn(
+            "payload", F.lit('{"input_data": {"columns": ["age", "income"], "index": [], "data": []}}')))
+    others = [table(spark, sf, t).select(F.concat(F.lit(t[0]), F.col(f"{t[:-1]}_id").cast("string")).alias("payload_id"),
+                                         F.col(c).alias("payload")) for t, c in (("events", "props"), ("pages", "html"))]
+    every = payloads.unionByName(others[0]).unionByName(others[1])
+    return parse_split_payloads(every, "payload", "payload_id", SPLIT_TYPES, required=REQUIRED_KEYS).select(
+        "payload_id", "row_index", "age", "income", "home_ownership", "error")
 
 
 # --- training context ------------------------------------------------------------
@@ -87,7 +118,7 @@ def processed_sets(spark, sf):
     """(params, train, val): preprocessed and split once per process, shared
     by every model type, as the pipeline prepares its data once and then
     trains."""
-    key = (sf, id(spark))
+    key = (sf, spark.sparkContext.applicationId)
     if key not in _SETS:
         processed, params = preprocess(applications(spark, sf))
         # the split scans its input three times (histogram, boundary bucket,
@@ -108,7 +139,7 @@ def processed_sets(spark, sf):
 
 def context(spark, sf, model_type="random_forest"):
     """(model, params, train, val) for this process; fitted once per type."""
-    key = (sf, model_type, id(spark))
+    key = (sf, model_type, spark.sparkContext.applicationId)
     if key not in _FITS:
         params, tr, va = processed_sets(spark, sf)
         model = train(tr, model_type)
@@ -197,12 +228,14 @@ def inference_check(spark, sf, model_type="random_forest"):
 # a valid model scores every validation record without errors, with a class
 # per row and probabilities in [0, 1]: the gate passes with no issues
 @register("L9_inference_gate", with_base(QUOTAS_SQL + """
-SELECT 'inference' AS "check", TRUE AS passed, '' AS issues, CAST(sum(test_c) AS BIGINT) AS rows FROM quotas
+SELECT 'inference' AS "check", TRUE AS passed, '' AS issues, CAST(sum(test_c) AS BIGINT) AS rows,
+       'true' AS has_probabilities FROM quotas
 """))
 def l9(spark, sf):
     return inference_check(spark, sf).select(
         "check", "passed", F.array_join("issues", " | ").alias("issues"),
-        F.try_element_at("stats", F.lit("rows")).cast("long").alias("rows"))
+        F.try_element_at("stats", F.lit("rows")).cast("long").alias("rows"),
+        F.try_element_at("stats", F.lit("has_probabilities")).alias("has_probabilities"))
 
 
 # --- what SQL can say of the model queries ------------------------------------------

@@ -9,6 +9,7 @@ from ..fixtures import applications
 from ..functions.features import build_features
 from ..operators.profile import (class_distribution, describe, duplicate_rows, missing_profile,
                                  overall_missing, schema_summary)
+from ..operators.select import first_rows
 from .oracle_sql import with_base
 from .registry import register
 
@@ -135,6 +136,5 @@ FROM features ORDER BY application_id LIMIT 5
 """))
 def t3(spark, sf):
     f = features(spark, sf)
-    # a top-n report: the limit is the feature (TakeOrderedAndProject, distributed top-k)
-    return f.orderBy(spec.KEY).limit(5).select(
+    return first_rows(f, [spec.KEY], 5).select(
         *[r6(c).alias(c) if c in spec.RATIO_FEATURES else F.col(c) for c in f.columns])

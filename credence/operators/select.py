@@ -69,3 +69,9 @@ def time_range(df: DataFrame, start=None, end=None, ts: str = spec.TS) -> DataFr
     if end is not None:
         cond = cond & (F.col(ts) < _bound(df, ts, end))
     return df.where(cond) if (start is not None or end is not None) else df
+
+
+def first_rows(df: DataFrame, keys: Sequence[str], n: int = 5) -> DataFrame:
+    """The first ``n`` rows by ``keys`` as an input example (a distributed
+    top-n; with ties among the keys, name more of them)."""
+    return df.orderBy(*keys).limit(n)

@@ -57,6 +57,12 @@ SCHEMAS = {
         T.StructField("properties", T.MapType(T.StringType(), T.StringType())),
         T.StructField("description", T.StringType()), T.StructField("path", T.StringType()),
         T.StructField("updated_at", T.TimestampType())]),
+    "feature_validations": T.StructType([
+        T.StructField("name", T.StringType()), T.StructField("version", T.LongType()),
+        T.StructField("check", T.StringType()), T.StructField("passed", T.BooleanType()),
+        T.StructField("issues", T.ArrayType(T.StringType())),
+        T.StructField("stats", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("created_at", T.TimestampType())]),
     "datasets": T.StructType([
         T.StructField("name", T.StringType()), T.StructField("version", T.LongType()),
         T.StructField("path", T.StringType()), T.StructField("rows", T.LongType()),
@@ -170,6 +176,17 @@ class Catalog:
         data.createOrReplaceTempView(view or name.replace("-", "_"))
         return data
 
+    # --- validation results (Q1, read by Q4) -------------------------------------------
+    def log_validation(self, name: str, version: int, gate: DataFrame) -> None:
+        """Stores the result of Q1 with the feature-set version it is about."""
+        self.append("feature_validations", gate.select(
+            F.lit(name).alias("name"), F.lit(int(version)).cast("long").alias("version"), "check", "passed", "issues", "stats",
+            F.lit(_now()).alias("created_at")))
+
+    def validations(self, name: str, version: int) -> DataFrame:
+        """The stored results of a feature-set version, for Q4."""
+        return self.read("feature_validations").where((F.col("name") == name) & (F.col("version") == int(version)))
+
     # --- runs (C6) ------------------------------------------------------------------
     def log_run(self, run_id: str, params: Mapping[str, object] | None = None,
                 metrics: DataFrame | None = None) -> None:
@@ -295,6 +312,18 @@ def list_models(models: DataFrame, name: str | None = None) -> DataFrame:
                     tag_or_unknown("tags", "model_type").alias("model_type"))
 
 
+def model_counts(models: DataFrame, name: str | None = None) -> DataFrame:
+    """Per name its number of versions (those of one name, if given), and in a
+    row without a name the numbers of all names and versions."""
+    m = models if name is None else models.where(F.col("name") == name)
+    by_name = m.groupBy("name").agg(F.count("*").alias("versions"))
+    rows = by_name.select("name", F.lit(1).cast("long").alias("models"), "versions")
+    if name is not None:
+        return rows
+    return rows.unionByName(by_name.agg(F.lit(None).cast("string").alias("name"), F.count("*").alias("models"),
+                                        F.coalesce(F.sum("versions"), F.lit(0)).cast("long").alias("versions")))
+
+
 def select_model(models: DataFrame) -> DataFrame:
     """C11: per name, the latest version with its tags and stage tag."""
     return latest_versions(models).select("name", "version", "id", "tags",

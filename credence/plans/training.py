@@ -8,6 +8,7 @@ the iterative fit only and released afterwards.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -22,6 +23,7 @@ from .. import spec
 from ..functions.columns import confidence_band
 from ..operators.metrics import binary_metrics, roc_auc
 from ..session import materialize
+from .catalog import Catalog
 
 MODEL_TYPES = ("random_forest", "logistic_regression")
 
@@ -106,10 +108,19 @@ def evaluate(model: PipelineModel, df: DataFrame, prefix: str) -> DataFrame:
 
 
 def train_and_evaluate(train_df: DataFrame, val_df: DataFrame, model_type: str = "random_forest",
-                       **hyper) -> tuple[PipelineModel, DataFrame]:
-    """Fit on train, metric record on train and validation."""
+                       catalog: Catalog | None = None, run_id: str | None = None, **hyper) -> tuple[PipelineModel, DataFrame]:
+    """Fit on train, metric record on train and validation. With a catalog the
+    run's parameters and metrics are logged under ``run_id`` (C6), and the record
+    returned is the logged one."""
     model = train(train_df, model_type, **hyper)
     metrics = evaluate(model, train_df, "train").unionByName(evaluate(model, val_df, "val"))
+    if catalog is not None:
+        run_id = run_id or f"{model_type}-{uuid.uuid4().hex[:12]}"
+        defaults = {"model_type": model_type, "partitions": TRAIN_PARTITIONS}
+        if model_type == "random_forest":
+            defaults |= {"n_estimators": spec.RF_TREES, "max_depth": spec.RF_DEPTH, "random_state": spec.SEED}
+        catalog.log_run(run_id, defaults | hyper, metrics)
+        metrics = catalog.run_metrics(run_id)
     return model, metrics
 
 

@@ -46,8 +46,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.split("[")[0] == "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = os.environ.get("CREDENCE_CHECKPOINT_DIR", _LOCAL_FALLBACK)
-        spark.conf.set("spark.checkpoint.dir", root)
+        # the setting itself is fixed once the session runs, so the context keeps it
+        spark.sparkContext.setCheckpointDir(os.environ.get("CREDENCE_CHECKPOINT_DIR", _LOCAL_FALLBACK))
+        root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 

@@ -143,3 +143,63 @@ def test_payload_medians_equal_grouped_medians(spark, sf):
     grouped = impute_by_group(rows, ["payload_id"], spec.RAW_NUMERIC).select(*own.columns)
     assert own.count() == recs.count()
     assert own.exceptAll(grouped).count() == 0 and grouped.exceptAll(own).count() == 0
+
+
+def test_split_payload_errors(spark):
+    from credence.sources.payloads import parse_split_payloads
+
+    def text(columns, data, index="[7, 8, 9]"):
+        return f'{{"input_data": {{"columns": {columns}, "index": {index}, "data": {data}}}}}'
+    rows = [("good", text('["s", "x"]', '[["a", 1], ["b", "2.5"], ["c"]]')), ("no index", text('["x"]', '[[3]]', "null")),
+            ("bad number", text('["x"]', '[[1], ["abc"]]')), ("no rows", text('["x"]', "[]")), ("no array", text('["x"]', "[1]")),
+            ("no column", text('["s"]', '[["a"]]')), ("no json", "{"), ("no payload", '{"a": 1}'), (None, None)]
+    df = spark.createDataFrame(rows, "id string, p string")
+    got = parse_split_payloads(df, "p", "id", [("x", "double"), ("s", "string")], required=["x"]).collect()
+    values = sorted((r["id"], r["row_index"], r["x"], r["s"]) for r in got if r["error"] is None)
+    assert values == [("good", 7, 1.0, "a"), ("good", 8, 2.5, "b"), ("good", 9, None, "c"), ("no index", 0, 3.0, None)]
+    errors = {r["id"]: r["error"].split(": ")[1] for r in got if r["error"] is not None}
+    assert errors.pop("no array") in ("row that is no array", "malformed JSON payload")
+    assert errors == {"bad number": "values of another type in x", "no rows": "empty payload", "no column": "missing columns x",
+                      "no json": "malformed JSON payload", "no payload": "malformed JSON payload", None: "malformed JSON payload"}
+    assert all(r["x"] is None and r["row_index"] is None for r in got if r["error"]) and len(got) == 11
+
+
+def test_inference_gate_counts_probabilities(spark):
+    from credence.plans.scoring import inference_gate
+
+    def stats(rows):
+        df = spark.createDataFrame(rows, "loan_approved int, approval_probability double, error string")
+        return inference_gate(df).first()["stats"]["has_probabilities"]
+    assert stats([(1, 0.9, None)]) == "true" and stats([(1, None, None)]) == "false" and stats([]) == "false"
+
+
+def test_training_logs_its_run(spark):
+    import random
+
+    from credence import spec
+    from credence.plans.catalog import Catalog
+    from credence.plans.training import train_and_evaluate
+    from credence.session import work_dir
+
+    rng = random.Random(1)
+    rows = [(i, *[rng.gauss(i % 2, 1) for _ in spec.ALL_FEATURES], i % 2) for i in range(200)]
+    df = spark.createDataFrame(rows, [spec.KEY, *spec.ALL_FEATURES, spec.TARGET])
+    catalog = Catalog(spark, work_dir(spark, "runs"))
+    _, metrics = train_and_evaluate(df, df, "logistic_regression", catalog=catalog, run_id="r1", partitions=2)
+    logged = {r["key"]: (r["kind"], r["value"]) for r in catalog.read("runs").where("run_id = 'r1'").collect()}
+    names = [f"{s}_{m}" for s in ("train", "val") for m in ("accuracy", "precision", "recall", "f1", "auc")]
+    assert {k for k, (kind, _) in logged.items() if kind == "metric"} == set(names)
+    assert logged["model_type"] == ("param", "logistic_regression") and logged["partitions"] == ("param", "2")
+    assert {r["metric"]: r["value"] for r in metrics.collect()} == {k: float(logged[k][1]) for k in names}
+
+
+def test_validations_are_kept_by_set_and_version(spark):
+    from credence.operators.gates import profile_gate
+    from credence.plans.catalog import Catalog
+    from credence.session import work_dir
+
+    catalog = Catalog(spark, work_dir(spark, "validations"))
+    gate = spark.createDataFrame([("feature_store", False, ["bad"], {})], "check string, passed boolean, issues array<string>, stats map<string,string>")
+    catalog.log_validation("s", 1, gate)
+    assert profile_gate(catalog.validations("s", 1)).first()["issues"] == ["bad"]
+    assert profile_gate(catalog.validations("s", 2)).first()["issues"] == ["Feature validation results not found"]

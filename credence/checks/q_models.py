@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import spec
 from ..fixtures import applications, table
 from ..operators.split import stratified_split
+from ..plans.model_tables import ModelTable, fit_logistic, gradient_table
 from ..plans.preprocess import preprocess
 from ..plans.scoring import inference_gate, score_payloads
 from ..plans.training import (assembler, evaluate, feature_importances, load_model, predict,
@@ -352,3 +353,68 @@ def l7(spark, sf):
     return streamed_payloads(spark, sf).select(
         "payload_id", "record_index", spec.TARGET, r6("approval_probability").alias("approval_probability"),
         "confidence", "error")
+
+
+# --- models as tables -----------------------------------------------------------------
+
+def model_table(spark, sf, model_type="random_forest"):
+    model, _, _, _ = context(spark, sf, model_type)
+    path = work_dir(spark, "model-with-table")
+    save_model(model, path)
+    return ModelTable.load(spark, path)
+
+
+# every validation row has the same class and probability from the table's
+# rows, by path look-ups or sums, as from the model
+@register("L5_table_scores", with_base(QUOTAS_SQL + """
+SELECT m AS model_type, CAST(sum(test_c) AS BIGINT) AS rows, CAST(sum(test_c) AS BIGINT) AS same_class,
+       0E0 AS max_probability_diff FROM quotas, (VALUES ('random_forest'), ('logistic_regression')) v(m) GROUP BY m
+"""))
+def l5_table(spark, sf):
+    frames = []
+    for kind in ("random_forest", "logistic_regression"):
+        model, _, _, va = context(spark, sf, kind)
+        a, b = predict(model, va, keep=[spec.KEY]).alias("a"), predict(model_table(spark, sf, kind), va, keep=[spec.KEY]).alias("b")
+        frames.append(a.join(b, spec.KEY).agg(
+            F.lit(kind).alias("model_type"), F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col(f"a.{spec.TARGET}") == F.col(f"b.{spec.TARGET}")).alias("same_class"),
+            F.round(F.max(F.abs(F.col("a.approval_probability") - F.col("b.approval_probability"))), 9).alias("max_probability_diff")))
+    return frames[0].unionByName(frames[1])
+
+
+# payloads scored end to end with the table: the same rows as with the model,
+# equal to nine digits
+@register("L6_table_scores", OUTCOME_SQL.replace("TRUE AS has_prediction, TRUE AS class_agrees, TRUE AS band_agrees",
+                                                 "TRUE AS same_as_model").replace("FALSE, NULL, NULL,", "TRUE,"))
+def l6_table(spark, sf):
+    model, params, _, _ = context(spark, sf, "random_forest")
+    payloads = payload_table(spark, sf)
+    a = score_payloads(model, params, payloads).alias("a")
+    b = score_payloads(model_table(spark, sf), params, payloads).alias("b")
+    same = F.lit(True)
+    for c in (spec.TARGET, "confidence", "error"):
+        same = same & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
+    same = same & F.round("a.approval_probability", 9).eqNullSafe(F.round("b.approval_probability", 9))
+    key = (F.col("a.payload_id") == F.col("b.payload_id")) & F.col("a.record_index").eqNullSafe(F.col("b.record_index"))
+    return a.join(b, key).select("a.payload_id", "a.record_index", same.alias("same_as_model"), "a.error")
+
+
+# importances from the nodes' gains equal the model's
+@register("T1_table_importances", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, 0E0 AS diff" for c in MODEL_ORDER))
+def t1_table(spark, sf):
+    model, _, _, _ = context(spark, sf, "random_forest")
+    a = feature_importances(model, len(MODEL_ORDER)).alias("a")
+    b = model_table(spark, sf).importances().withColumnRenamed("importance", "own")
+    return a.join(b, "feature", "left").select("feature", F.round(F.abs(F.col("importance") - F.coalesce("own", F.lit(0.0))), 9).alias("diff"))
+
+
+# the fit's proof: at the coefficients found by Newton steps the gradient,
+# summed over all training rows, is zero in every coordinate
+@register("L2_optimality", with_base(QUOTAS_SQL + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST(sum(train_c) AS BIGINT) AS rows, 0E0 AS gradient FROM quotas" for c in [*MODEL_ORDER, "(intercept)"])))
+def l2_optimality(spark, sf):
+    _, tr, _ = processed_sets(spark, sf)
+    table, _ = fit_logistic(tr)
+    g = gradient_table(tr, table)
+    return g.select("feature", "rows", F.abs(F.round("gradient", 4)).alias("gradient"))

@@ -24,6 +24,7 @@ from ..functions.columns import confidence_band
 from ..operators.metrics import binary_metrics, roc_auc
 from ..session import materialize
 from .catalog import Catalog
+from .model_tables import ModelTable, save_table
 
 MODEL_TYPES = ("random_forest", "logistic_regression")
 
@@ -81,8 +82,10 @@ def train(train_df: DataFrame, model_type: str = "random_forest",
         data.unpersist()
 
 
-def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def predict(model: PipelineModel | ModelTable, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Class as int and P(class 1), plus the P14 confidence band."""
+    if isinstance(model, ModelTable):
+        return model.predict(df, keep)
     scored = model.transform(df)
     p1 = vector_to_array(F.col("probability"))[1]
     return scored.select(*[F.col(c) for c in keep],
@@ -139,8 +142,9 @@ def feature_importances(model: PipelineModel, top: int = 20) -> DataFrame:
 
 
 def save_model(model: PipelineModel, path: str) -> None:
-    """L3."""
+    """L3, with the model's table in ``path``/table."""
     model.write().overwrite().save(path)
+    save_table(model, path)
 
 
 def load_model(path: str) -> PipelineModel:

@@ -10,6 +10,9 @@ from ..functions.features import build_features
 from ..operators.profile import (class_distribution, describe, duplicate_rows, missing_profile,
                                  overall_missing, schema_summary)
 from ..operators.select import first_rows
+from ..operators.sketch import sketch
+from ..plans.catalog import Catalog
+from ..session import work_dir
 from .oracle_sql import with_base
 from .registry import register
 
@@ -110,6 +113,36 @@ def a8(spark, sf):
     return o.select("rows", "columns", "missing_cells", r6("missing_pct").alias("missing_pct"))
 
 
+SKETCHED = ["income", "credit_score", "loan_to_income_ratio", "home_ownership", "age_category"]
+
+
+# parts added one after another; counts and extremes are exact, quartiles and
+# distinct counts within their bounds of the exact ones, and the merged sketch
+# is that of a rebuild, number by number
+@register("A3_sketch_profile", with_base(" UNION ALL ".join(f"""
+SELECT '{c}' AS "column", CAST(count(*) AS BIGINT) AS total_records, CAST(count(*) - count({c}) AS BIGINT) AS missing_count,
+       {f"round(min({c}), 6)" if c in NUMERIC_COLS else "NULL"} AS min, {f"round(max({c}), 6)" if c in NUMERIC_COLS else "NULL"} AS max,
+       TRUE AS distinct_close, {"TRUE" if c in NUMERIC_COLS else "NULL"} AS quartiles_close, CAST(0 AS BIGINT) AS unlike_rebuild
+FROM features""" for c in SKETCHED)))
+def a3_sketch(spark, sf):
+    f = features(spark, sf).select(spec.KEY, *SKETCHED)
+    cat = Catalog(spark, work_dir(spark, "profiles"))
+    for n in range(3):
+        cat.add_profile_part("features", f"part-{n}", f.where(F.col(spec.KEY) % 3 == n).select(*SKETCHED))
+    parts, rebuilt = cat.profile_sketch("features"), sketch(f, SKETCHED)
+    unlike = parts.exceptAll(rebuilt).unionByName(rebuilt.exceptAll(parts)).agg(F.count("*").alias("unlike_rebuild"))
+    numeric = [c for c in SKETCHED if c in NUMERIC_COLS]
+    exact = missing_profile(f, SKETCHED).select("column", F.col("distinct_count").alias("d")).join(
+        describe(f, numeric).select(F.col("column"), *[F.col(c).alias(f"e{c}") for c in ("p25", "p50", "p75")]), "column", "left")
+    j = cat.profile("features").join(exact, "column")
+    close = F.lit(True)
+    for c in ("p25", "p50", "p75"):
+        close = close & (F.abs(F.col(c) - F.col(f"e{c}")) <= F.abs(F.col(f"e{c}")) / 128 + 1e-9)
+    return j.select("column", "total_records", "missing_count", r6("min").alias("min"), r6("max").alias("max"),
+                    (F.abs(F.col("distinct_count") - F.col("d")) <= F.col("d") * 0.08 + 1).alias("distinct_close"),
+                    close.alias("quartiles_close"), unlike.scalar().alias("unlike_rebuild"))
+
+
 @register("A9_class_distribution", with_base("""
 SELECT loan_approved, CAST(count(*) AS BIGINT) AS count,
        round(CAST(count(*) AS DOUBLE) / CAST(sum(count(*)) OVER () AS DOUBLE), 6) AS share

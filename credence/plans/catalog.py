@@ -24,6 +24,8 @@ from .. import spec
 from ..functions.maps import merge_tags
 from ..operators.profile import schema_summary
 from ..operators.select import select_features, time_range
+from ..operators.sketch import merged, profile_of, sketch
+from ..session import materialize
 from .commit_log import COMMIT, CommitLog
 
 FEATURE_TYPE = T.StructType([T.StructField("name", T.StringType()), T.StructField("type", T.StringType()),
@@ -63,6 +65,10 @@ SCHEMAS = {
         T.StructField("issues", T.ArrayType(T.StringType())),
         T.StructField("stats", T.MapType(T.StringType(), T.StringType())),
         T.StructField("created_at", T.TimestampType())]),
+    "profile_sketches": T.StructType([
+        T.StructField("name", T.StringType()), T.StructField("part", T.StringType()),
+        T.StructField("column", T.StringType()), T.StructField("kind", T.StringType()),
+        T.StructField("slot", T.IntegerType()), T.StructField("n", T.LongType()), T.StructField("x", T.DoubleType())]),
     "datasets": T.StructType([
         T.StructField("name", T.StringType()), T.StructField("version", T.LongType()),
         T.StructField("path", T.StringType()), T.StructField("rows", T.LongType()),
@@ -187,6 +193,27 @@ class Catalog:
         """The stored results of a feature-set version, for Q4."""
         return self.read("feature_validations").where((F.col("name") == name) & (F.col("version") == int(version)))
 
+    # --- profiles from sketches (A2-A4) --------------------------------------------------
+    def add_profile_part(self, name: str, part: str, df: DataFrame, columns: Sequence[str] | None = None) -> None:
+        """Sketches a new part of a data set, once: a part that is there already, or
+        that another writer adds meanwhile, is an error."""
+        made = materialize(sketch(df, columns).select(F.lit(name).alias("name"), F.lit(part).alias("part"),
+                                                      "column", "kind", "slot", "n", "x"))
+
+        def build(rows: DataFrame) -> DataFrame:
+            if not rows.where((F.col("name") == name) & (F.col("part") == part)).isEmpty():
+                raise ValueError(f"{name}: part '{part}' has been added before")
+            return made
+        self.log("profile_sketches").transact(build)
+
+    def profile_sketch(self, name: str) -> DataFrame:
+        """The sketch of all parts of a data set."""
+        return merged(self.read("profile_sketches").where(F.col("name") == name))
+
+    def profile(self, name: str) -> DataFrame:
+        """The profile of all parts, from their sketches alone."""
+        return profile_of(self.profile_sketch(name))
+
     # --- runs (C6) ------------------------------------------------------------------
     def log_run(self, run_id: str, params: Mapping[str, object] | None = None,
                 metrics: DataFrame | None = None) -> None:

@@ -228,6 +228,27 @@ def c4(spark, sf):
     return cat.get_feature_data(SET_NAME, 1, REQUESTED, dt.datetime(1996, 1, 1), dt.datetime(1997, 1, 1))
 
 
+# data written by time: one year opens a part of the files, the rows are the same
+@register("C4_file_pruning", with_base("""
+SELECT year(application_ts) AS year, CAST(count(*) AS BIGINT) AS rows, round(sum(income), 2) AS income, TRUE AS opens_fewer_files
+FROM features WHERE year(application_ts) BETWEEN 1996 AND 2000 GROUP BY 1
+"""))
+def c4_pruning(spark, sf):
+    import datetime as dt
+    cat = Catalog(spark, work_dir(spark, "catalog"))
+    cat.write_feature_set(SET_NAME, build_features(applications(spark, sf)), files=16)
+    everything = len(cat.get_feature_data(SET_NAME, 1).inputFiles())
+    frames = []
+    for year in range(1996, 2001):
+        data = cat.get_feature_data(SET_NAME, 1, ["income", spec.TS], dt.datetime(year, 1, 1), dt.datetime(year + 1, 1, 1))
+        frames.append(data.agg(F.lit(year).cast("long").alias("year"), F.count("*").alias("rows"), F.round(F.sum("income"), 2).alias("income"),
+                               F.lit(len(data.inputFiles()) < everything / 2).alias("opens_fewer_files")))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 @register("C5_archive_feature_set", with_base(f"""
 SELECT '{SET_NAME}' AS name, CAST(2 AS BIGINT) AS version, 'created_with_schema' AS status,
        CAST(count(*) AS BIGINT) AS sample_count FROM features

@@ -8,7 +8,7 @@ task holds all categories of a feature.
 Apply: ``coalesce(code, code of unknown, 0)`` by a left join per column. A
 feature's dictionary whose measured bytes are within the session's
 ``spark.sql.autoBroadcastJoinThreshold`` is broadcast; a larger one is a
-shuffle join. ``StringIndexer`` is not used: with ``handleInvalid='keep'`` it
+shuffle join; several larger ones share one look-up. ``StringIndexer`` is not used: with ``handleInvalid='keep'`` it
 sends unseen values to a new index even when ``unknown`` is in the data
 (SURVEY V6).
 """
@@ -85,29 +85,61 @@ class Dictionary:
         return F.broadcast(t) if self.bytes.get(feature, 0) <= broadcast_limit(t.sparkSession) else t
 
 
+# a category on more than this share of the rows is looked up by broadcast
+HEAVY = 1 / 1000
+
+
+def _with_codes(df: DataFrame, dictionary: Dictionary, cols: Sequence[str]) -> DataFrame:
+    """``df`` and, for each column c, ``__c_code`` (NULL for an unseen value). Small
+    dictionaries are broadcast; one large one is a join; several large ones are
+    looked up together."""
+    limit = broadcast_limit(df.sparkSession)
+    large = [c for c in cols if dictionary.bytes.get(c, 0) > limit]
+    if len(large) < 2 or df.isStreaming:
+        large = []
+    out = df
+    for c in cols:
+        if c not in large:
+            lk = dictionary.lookup(c).select(F.col("category").alias(f"__{c}_cat"), F.col("code").alias(f"__{c}_code"))
+            out = out.join(lk, out[c] == lk[f"__{c}_cat"], "left").drop(f"__{c}_cat")
+    return _looked_up_together(out, dictionary, large) if large else out
+
+
+def _looked_up_together(df: DataFrame, dictionary: Dictionary, cols: Sequence[str]) -> DataFrame:
+    """Codes of several large dictionaries by one look-up: (row, column, category)
+    pairs meet the dictionary in one shuffle, their codes go back to the rows in
+    another. The rows are written once, so that a row keeps its number. Categories
+    on more than ``HEAVY`` of the rows - at most ``len(cols) / HEAVY`` of them -
+    come to the pairs by broadcast, so that none is a hot task."""
+    rows = materialize(df.withColumn("__row", F.monotonically_increasing_id()))
+    pairs = rows.select("__row", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("category")) for c in cols])).alias("p"))
+    pairs = pairs.select("__row", "p.feature", "p.category").where("category is not null")
+    least = F.lit(HEAVY) * F.lit(rows.count())
+    often = pairs.groupBy("feature", "category").agg(F.count("*").alias("n")).where(F.col("n") > least)
+    known = dictionary.table.where(F.col("feature").isin(list(cols)))
+    heavy = materialize(often.join(known, ["feature", "category"], "left").select(
+        "feature", "category", F.col("code").alias("often"), F.lit(True).alias("is_often")))
+    marked = pairs.join(F.broadcast(heavy), ["feature", "category"], "left")
+    light = marked.where("is_often is null").select("__row", "feature", "category").join(known, ["feature", "category"])
+    found = marked.where("often is not null").select("__row", "feature", F.col("often").alias("code")).unionByName(
+        light.select("__row", "feature", "code"))
+    codes = found.groupBy("__row").agg(*[F.max(F.when(F.col("feature") == c, F.col("code"))).alias(f"__{c}_code") for c in cols])
+    return rows.join(codes, "__row", "left").drop("__row")
+
+
 def encode(df: DataFrame, dictionary: Dictionary, cols: Sequence[str],
            out_type: str = "double") -> DataFrame:
     """replace each column by its code; unseen -> code of 'unknown';
     if the dictionary has no 'unknown', class 0 (serving fallback)."""
-    out = df
-    order = df.columns
-    for c in cols:
-        lk = dictionary.lookup(c).select(F.col("category").alias(f"__{c}_cat"),
-                                         F.col("code").alias(f"__{c}_code"))
-        fallback = dictionary.unknown.get(c)
-        out = out.join(lk, out[c] == lk[f"__{c}_cat"], "left")
-        code = F.coalesce(F.col(f"__{c}_code"), F.lit(fallback if fallback is not None else 0))
-        out = out.withColumn(c, code.cast(out_type)).drop(f"__{c}_cat", f"__{c}_code")
-    return out.select(*order)
+    out = _with_codes(df, dictionary, cols)
+    fallback = {c: dictionary.unknown.get(c) for c in cols}
+    return out.select(*[F.coalesce(F.col(f"__{c}_code"), F.lit(fallback[c] if fallback[c] is not None else 0)).cast(out_type).alias(c)
+                        if c in fallback else F.col(c) for c in df.columns])
 
 
 def mask_unseen(df: DataFrame, dictionary: Dictionary, cols: Sequence[str]) -> DataFrame:
     """Value not in the fitted dictionary -> 'unknown' (strings kept)."""
-    out = df
-    order = df.columns
-    for c in cols:
-        lk = dictionary.lookup(c).select(F.col("category").alias(f"__{c}_seen"))
-        out = out.join(lk, out[c] == lk[f"__{c}_seen"], "left")
-        out = out.withColumn(c, F.when(F.col(f"__{c}_seen").isNotNull(), F.col(c))
-                             .otherwise(F.lit(spec.UNKNOWN))).drop(f"__{c}_seen")
-    return out.select(*order)
+    out = _with_codes(df, dictionary, cols)
+    return out.select(*[F.when(F.col(f"__{c}_code").isNotNull(), F.col(c)).otherwise(F.lit(spec.UNKNOWN)).alias(c)
+                        if c in cols else F.col(c) for c in df.columns])

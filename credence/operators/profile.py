@@ -60,13 +60,14 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 def missing_profile(df: DataFrame, cols: Sequence[str] | None = None, distinct: bool | str = True) -> DataFrame:
     """A3 (+A4, A5, A6): one row per column with missing count and percent
     (2 digits), non-null distinct count, type, numeric min/max and flags.
-    One aggregate for all columns. Exact distinct counts make the aggregate
-    expand each row once per column before its map-side partial aggregation;
-    ``distinct='approx'`` uses HyperLogLog++ sketches instead (no expansion,
-    ~1 % error) for very wide or very large inputs, and ``distinct=False``
-    skips them."""
+    One scan. Exact distinct counts count narrow (column, value) pairs, partially
+    aggregated per task, from which all else of the profile follows;
+    ``distinct='approx'`` uses HyperLogLog++ sketches instead (no pairs, ~1 %
+    error) for very wide or very large inputs, and ``distinct=False`` skips them."""
     cols = list(cols or df.columns)
     types = {f.name: f.dataType for f in df.schema.fields}
+    if distinct is True and not any(isinstance(types[c], (T.ArrayType, T.MapType, T.StructType, T.BinaryType)) for c in cols):
+        return _finished(_from_values(df, cols, types))
     aggs = [F.count(F.lit(1)).alias("__n")]
     for i, c in enumerate(cols):
         aggs.append(F.sum(F.col(c).isNull().cast("long")).alias(f"m{i}"))
@@ -90,8 +91,38 @@ def missing_profile(df: DataFrame, cols: Sequence[str] | None = None, distinct:
             (F.col(f"lo{i}") if numeric else F.lit(None).cast("double")).alias("min"),
             (F.col(f"hi{i}") if numeric else F.lit(None).cast("double")).alias("max"),
         ))
-    long = row.select("__n", F.posexplode(F.array(*entries)).alias("ordinal", "e")) \
-        .select("__n", "ordinal", "e.*")
+    return _finished(row.select("__n", F.posexplode(F.array(*entries)).alias("ordinal", "e"))
+                     .select("__n", "ordinal", "e.*"))
+
+
+def _from_values(df: DataFrame, cols: Sequence[str], types: dict) -> DataFrame:
+    """The facts of ``missing_profile`` from (column, value) counts. Whole numbers
+    and floating numbers have a place of their own, all else is a string."""
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    entries = []
+    for i, c in enumerate(cols):
+        kind = "l" if isinstance(types[c], whole) else "d" if isinstance(types[c], (T.DoubleType, T.FloatType)) else "s"
+        entries.append(F.struct(F.lit(i).alias("ordinal"), *[
+            (F.col(c) if k == kind else F.lit(None)).cast(t).alias(k) for k, t in (("l", "long"), ("d", "double"), ("s", "string"))]))
+    pairs = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    counts = pairs.groupBy("ordinal", "l", "d", "s").agg(F.count(F.lit(1)).alias("n"))
+    empty = F.col("l").isNull() & F.col("d").isNull() & F.col("s").isNull()
+    decimals = [i for i, c in enumerate(cols) if isinstance(types[c], T.DecimalType)]
+    number = F.coalesce(F.col("l").cast("double"), F.col("d"),
+                        F.when(F.col("ordinal").isin(decimals), F.col("s").try_cast("double")) if decimals else F.lit(None))
+    facts = counts.groupBy("ordinal").agg(
+        F.sum("n").alias("__n"), F.sum(F.when(empty, F.col("n")).otherwise(0)).alias("missing_count"),
+        F.count_if(~empty).alias("distinct_count"), F.min(number).alias("min"), F.max(number).alias("max"))
+    names = df.sparkSession.createDataFrame(
+        [(i, c, pandas_dtype(types[c]), isinstance(types[c], NUMERIC_TYPES)) for i, c in enumerate(cols)],
+        "ordinal int, column string, dtype string, is_numeric boolean")
+    return names.join(facts, "ordinal", "left").select(
+        F.coalesce("__n", F.lit(0)).alias("__n"), "ordinal", "column", "dtype", "is_numeric",
+        F.coalesce("missing_count", F.lit(0)).alias("missing_count"), F.coalesce("distinct_count", F.lit(0)).alias("distinct_count"),
+        *[F.when(F.col("is_numeric"), F.col(c)).alias(c) for c in ("min", "max")])
+
+
+def _finished(long: DataFrame) -> DataFrame:
     pct = F.try_divide(F.col("missing_count").cast("double"), F.col("__n").cast("double")) * F.lit(100.0)
     return long.select(
         "ordinal", "column", "dtype", "is_numeric",
@@ -106,13 +137,22 @@ def missing_profile(df: DataFrame, cols: Sequence[str] | None = None, distinct:
     )
 
 
-def duplicate_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Rows - distinct rows (NULLs equal), as ``groupBy(all).count()``;
-    map-side partial aggregation absorbs hot duplicate groups."""
+def duplicate_rows(df: DataFrame, cols: Sequence[str] | None = None, bits: int = 128) -> DataFrame:
+    """Rows - distinct rows (NULLs equal). Digests of ``bits`` bits are counted
+    first, 16 bytes a row; a row whose digest no other row has is distinct, and only
+    rows of digests that repeat are compared in full, which also keeps different
+    rows of one digest apart."""
     cols = list(cols or df.columns)
-    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
-    return g.agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("long").alias("duplicate_rows"),
-                 F.count(F.lit(1)).cast("long").alias("distinct_rows"))
+    halves = [F.xxhash64(F.lit(seed), *cols) for seed in (1, 2)]
+    if bits < 64:
+        halves = [F.pmod(halves[0], F.lit(1 << bits)), F.lit(0).cast("long")]
+    digested = df.select(*cols, F.struct(*[h.alias(f"h{i}") for i, h in enumerate(halves)]).alias("__digest"))
+    counts = digested.groupBy("__digest").agg(F.count(F.lit(1)).alias("__c"))
+    alone = counts.where("__c = 1").agg(F.count(F.lit(1)).alias("alone"))
+    again = digested.join(counts.where("__c > 1").select("__digest"), "__digest", "left_semi")
+    groups = again.groupBy(*cols).agg(F.count(F.lit(1)).alias("__c")).agg(
+        F.coalesce(F.sum(F.col("__c") - 1), F.lit(0)).cast("long").alias("duplicate_rows"), F.count(F.lit(1)).alias("repeated"))
+    return groups.select("duplicate_rows", (F.col("repeated") + alone.scalar()).cast("long").alias("distinct_rows"))
 
 
 def overall_missing(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

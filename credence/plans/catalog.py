@@ -13,8 +13,10 @@ against tombstones.
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +40,7 @@ SCHEMAS = {
         T.StructField("total_features", T.LongType()), T.StructField("sample_count", T.LongType()),
         T.StructField("created_at", T.TimestampType()), T.StructField("status", T.StringType()),
         T.StructField("tags", T.MapType(T.StringType(), T.StringType())),
-        T.StructField("data_path", T.StringType())]),
+        T.StructField("data_path", T.StringType()), T.StructField("manifest_path", T.StringType())]),
     "feature_set_archive": T.StructType([
         T.StructField("name", T.StringType()), T.StructField("version", T.LongType()),
         T.StructField("archived_at", T.TimestampType())]),
@@ -117,7 +119,9 @@ class Catalog:
     def create_feature_set(self, name: str, data: DataFrame | None = None, description: str = "",
                            tags: Mapping[str, str] | None = None, data_path: str | None = None) -> DataFrame:
         """A14 schema summary + name, version (max+1), tags and status
-        ``created_with_schema``; ``created_metadata_only`` without data."""
+        ``created_with_schema``; ``created_metadata_only`` without data. Data at a
+        path gets a manifest, with which C4 opens only the files it needs."""
+        manifest = write_manifest(self.spark, data_path, f"{self.root}/manifests/{uuid.uuid4().hex}") if data_path else None
         now = _now()
         tag_map = F.create_map(*[x for k, v in (tags or {}).items() for x in (F.lit(k), F.lit(v))]) \
             if tags else F.create_map().cast("map<string,string>")
@@ -126,7 +130,8 @@ class Catalog:
                 F.lit(description).alias("description"), F.lit(None).cast(T.ArrayType(FEATURE_TYPE)).alias("features"),
                 F.lit(None).cast("long").alias("total_features"), F.lit(None).cast("long").alias("sample_count"),
                 F.lit(now).alias("created_at"), F.lit("created_metadata_only").alias("status"),
-                tag_map.alias("tags"), F.lit(data_path).cast("string").alias("data_path"))
+                tag_map.alias("tags"), F.lit(data_path).cast("string").alias("data_path"),
+                F.lit(manifest).cast("string").alias("manifest_path"))
         else:
             summ = schema_summary(data)
             row = summ.agg(
@@ -138,7 +143,8 @@ class Catalog:
                 F.count(F.lit(1)).alias("total_features"), F.max("sample_count").alias("sample_count")
             ).select(F.lit(description).alias("description"), "features", "total_features", "sample_count",
                      F.lit(now).alias("created_at"), F.lit("created_with_schema").alias("status"),
-                     tag_map.alias("tags"), F.lit(data_path).cast("string").alias("data_path"))
+                     tag_map.alias("tags"), F.lit(data_path).cast("string").alias("data_path"),
+                F.lit(manifest).cast("string").alias("manifest_path"))
         version = self._add_version("feature_sets", name, row)
         return self.read("feature_sets").where((F.col("name") == name) & (F.col("version") == version))
 
@@ -162,13 +168,26 @@ class Catalog:
         """C4: data of a feature-set version (default 1), error if absent;
         then P10 feature selection and P15 time range."""
         rows = self.feature_sets().where((F.col("name") == name) & (F.col("version") == int(version or 1))) \
-            .select("data_path").collect()   # one catalog row
+            .select("data_path", "manifest_path").collect()   # one catalog row
         if not rows or not rows[0]["data_path"]:
             raise FileNotFoundError(f"Feature data not found: {name}:{version or 1}")
-        df = self.spark.read.parquet(rows[0]["data_path"])
-        df = time_range(df, start, end) if spec.TS in df.columns else df
+        path, manifest = rows[0]
+        df = self.spark.read.parquet(path)
+        if spec.TS in df.columns and (start is not None or end is not None):
+            df = time_range(files_within(df, path, manifest, start, end) if manifest else df, start, end)
         return select_features(df, features)
 
+    def write_feature_set(self, name: str, df: DataFrame, description: str = "", tags: Mapping[str, str] | None = None,
+                          files: int | None = None) -> DataFrame:
+        """C1 of data that is written here: in ranges of its timestamp, so that a
+        file holds a short time (rows without one stand together)."""
+        path = f"{self.root}/data/{name}/{uuid.uuid4().hex}"
+        if spec.TS in df.columns:
+            key = [F.col(spec.TS), F.xxhash64(*df.columns)]   # one time on very many rows is several files
+            df = (df.repartitionByRange(files, *key) if files else df.repartitionByRange(*key)).sortWithinPartitions(spec.TS)
+        df.write.parquet(path)
+        return self.create_feature_set(name, self.spark.read.parquet(path), description, tags, data_path=path)
+
     def create_feature_view(self, name: str, features: Sequence[str], set_name: str, set_version: int = 1,
                             description: str = "", view: str | None = None) -> DataFrame:
         """Named feature subset bound to a set version; also registered as
@@ -387,6 +406,37 @@ def resolve_versions(requests: DataFrame, models: DataFrame, selected: DataFrame
                                                      F.lit("'"))).alias("error"))
 
 
+def write_manifest(spark: SparkSession, data_path: str, manifest_path: str, ts: str = spec.TS) -> str | None:
+    """Least and greatest timestamp, rows, and rows without one, of every file of a
+    Parquet folder: one pass over one column. None if the data has no such column."""
+    df = spark.read.parquet(data_path)
+    if ts not in df.columns:
+        return None
+    (df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.min(ts).alias("least"), F.max(ts).alias("greatest"), F.count("*").alias("rows"), F.count_if(F.col(ts).isNull()).alias("without"))
+     .write.parquet(manifest_path))
+    return manifest_path
+
+
+def _plain(file: str) -> str:
+    """One spelling of a file's name."""
+    return unquote(re.sub("^file:/+", "/", file))
+
+
+def files_within(df: DataFrame, data_path: str, manifest_path: str, start=None, end=None) -> DataFrame:
+    """The files of ``df`` that may hold rows of a time range. Files that the
+    manifest doesn't know are read; rows without a timestamp are in no range."""
+    spark = df.sparkSession
+    known = spark.read.parquet(manifest_path)
+    within = time_range(time_range(known, None, end, "least"), start, None, "greatest")   # least < end, start <= greatest
+    wanted = {r["file"] for r in within.where("greatest is not null").select("file").collect()}   # file names
+    skip = {_plain(r["file"]) for r in known.select("file").collect()} - set(map(_plain, wanted))
+    files = [f for f in df.inputFiles() if _plain(f) not in skip]
+    if not files:
+        return df.where(F.lit(False))
+    return spark.read.schema(df.schema).option("basePath", data_path).parquet(*files)
+
+
 def publish_dataset(catalog: Catalog, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
     """Write ``df`` to a folder of its own, then append the catalog row that
     names it as the next version; returns the version. Of writers that come at

@@ -117,3 +117,76 @@ def test_a_snapshot_keeps_the_current_versions(spark, catalog):
     assert sorted(catalog.model_versions().collect()) == before
     catalog.add_model_tags("m", 1, {"n": "last"})
     assert {r["version"]: r["tags"].get("n") for r in catalog.model_versions().collect()} == {1: "last", 2: None}
+
+
+def test_a_time_range_opens_only_its_files(spark, catalog):
+    import datetime as dt
+
+    df = spark.range(4000).select(
+        F.when(F.col("id") % 10 > 0, F.expr("TIMESTAMP_NTZ '2020-01-01 00:00:00' + make_dt_interval(0, id)")).alias("application_ts"),
+        F.col("id").cast("double").alias("income"), F.lit(1).alias("loan_approved")).repartition(3)
+    catalog.write_feature_set("s", df, files=12)
+    every = catalog.get_feature_data("s", 1)
+    assert every.count() == 4000 and len(every.inputFiles()) >= 10
+    start, end = dt.datetime(2020, 1, 10), dt.datetime(2020, 2, 1)
+    some = catalog.get_feature_data("s", 1, start=start, end=end)
+    inside = (F.col("application_ts") >= F.lit(start).cast("timestamp_ntz")) & (F.col("application_ts") < F.lit(end).cast("timestamp_ntz"))
+    assert sorted(some.collect()) == sorted(df.where(inside).collect()) and some.count() > 400
+    assert len(some.inputFiles()) <= 4
+    # the same rows as without a manifest, for each kind of bound, also between two files' borders
+    for a, b in ((start, None), (None, end), (dt.datetime(2031, 1, 1), None), (dt.datetime(2020, 1, 1), dt.datetime(2020, 1, 1, 5))):
+        cond = F.lit(True)
+        for bound, op in ((a, "__ge__"), (b, "__lt__")):
+            if bound is not None:
+                cond = cond & getattr(F.col("application_ts"), op)(F.lit(bound).cast("timestamp_ntz"))
+        assert sorted(catalog.get_feature_data("s", 1, start=a, end=b).collect()) == sorted(df.where(cond).collect())
+    # a file that came later is read
+    path = catalog.feature_sets().first()["data_path"]
+    df.limit(50).withColumn("application_ts", F.lit(dt.datetime(2019, 1, 1)).cast("timestamp_ntz")).write.mode("append").parquet(path)
+    assert catalog.get_feature_data("s", 1, end=dt.datetime(2019, 6, 1)).count() == 50
+
+
+def test_profile_parts_merge(spark, catalog):
+    import random
+
+    from credence.operators.sketch import PARTS, profile_of, sketch
+
+    rng = random.Random(4)
+    rows = [(rng.gauss(0, 1) * 10 ** rng.randrange(-300, 300) if i % 7 else None, i % 1500, f"s{i % 40}" if i % 3 else None)
+            for i in range(9000)]
+    rows += [(float("inf"), 0, None), (-float("inf"), None, ""), (float("nan"), -5, None), (0.0, 1, "x"), (-0.0, 1, "x")]
+    df = spark.createDataFrame(rows, "x double, n long, s string").repartition(5)
+    for n in range(3):
+        catalog.add_profile_part("p", str(n), df.where(F.pmod(F.hash("x", "n", "s"), F.lit(3)) == n))
+    catalog.add_profile_part("p", "none", df.limit(0))
+    with pytest.raises(ValueError, match="before"):
+        catalog.add_profile_part("p", "1", df)
+    whole = sketch(df.repartition(2))
+    assert sorted(map(str, catalog.profile_sketch("p").collect())) == sorted(map(str, whole.collect()))
+    p = {r["column"]: r for r in catalog.profile("p").collect()}
+    assert [(p[c]["total_records"], p[c]["missing_count"]) for c in "xns"] == [
+        (len(rows), sum(r[i] is None for r in rows)) for i in range(3)]
+    for c, i in (("x", 0), ("n", 1)):
+        v = sorted(r[i] for r in rows if r[i] is not None and r[i] == r[i])
+        assert (p[c]["min"], p[c]["max"]) == (v[0], v[-1])
+        for q in (0.25, 0.5, 0.75):
+            k = q * (len(v) - 1)
+            lo, hi = v[int(k)], v[min(len(v) - 1, int(k) + 1)]
+            got = p[c][f"p{int(100 * q)}"]
+            assert min(lo - abs(lo) / (2 * PARTS), lo) <= got <= max(hi + abs(hi) / (2 * PARTS), hi)
+        assert abs(p[c]["distinct_count"] - len(set(v))) <= 0.06 * len(set(v))
+    assert (p["s"]["distinct_count"], p["s"]["min"], p["s"]["p50"]) == (42, None, None)
+    empty = {r["column"]: r for r in profile_of(sketch(df.limit(0))).collect()}
+    assert all(r["total_records"] == 0 and r["distinct_count"] == 0 and r["p50"] is None for r in empty.values())
+
+
+def test_two_writers_of_one_profile_part(spark, catalog):
+    df, errors = spark.range(10), []
+
+    def add():
+        try:
+            catalog.add_profile_part("p", "1", df)
+        except ValueError as e:
+            errors.append(e)
+    at_once(add, add, add)
+    assert len(errors) == 2 and catalog.profile("p").first()["total_records"] == 10

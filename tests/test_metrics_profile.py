@@ -2,8 +2,10 @@
 
 import itertools
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from credence.operators.metrics import binary_metrics, classification_report, confusion_matrix, roc_auc
 from credence.operators.profile import class_distribution, duplicate_rows, missing_profile, overall_missing
@@ -69,3 +71,28 @@ def test_missing_profile(spark):
     assert p["s"]["missing_pct"] == 66.67 and p["s"]["distinct_count"] == 1 and p["s"]["distinct_reported"]
     o = overall_missing(df).first()
     assert o["missing_cells"] == 3 and o["missing_pct"] == 50.0
+
+
+def test_profile_from_values_equals_the_aggregates(spark):
+    import datetime as dt
+    import decimal
+
+    rows = [(1, 0.0, "a", True, dt.date(2020, 1, 1), decimal.Decimal("1.50"), 2**62), (None, -0.0, "", None, None, decimal.Decimal("2.50"), 2**62 + 1),
+            (1, float("nan"), None, False, dt.date(2020, 1, 1), None, 2**62), (3, float("nan"), "a", True, None, decimal.Decimal("1.50"), None)]
+    df = spark.createDataFrame(rows, "i int, d double, s string, b boolean, t date, m decimal(9,2), l long")
+    show = ["ordinal", "column", "dtype", "total_records", "missing_count", "missing_pct", "distinct_count", "distinct_reported", "constant"]
+    for frame in (df, df.limit(0), df.unionByName(df)):
+        values = missing_profile(frame).orderBy("ordinal")
+        # a column of another kind takes the way of one aggregate
+        other = missing_profile(frame.withColumn("z", F.array(F.lit(1))), [*frame.columns, "z"]).where("column <> 'z'").orderBy("ordinal")
+        assert values.select(*show).collect() == other.select(*show).collect()
+
+
+@pytest.mark.parametrize("bits", [128, 4, 0])
+def test_duplicates_of_colliding_digests(spark, bits):
+    rows = [(i % 70, None if i % 5 == 0 else f"s{i % 3}") for i in range(300)] + [(1000 + i, "x") for i in range(50)] + [(7, "hot")] * 400
+    df = spark.createDataFrame(rows, "a int, s string")
+    got = duplicate_rows(df, bits=bits).first()
+    assert (got["duplicate_rows"], got["distinct_rows"]) == (len(rows) - len(set(rows)), len(set(rows)))
+    assert tuple(duplicate_rows(df.limit(0), bits=bits).first()) == (0, 0)
+    assert duplicate_rows(df, ["s"], bits).first()["distinct_rows"] == 6

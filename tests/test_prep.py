@@ -214,3 +214,33 @@ def test_split_keeps_null_labels_and_depends_on_the_key_only(spark):
     other = stratified_split(df.withColumn("x", F.col("x") * 2.5), "y", "k")
     single = "k >= 10"
     assert out.where(single).select("k", "split").exceptAll(other.where(single).select("k", "split")).count() == 0
+
+
+def test_large_dictionaries_share_one_look_up(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from credence.operators.encode import Dictionary, encode, fit_dictionaries, mask_unseen
+
+    rng = random.Random(2)
+    cols = ["a", "b", "c", "d", "e"]
+    rows = [(i, *["hot" if i % 3 == 0 else f"{c}{rng.randrange(300)}" for c in cols]) for i in range(3000)]
+    df = spark.createDataFrame(rows, ["id", *cols])
+    fitted = Dictionary(fit_dictionaries(df.where("id % 2 = 0"), cols))
+    odd = df.unionByName(df.limit(5)).withColumn("b", F.when(F.col("id") % 11 > 0, F.col("b"))).withColumn("e", F.lit("never seen"))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    kept = spark.conf.get(key)
+    want = [sorted(map(str, f(odd, fitted, cols).collect())) for f in (encode, mask_unseen)]
+    try:
+        spark.conf.set(key, "-1")
+        got = [f(odd, fitted, cols) for f in (encode, mask_unseen)]
+        assert [sorted(map(str, g.collect())) for g in got] == want
+        plan = got[0]._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        # pairs and dictionary meet once, codes and rows meet once
+        assert plan.count("SortMergeJoin") <= 2 and got[0].columns == odd.columns
+        spark.conf.set(key, str(fitted.bytes["a"]))
+        assert sorted(map(str, encode(odd, fitted, cols).collect())) == want[0]
+        assert encode(odd.limit(0), fitted, cols).count() == 0
+    finally:
+        spark.conf.set(key, kept)

@@ -418,3 +418,22 @@ def l2_optimality(spark, sf):
     table, _ = fit_logistic(tr)
     g = gradient_table(tr, table)
     return g.select("feature", "rows", F.abs(F.round("gradient", 4)).alias("gradient"))
+
+
+# two files, two batches: the second is scored by the version registered between
+# them; every payload has its rows once
+@register("L7_versioned_stream", OUTCOME_SQL)
+def l7_versioned(spark, sf):
+    from ..plans.catalog import Catalog
+    from ..streaming.versioned_scoring import VersionedScorer, register_scorer, start_versioned_scoring
+
+    catalog = Catalog(spark, work_dir(spark, "stream-catalog"))
+    src, out, ckpt = (work_dir(spark, n) for n in ("payload-files", "versioned-out", "versioned-checkpoint"))
+    scorer = VersionedScorer(catalog, "loan-approval-model", out)
+    payloads = payload_table(spark, sf)
+    for n, kind in enumerate(("logistic_regression", "random_forest")):
+        model, params, _, _ = context(spark, sf, kind)
+        register_scorer(catalog, "loan-approval-model", model, params, work_dir(spark, f"scorer-{n}"))
+        payloads.where(F.pmod(F.hash("payload_id"), F.lit(2)) == n).write.mode("append").json(src)
+        start_versioned_scoring(scorer, src, ckpt).awaitTermination()
+    return _outcome(scorer.rows())

@@ -24,8 +24,11 @@ their names. An empty table gives no file and no rows.
 from __future__ import annotations
 
 import json
+import re
+import string
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -40,19 +43,25 @@ from credence.session import work_dir
 
 BLOCK = 1 << 16
 END_ID = 2
-KNOWN = 800_000
+KNOWN = 1_000_000
 MAGIC = b"PLN1"
+#: Lower-case letters that are letters in every version of Unicode's tables.
+LETTERS = re.compile("[a-zß-öø-žα-ωа-ёђ-ќўџ]+")
+#: Byte-level pieces spell each byte as one character: printable ones as themselves,
+#: the others, in order, from 256 on.
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTES = dict(zip((b for b in range(256) if b not in PRINTABLE), range(256, 512), strict=False))
 
 
 class WordEncoder:
     """Ids of whole texts by the tokenizers library. The tokenizer drops white
     space between words, so each distinct word is encoded once while it is
-    remembered, many in one call, parted by a special token. Marks at a word's
-    end, after a letter or digit, are tokens of their own and are encoded apart -
-    unless normalising makes the letter end in a sign that joins the marks, which
+    remembered, many in one call, parted by a special token, ASCII words in lower
+    case as the tokenizer takes them. Marks at a word's end, after a letter or
+    digit, are a piece of their own and are encoded apart - unless normalising makes the letter end in a sign that joins the marks, which
     the tokenizer itself is asked for, once for each such letter."""
 
-    TAIL = ".,;:!?"
+    TAIL = string.punctuation
     MARKS = TAIL.encode()
 
     def __init__(self, text: str) -> None:
@@ -60,6 +69,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_str(text)
         self.part, self.part_id = min((t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items())
+        self.model = self.tokenizer.model
         self.known: dict[bytes, bytes] = {}
         self.apart: dict[str, bool] = {}
 
@@ -72,14 +82,31 @@ class WordEncoder:
         return self.apart[letter]
 
     def _cut(self, word: bytes) -> tuple[bytes, bytes]:
-        """A word and the marks at its end, if they are tokens of their own."""
-        if word[-1] not in self.MARKS:
-            return word, b""
+        """A word, in lower case if it is ASCII, and the marks at its end, if they
+        are pieces of their own."""
         core = word.rstrip(self.MARKS)
         # ASCII letters and digits are what they are; others are asked for
-        if core and (core[-1:].isalnum() if core[-1] < 128 else self.stands_apart(core.decode()[-1])):
-            return core, word[len(core):]
-        return word, b""
+        if not core or b"<|" in word or not (core[-1:].isalnum() if core[-1] < 128 else self.stands_apart(core.decode()[-1])):
+            core = word
+        return core.lower() if core.isascii() and b"<|" not in core else core, word[len(core):]
+
+    def _of_piece(self, piece: str) -> bytes:
+        """Ids of one piece, as the tokenizer's own parts leave it."""
+        return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+
+    def _of_letters(self, words: list[bytes]) -> list[bytes]:
+        """Encodes the words that are one piece of common letters once normalised,
+        without the tokenizer's search for pieces; returns the others."""
+        normal = self.tokenizer.normalizer.normalize_str(b" ".join(words).decode()).split(" ")
+        if len(normal) != len(words):   # a word holds a space that isn't ASCII
+            return words
+        out = []
+        for w, n in zip(words, normal, strict=True):
+            if LETTERS.fullmatch(n):
+                self.known[w] = self._of_piece(n.encode().decode("latin-1").translate(BYTES))
+            else:
+                out.append(w)
+        return out
 
     def __call__(self, texts: list[str], end_id: int = END_ID) -> list[bytes]:
         """Ids of each text, with the end id, as little-endian 32-bit numbers."""
@@ -89,10 +116,17 @@ class WordEncoder:
         known = self.known
         cut = {w: self._cut(w) for w in set().union(*words).difference(known)}
         need = {p for pair in cut.values() for p in pair if p}.difference(known)
-        plain = [p for p in need if b"<|" not in p]
+        rest = []
+        for p in need:
+            if p.isalpha() and p.islower():   # ASCII letters: normal as they are, and one piece
+                known[p] = self._of_piece(p.decode())
+            elif b"<|" not in p:
+                rest.append(p)
         between = self.part.encode()
-        for at in range(0, len(plain), 1000):
-            part = plain[at: at + 1000]
+        for at in range(0, len(rest), 1000):
+            part = self._of_letters(rest[at: at + 1000])
+            if not part:
+                continue
             text = between.join(part).decode()
             ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             cuts = (4 * np.flatnonzero(ids == self.part_id)).tolist()
@@ -103,8 +137,7 @@ class WordEncoder:
             if b"<|" in p:
                 known[p] = np.array(self.tokenizer.encode(p.decode(), add_special_tokens=False).ids, "<u4").tobytes()
         for w, (core, tail) in cut.items():
-            if tail:
-                known[w] = known[core] + known[tail]
+            known[w] = known[core] + known[tail] if tail else known[core]
         end = np.array([end_id], "<u4").tobytes()
         return [b"".join(map(known.__getitem__, ws)) + end for ws in words]
 

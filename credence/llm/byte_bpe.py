@@ -4,7 +4,8 @@ Texts are cut into words with positions. A word here is a run without white
 space with the one space before it, or a white-space run: no match of the
 pre-token pattern crosses such a border, so words can be encoded apart.
 Documents are taken in chunks of ``CHUNK`` bytes. A chunk's distinct words go
-out once, packed by word hash into buckets, and meet the same words of every
+out once, packed by word hash into buckets (as many as shuffle partitions, up to
+``BUCKETS``), and meet the same words of every
 other chunk in their bucket. There each distinct word is cut by the pattern
 and encoded once; its ids go back to the chunks, where documents are
 reassembled by word position. A frequent word costs one entry per chunk, not
@@ -42,6 +43,7 @@ from pyspark.sql import functions as F
 from credence.llm.common import as_texts, shuffle_partitions, worker_kept
 
 CHUNK = 8 << 20      # characters of text in a chunk
+BUCKETS = 512        # at most, so that a chunk gives few rows on any number of partitions
 KNOWN = 500_000      # distinct words whose ids a task keeps at once
 #: White space as the pre-token pattern's \s sees it.
 SPACE = "".join(chr(c) for c in range(0x3001) if regex.match(r"\s", chr(c)))
@@ -220,7 +222,7 @@ def _encoded(docs: DataFrame, path: str, pattern: str, finish: Callable, schema:
              id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    buckets = max(8, shuffle_partitions(spark))
+    buckets = min(BUCKETS, max(8, shuffle_partitions(spark)))
     ranks = spark.sparkContext.broadcast(load_ranks(path))  # a vocabulary file: its size doesn't grow with the data
     words = docs.mapInArrow(_word_rows(buckets), _ROW_SQL)
     ids = words.repartition("bucket").mapInArrow(_id_rows(ranks, pattern), _ROW_SQL)

@@ -9,8 +9,8 @@ is shuffled. The join key is the normalised window text itself: a hit is
 verified by equality, not by a hash. Only hits, and one row per document, go
 on to the aggregation.
 
-The windows are broadcast only if there are ``BROADCAST_WINDOWS`` at most
-(their count is read first); beyond that the join is an ordinary shuffled one,
+The windows are broadcast only if they and their items have ``BROADCAST_BYTES``
+at most (their bytes are summed first); beyond that the join is an ordinary shuffled one,
 which AQE splits where a window is hot.
 
 Cases: null or empty texts and texts without words have 0 words and no hits;
@@ -29,7 +29,7 @@ from credence.llm.common import ascii_lower, free_name, stored
 
 SIZE = 10
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-BROADCAST_WINDOWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 
 
 def words(text: Column) -> Column:
@@ -68,7 +68,9 @@ def find_hits(docs: DataFrame, items: DataFrame, size: int = SIZE, id_col: str =
     windows = stored(benchmark_windows(items, size), "windows")
     lengths = sorted(r["length"] for r in windows.select("length").distinct().collect())  # `size` values at most
     keyed = windows.select("window", "items")
-    if windows.count() <= BROADCAST_WINDOWS:
+    items_size = F.reduce("items", F.lit(0), lambda a, i: a + F.octet_length(i) + 16)
+    held = windows.agg(F.coalesce(F.sum(F.octet_length("window") + 32 + items_size), F.lit(0))).first()[0]
+    if held <= BROADCAST_BYTES:
         keyed = F.broadcast(keyed)
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     d = d.select("doc_id", F.xxhash64("text").alias("h1"), F.hash("text").alias("h2"), words(F.col("text")).alias("ws"))

@@ -174,13 +174,12 @@ def q1(spark, sf):
 CANDIDATES = [("scorecard", "pred", "prob"), ("high_income_rule", "hi_pred", "hi_pred")]
 
 
-def _val_metrics(spark, sf):
-    s = scored(spark, sf)
-    f = features(spark, sf).select(spec.KEY, F.col("high_income").cast("int").alias("hi_pred"))
-    split = stratified_split(applications(spark, sf).select(spec.KEY, spec.TARGET), spec.TARGET, spec.KEY,
-                             spec.TEST_SIZE, spec.SEED, method="lehmer")
+def _val_metrics(spark, sf, view=None):
+    f = features(spark, sf) if view is None else view
+    s = scored(spark, sf, f, ["high_income"]).withColumn("hi_pred", F.col("high_income").cast("int"))
+    split = stratified_split(f.select(spec.KEY, spec.TARGET), spec.TARGET, spec.KEY, spec.TEST_SIZE, spec.SEED, method="lehmer")
     # the validation rows feed several metric plans: cut their lineage once
-    val = materialize(split.where(F.col("split") == "test").select(spec.KEY).join(s, spec.KEY).join(f, spec.KEY))
+    val = materialize(split.where(F.col("split") == "test").select(spec.KEY).join(s, spec.KEY))
     out = []
     for name, pred, prob in CANDIDATES:
         m = binary_metrics(val, spec.TARGET, pred)
@@ -277,11 +276,11 @@ def q3_imbalanced(spark, sf):
 
 # --- Q4: stored feature-validation result, read back --------------------------------
 
-def _stored_q1(spark, sf):
+def _stored_q1(spark, sf, view=None):
     """The validation result of the set's second version, from the catalog: the
     first version has an older, failed one."""
     cat = Catalog(spark, work_dir(spark, "validation-catalog"))
-    gate = feature_gate(features(spark, sf).select(*FEATURE_COLS))
+    gate = materialize(feature_gate((features(spark, sf) if view is None else view).select(*FEATURE_COLS)))
     cat.log_validation("loan-approval-features", 1, gate.withColumn("passed", F.lit(False)))
     cat.log_validation("loan-approval-features", 2, gate)
     return cat.validations("loan-approval-features", 2)
@@ -310,13 +309,17 @@ UNION ALL SELECT 'overall', bool_and(passed),
 def q6(spark, sf):
     from .q_models import inference_check
 
-    metrics = dict(_val_metrics(spark, sf))
+    # every gate reads the feature view that is written once
+    path = work_dir(spark, "gate-view")
+    features(spark, sf).write.parquet(path)
+    view = spark.read.parquet(path)
+    metrics = dict(_val_metrics(spark, sf, view))
     gates = run_gates(spark, [
         ("performance", lambda: performance_gate(metrics["scorecard"])),
-        ("data_quality", lambda: data_quality_gate(features(spark, sf).select(*FEATURE_COLS))),
+        ("data_quality", lambda: data_quality_gate(view.select(*FEATURE_COLS))),
         ("artifacts", lambda: dataset_gate(input_catalog(spark, sf), REQUIRED_INPUTS, OPTIONAL_INPUTS)),
         ("inference", lambda: inference_check(spark, sf)),
-        ("feature_store", lambda: profile_gate(_stored_q1(spark, sf))),
+        ("feature_store", lambda: profile_gate(_stored_q1(spark, sf, view))),
     ])
     r = rollup(gates)
     return r.select("check", "passed", F.array_join("issues", " | ").alias("issues"))

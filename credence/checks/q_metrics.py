@@ -32,10 +32,10 @@ SCORED_SQL = f"""
 """
 
 
-def scored(spark, sf):
-    a = applications(spark, sf)
+def scored(spark, sf, apps=None, keep=()):
+    a = applications(spark, sf) if apps is None else apps
     s = score().cast("double")
-    return a.select(spec.KEY, spec.TARGET, s.alias("score"), (s > 50).cast("int").alias("pred"),
+    return a.select(spec.KEY, spec.TARGET, *keep, s.alias("score"), (s > 50).cast("int").alias("pred"),
                     (F.lit(1.0) / (F.lit(1.0) + F.exp(-(s - F.lit(50.0)) / F.lit(10.0)))).alias("prob"))
 
 

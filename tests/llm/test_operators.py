@@ -257,13 +257,18 @@ def test_words_that_do_not_come_back_are_encoded_on_the_spot():
 
 
 def brute_repair(roles):
-    best = {chat_repair.START: 0.0}
+    """Least cost, the table written out: keep 0, relabel 2, merge into the turn
+    before 1 more, an empty turn before it 3 more."""
+    after = {"": ("system", "user"), "system": ("user",), "user": ("assistant",), "assistant": ("user",)}
+    best = {"": 0}
     for r in roles:
         new = {}
         for s, c in best.items():
-            for t in range(1, 4):
-                for cost, *_ in chat_repair._choices(r if r in chat_repair.ROLES else None)[s][t]:
-                    new[t] = min(new.get(t, 1e9), c + cost)
+            for t in ("system", "user", "assistant"):
+                change = 0 if t == r else 2
+                ways = [change] * (t in after[s]) + [1 + change] * (t == s) + [3 + change for mid in after[s] if t in after[mid]]
+                if ways:
+                    new[t] = min(new.get(t, 1e9), c + min(ways))
         best = new
     return min(best.values())
 
@@ -330,7 +335,7 @@ def test_planes_round_trip(kind, tmp_path):
 
 
 ENCODER = id_files.WordEncoder(open(WORDS, encoding="utf-8").read())
-SIGNS = [*"ab1Zé.,;:!?-'’ \t", "İ", "ẞ", "ǰ", "क़", "ড়", "ख", "़", "\u0307", "\u0301", "\u200d", "\u00ad", "½", "Ⅷ", "٣", "漢", "각", "ᄀ",
+SIGNS = [*"ab1ZISJé.,;:!?-#$%&@_|<>'\"’ \t", "İ", "ẞ", "ǰ", "क़", "ড়", "ख", "़", "\u0307", "\u0301", "\u200d", "\u00ad", "½", "Ⅷ", "٣", "漢", "각", "ᄀ",
          "ᅡ", "ᆨ", "ﬁ", "🙂", "\ufe0f", "<|endoftext|>", "<|startoftext|>", "<|", "|>"]
 
 
@@ -619,3 +624,116 @@ def test_queries_equal_their_sql(spark, sf, name):
     df = queries.QUERIES[name](spark, sf)
     assert sorted(df.columns) == sorted(names)
     assert sorted(tuple(r[c] for c in sorted(names)) for r in df.collect()) == want
+
+
+def pipeline_folder(spark, sf, tmp_path, documents):
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{sf}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    documents.write.parquet(f"{tmp_path}/documents.parquet")
+    return str(tmp_path)
+
+
+def test_pipeline_of_odd_rows(spark, sf, tmp_path):
+    """Nulls, empty and long texts, repeated rows and ids, clashing columns."""
+    import corpus_pipeline
+
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").where("length(text) > 80").first()["text"]
+    plain = [" ".join(f"{w}{i}" for i in range(60)) for w in ("river", "stone", "cloud", "lamp")]
+    rows = [(900_001, plain[0]), (900_002, plain[0] + " end"), (900_002, plain[1]), (900_003, plain[1]), (None, plain[1]), (None, plain[2]),
+            (None, plain[2]), (900_004, plain[3] + " " + item), (900_005, " ".join(f"meadow{i % 60}" for i in range(42_000))),
+            (900_006, ""), (900_006, ""), (900_007, None), (None, None), (None, "")]
+    odd = spark.createDataFrame([(i, t, "d", "r", "k", 0.5) for i, t in rows],
+                                "doc_id long, text string, _digest string, _rep string, _key string, score double")
+    given = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", *(F.lit(v).alias(c) for c, v in (
+        ("_digest", "d"), ("_rep", "r"), ("_key", "k"), ("score", 0.5))))
+    folder = pipeline_folder(spark, sf, tmp_path, given.unionByName(odd).repartition(5))
+    docs = corpus_pipeline.table(spark, folder, "documents")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = docs
+        docs = corpus_pipeline.stored(stage(spark, docs, folder), f"test-{name}")
+        assert docs.columns == before.columns and docs.exceptAll(before).count() == 0
+        assert docs.where("_digest <> 'd' or _rep <> 'r' or _key <> 'k' or score <> 0.5").count() == 0
+    left = sorted((str(r["doc_id"]), (r["text"] or "")[:5]) for r in docs.collect() if r["doc_id"] is None or r["doc_id"] > 900_000)
+    empty = [x for x in left if not x[1]]
+    assert [x for x in left if x[1]] == [("900001", "river"), ("900002", "stone"), ("900005", "meado"), ("None", "cloud")]
+    assert empty in ([("900006", ""), ("900007", ""), ("None", ""), ("None", "")], [])
+    out = {str(r["doc_id"]): r for r in corpus_pipeline.STAGES[-1][1](spark, docs, folder).where("doc_id > 900000 or doc_id is null").collect()}
+    assert len(out["900005"]["ids"]) == out["900005"]["n_tokens"] > 40_000
+    assert out["900001"]["decoded_sha256"] == hashlib.sha256(plain[0].encode()).hexdigest()
+
+
+def test_pipeline_of_empty_tables(spark, sf, tmp_path):
+    import corpus_pipeline
+
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{sf}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def plain_score(net, text):
+    """The greatest of all windows' scores, word by word in plain loops."""
+    w = {k: v.astype(float) for k, v in net.w.items()}
+    h = toxicity.HIDDEN
+    words = toxicity.WORDS.findall(text.encode().lower())
+
+    def sigmoid(x):
+        return 1 / (1 + np.exp(-x))
+
+    def vector(word):
+        f = toxicity.Features([word])
+        return np.concatenate([w["word"][f.own[0]], w["char"][f.grams].mean(0)])
+
+    def states(xs, side):
+        state, out = np.zeros(h), []
+        for x in xs if side == "f" else reversed(xs):
+            p = x @ w["x" + side] + w["c" + side]
+            z, r = sigmoid(p[:h] + state @ w["h" + side][:, :h]), sigmoid(p[h: 2 * h] + state @ w["h" + side][:, h: 2 * h])
+            state = (1 - z) * state + z * np.tanh(p[2 * h:] + (r * state) @ w["h" + side][:, 2 * h:])
+            out.append(state)
+        return out if side == "f" else out[::-1]
+    scores = []
+    for at in range(0, max(1, len(words) - toxicity.WINDOW + toxicity.STRIDE), toxicity.STRIDE):
+        xs = [vector(x) for x in words[at: at + toxicity.WINDOW]]
+        both = [np.concatenate(x) for x in zip(states(xs, "f"), states(xs, "b"), strict=True)]
+        e = np.array([np.tanh(s @ w["att"]) @ w["key"] for s in both])
+        weight = np.exp(e - e.max()) / np.exp(e - e.max()).sum() if both else e
+        pooled = sum((a * s for a, s in zip(weight, both, strict=True)), np.zeros(2 * h))
+        scores.append(float(sigmoid(pooled @ w["out"] + w["bias"][0])))
+    return max(scores)
+
+
+def test_scores_are_the_greatest_of_all_windows():
+    rng = random.Random(6)
+    net = toxicity.Network.fresh(np.random.default_rng(3))
+    net.w |= {k: net.w[k] * 8 for k in ("word", "char", "out")}   # scores that differ
+    vocabulary = ["alpha", "beta,", "Gamma", "naïve", "漢字", "x", "it's", "42"] + [f"w{i}" for i in range(40)]
+    texts = ["", "  ", "one"] + [" ".join(rng.choices(vocabulary, k=n)) for n in (2, 31, 32, 63, 64, 65, 96, 97, 130, 200, 333)]
+    got = toxicity.batch_scores(toxicity.Scorer(net), [t.encode() for t in texts])
+    want = [plain_score(net, t) for t in texts]
+    assert np.allclose(got, want, atol=2e-4) and np.ptp(want) > 0.05
+
+
+def test_style_tree_equals_brute_force(spark, sf):
+    """Entropies and importance of every (host, path), by plain counting."""
+    from collections import Counter, defaultdict
+    from urllib.parse import urlsplit
+
+    boxed = [(f"https://user@Box.example:80/{i}?a=1|b", f"<body><div class=x><p>same</p><i>{i % 3}</i></div><article><p>t{i}</p><p>u{i}</p></article>")
+             for i in range(12)]
+    pages = spark.createDataFrame(boxed * 2, "url string, html string").unionByName(spark.read.parquet(f"{sf}/pages.parquet").select("url", "html"))
+    rows, seen = defaultdict(list), set()
+    for r in pages.collect():
+        host = (urlsplit(r["url"]).hostname or "").lower()
+        for copy, path, look, content in site_text.styles(site_text.parse(r["html"])):
+            if copy is None or (host, copy, path, look, content) not in seen:
+                rows[host, path].append((look, content))
+            seen.add((host, copy, path, look, content))
+
+    def entropy(values):
+        n = len(values)
+        return -sum(c / n * np.log(c / n) for c in Counter(values).values()) / np.log(n) if n > 1 else 1.0
+    own = {k: (len(v), (entropy([a for a, _ in v]) + entropy([b for _, b in v])) / 2) for k, v in rows.items()}
+    want = {(h, p): (n, round(max(o for (h2, p2), (_, o) in own.items() if h2 == h and (p2 + ">").startswith(p + ">")), 9))
+            for (h, p), (n, o) in own.items()}
+    got = {(r["host"], r["path"]): (r["n"], round(r["importance"], 9)) for r in site_text.style_tree(pages).collect()}
+    assert ("box.example", ">body>div.x") in got and got == want

@@ -5,7 +5,17 @@ written as Parquet and reread.
 
 Each stage takes (spark, docs, sf_dir). All but the last return the columns of
 ``documents``; the last returns doc_id, n_tokens, ids, and the digest of what the
-ids decode to."""
+ids decode to.
+
+Cases. Null and empty texts, and texts without words, are neither toxic by their
+own words nor copies nor contaminated: such a row stays, unless the fitted model
+scores the empty text as toxic, and is encoded to no ids; rows that repeat id and
+text stay once, those without an id each. Of repeated rows and copies with words one
+stays: the row of the least id, one without an id only if no copy has any. Rows that
+share an id are judged by their own texts. Whole texts count, however long. Labels
+and benchmark may be empty: then nothing is learned and nothing is contaminated.
+Other columns come through every stage but the last as they are, whatever their
+names. An empty table gives no rows."""
 
 from __future__ import annotations
 

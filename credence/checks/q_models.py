@@ -437,3 +437,28 @@ def l7_versioned(spark, sf):
         payloads.where(F.pmod(F.hash("payload_id"), F.lit(2)) == n).write.mode("append").json(src)
         start_versioned_scoring(scorer, src, ckpt).awaitTermination()
     return _outcome(scorer.rows())
+
+
+# the forest's nodes by their own numbers: 100 trees no deeper than 10; a split's
+# rows and positive rows are those of its children, and its gain is the fall in Gini
+# impurity that they make
+@register("L1_forest_nodes", """
+SELECT CAST(100 AS BIGINT) AS trees, TRUE AS depth_within_limit, CAST(0 AS BIGINT) AS wrong_rows, CAST(0 AS BIGINT) AS wrong_gains,
+       CAST(0 AS BIGINT) AS useless_splits
+""")
+def l1_nodes(spark, sf):
+    table = model_table(spark, sf)
+    n = table.table.select("tree", "node", "feature", "left", "right", "rows", "gain", "p1", (2 * F.col("p1") * (1 - F.col("p1"))).alias("gini"))
+
+    def child(side: str):
+        return n.select("tree", F.col("node").alias(side), *[F.col(c).alias(f"{side[0]}_{c}") for c in ("rows", "p1", "gini")])
+    j = n.where("feature is not null").join(child("left"), ["tree", "left"]).join(child("right"), ["tree", "right"])
+    fall = F.col("gini") - (F.col("l_rows") * F.col("l_gini") + F.col("r_rows") * F.col("r_gini")) / F.col("rows")
+    rows_differ = (F.abs(F.col("rows") - F.col("l_rows") - F.col("r_rows")) > 1e-6) | (
+        F.abs(F.col("rows") * F.col("p1") - F.col("l_rows") * F.col("l_p1") - F.col("r_rows") * F.col("r_p1")) > 1e-6)
+    wrong = j.agg(F.count_if(rows_differ).alias("wrong_rows"), F.count_if(F.abs(fall - F.col("gain")) > 1e-9).alias("wrong_gains"),
+                  F.count_if(F.col("gain") <= 0).alias("useless_splits"), F.count("*").alias("joined"))
+    facts = n.agg(F.count_distinct("tree").alias("trees"), F.count("feature").alias("splits"))
+    # a split whose children aren't there counts as wrong
+    return wrong.select(facts.select("trees").scalar().alias("trees"), F.lit(table.depth() <= spec.RF_DEPTH).alias("depth_within_limit"),
+                        (F.col("wrong_rows") + facts.select("splits").scalar() - F.col("joined")).alias("wrong_rows"), "wrong_gains", "useless_splits")

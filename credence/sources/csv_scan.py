@@ -21,6 +21,7 @@ per repeated content over splits.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -37,9 +38,9 @@ class CsvScan(NamedTuple):
     malformed: DataFrame    # file, line (the header is 1), record, reason
 
 
-def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def _lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     try:
-        text = spark.read.text(path)
+        text = spark.read.text(path if isinstance(path, str) else list(path))
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             raise FileNotFoundError(f"Data file not found: {path}") from e
@@ -73,7 +74,7 @@ def _by_name(names: list[str], wanted: list[str]):
     return pick
 
 
-def scan_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, key: str | None = None,
+def scan_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, key: str | None = None,
              sep: str = ",") -> CsvScan:
     """Rows of ``schema`` (columns that a file lacks are NULL, others it has are
     left out) and the malformed lines. ``key``: a long column that is filled from

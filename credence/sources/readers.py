@@ -43,7 +43,7 @@ def read(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructT
     raise ValueError(f"unknown format {fmt}")
 
 
-def load_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA, quarantine: str | None = None) -> DataFrame:
+def load_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType = RAW_SCHEMA, quarantine: str | None = None) -> DataFrame:
     """CSV files bound by their headers' names (``csv_scan``), then P1 (CSV
     text ``NaN`` in a double column reads as NaN, not NULL). Malformed lines
     aren't rows; they are appended to the ``quarantine`` folder if one is named,
@@ -98,7 +98,7 @@ def load_train_val(spark: SparkSession, root: str, fmt: str = "parquet", test_si
     return train, val, {"train_path": tp, "val_path": vp}
 
 
-def training_sets(spark: SparkSession, root: str, raw_path: str | None = None, raw_fmt: str = "csv",
+def training_sets(spark: SparkSession, root: str, raw_path: str | Sequence[str] | None = None, raw_fmt: str = "csv",
                   test_size: float = spec.TEST_SIZE, seed: int = spec.SEED) -> tuple[DataFrame, DataFrame, dict]:
     """S2 with its fallback: processed sets under ``root`` are reused when
     present; otherwise the raw data is preprocessed (F5), split (F6) and

@@ -96,3 +96,24 @@ def test_what_cannot_be_read_raises(spark, tmp_path):
     empty = tmp_path / "empty"
     empty.mkdir()
     assert scan_csv(spark, files(empty, a="k,x\n", b=""), SCHEMA, "k").rows.select(F.max("k")).first()[0] is None
+
+
+def test_training_sets_from_nine_raw_columns(spark, sf, tmp_path):
+    """Raw files without key and time: preprocessed, split, written, read back."""
+    from credence.fixtures import applications
+    from credence.sources.readers import training_sets, write
+
+    columns = [*spec.RAW_NUMERIC, *spec.RAW_CATEGORICAL, spec.TARGET]
+    raw, root = work_dir(spark, "nine-raw"), work_dir(spark, "nine-root")
+    df = applications(spark, sf).select(*columns)
+    write(df, raw, "csv")
+    bad = tmp_path / "bad.csv"
+    bad.write_text(",".join(reversed(columns)) + "\n1,other\n")
+    train, val, _ = training_sets(spark, root, [raw, f"file://{bad}"])
+    n = df.count()
+    assert train.count() + val.count() == n and val.count() == -(-n // 5)
+    both = train.unionByName(val)
+    assert both.select(spec.KEY).distinct().count() == n and both.where(F.col(spec.KEY).isNull()).count() == 0
+    assert both.groupBy(spec.TARGET).count().orderBy(spec.TARGET).collect() == df.groupBy(spec.TARGET).count().orderBy(spec.TARGET).collect()
+    [r] = spark.read.parquet(f"{root}/quarantine").collect()
+    assert (r["line"], r["record"]) == (2, "1,other")

@@ -244,3 +244,13 @@ def test_large_dictionaries_share_one_look_up(spark):
         assert encode(odd.limit(0), fitted, cols).count() == 0
     finally:
         spark.conf.set(key, kept)
+
+
+def test_split_moves_no_class_to_one_task(spark):
+    """The per-class table comes to the rows by broadcast: no row is shuffled by its label."""
+    df = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") % 10 < 6).cast("int").alias("y"))
+    s = stratified_split(df.unionByName(spark.range(7).select(F.col("id").alias("k"), F.lit(None).cast("int").alias("y"))), "y", "k")
+    assert {(r["y"], r["split"]): r["count"] for r in s.groupBy("y", "split").count().collect()} == {
+        (0, "train"): 640, (0, "test"): 160, (1, "train"): 960, (1, "test"): 240, (None, "train"): 5, (None, "test"): 2}
+    plan = s._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan.split("Union")[1].split("BroadcastHashJoin")[0]

@@ -9,9 +9,10 @@ row of ``rows``. Rows and malformed lines together are the lines.
 
 How: the files are read as lines. A first pass keeps a row per file split
 (its number of lines, the first line of its file); that small table gives
-each file's header and each split's first line number, and is joined back by
-split, so a large file is as many keys as it has splits. Values are then found
-by name. One row is one line: quoted line breaks aren't rows of this format.
+each file's header and each split's first line number; it is written once and
+comes back to the lines by broadcast (above FEW_SPLITS splits by a shuffle, in
+which a large file is as many keys as it has splits). Values are then found by
+name. One row is one line: quoted line breaks aren't rows of this format.
 
 A file without a key column gets keys from the content of its rows and, for
 equal rows, their occurrence: the same rows get the same keys in whatever files
@@ -29,7 +30,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from ..session import materialize
+
 MAX_HEADERS = 1000
+# so many splits' numbers are broadcast to their lines
+FEW_SPLITS = 100_000
 _BAD = "_bad"
 
 
@@ -85,6 +90,7 @@ def scan_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     in_file = Window.partitionBy("file").orderBy("block")   # splits of a file
     splits = splits.select("file", "block", "first_id", F.first("first").over(in_file).alias("header"),
                            (F.sum("n").over(in_file) - F.col("n")).alias("lines_before"))
+    splits = materialize(splits)
     texts = [r["header"] for r in splits.select("header").distinct().limit(MAX_HEADERS + 1).collect()]
     if len(texts) > MAX_HEADERS:
         raise ValueError(f"{path}: more than {MAX_HEADERS} different headers")
@@ -94,7 +100,8 @@ def scan_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
         if twice:
             raise ValueError(f"{path}: header names {twice} more than once")
 
-    at = lines.join(splits, ["file", "block"]).select(
+    few = splits.count() <= FEW_SPLITS
+    at = lines.join(F.broadcast(splits) if few else splits, ["file", "block"]).select(
         "file", "block", "value", "header", (F.col("lines_before") + F.col("id") - F.col("first_id") + 1).alias("line"))
     at = at.where((F.col("line") > 1) & (F.btrim("value") != ""))
 
@@ -108,7 +115,8 @@ def scan_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
                          {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD})
         values = F.transform(F.array(cut), _by_name(names, wanted))   # parsed once, whatever the number of columns
         parsed = F.when(F.col("header") == text, F.get(values, F.lit(0))).otherwise(parsed)
-    at = at.select("file", "block", "line", "value", "header", parsed.alias("p"))
+    # exploded: a filter on the values stays above them, so that a line is cut once
+    at = at.select("file", "block", "line", "value", "header", F.explode(F.array(parsed)).alias("p"))
 
     wrong = F.array_compact(F.array(*[
         F.when((F.btrim(F.col(f"p.{f.name}")) != "") & _typed(F.col(f"p.{f.name}"), f.dataType).isNull(), F.lit(f.name))

@@ -117,3 +117,12 @@ def test_training_sets_from_nine_raw_columns(spark, sf, tmp_path):
     assert both.groupBy(spec.TARGET).count().orderBy(spec.TARGET).collect() == df.groupBy(spec.TARGET).count().orderBy(spec.TARGET).collect()
     [r] = spark.read.parquet(f"{root}/quarantine").collect()
     assert (r["line"], r["record"]) == (2, "1,other")
+
+
+def test_a_line_is_cut_once(spark, tmp_path):
+    path = files(tmp_path, a="k,x,s\n" + "".join(f"{i},{i}.5,v{i % 3}\n" for i in range(50)) + "bad,1,v\n")
+    scan = scan_csv(spark, path, SCHEMA)
+    for df, rows in ((scan.rows, 50), (scan.malformed, 1)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_csv(") == 1, plan
+        assert df.count() == rows

@@ -11,7 +11,7 @@ from credence import spec
 from credence.checks import q_models
 from credence.plans.model_tables import INTERCEPT, ModelTable, at_coefficients, fit_logistic, gradient_table
 from credence.plans.scoring import prepare_records, score_payloads
-from credence.plans.training import load_model, predict, save_model, train
+from credence.plans.training import load_model, predict, save_model, train, transform_predict
 from credence.session import work_dir
 from credence.sources.payloads import parse_payloads
 
@@ -77,6 +77,33 @@ def test_a_table_scores_missing_values_and_repeated_rows_as_the_model(spark, for
     assert load_model(path).stages[-1].getNumTrees == model.stages[-1].getNumTrees   # the table is no part of the model
 
 
+def test_a_forest_scores_a_batch_at_a_time(spark, forest):
+    """No row carries the nodes, and the model's own transform says the same."""
+    model, _, va, path = forest
+    rows = va.unionByName(va.limit(5).withColumn("income", F.lit(None).cast("double")))
+    show = [spec.KEY, F.round("approval_probability", 9), spec.TARGET, "confidence"]
+    want = sorted(map(str, transform_predict(model, rows, [spec.KEY]).select(*show).collect()))
+    for scorer in (model, ModelTable.load(spark, path)):
+        scored = predict(scorer, rows, [spec.KEY])
+        plan = scored._jdf.queryExecution().optimizedPlan().toString()
+        assert "MapInArrow" in plan and "subquery" not in plan
+        assert sorted(map(str, scored.select(*show).collect())) == want
+    assert predict(model, rows).columns == [spec.TARGET, "approval_probability", "confidence"]
+
+
+def test_walks_of_small_tables(spark):
+    kind = "tree int, node int, feature string, threshold double, left int, right int, p1 double"
+    nodes = [(0, 0, "age", 1.0, 1, 2, 0.5), (0, 1, None, None, None, None, 0.25), (0, 2, None, None, None, None, 1.0),
+             (3, 0, None, None, None, None, 0.5),
+             (4, 0, "not_there", 9.0, 1, 2, 0.5), (4, 1, None, None, None, None, 0.0), (4, 2, None, None, None, None, 0.75)]
+    rows = spark.createDataFrame([(v, 0.0) for v in (1.0, 1.5, None, float("nan"), float("-inf"))], "age double, income double")
+    table = ModelTable(spark.createDataFrame(nodes, kind))
+    got = [r["p"] for r in table.with_probability(rows, "p", ["age"], ["age", "income"]).collect()]
+    assert got == [0.5, 0.75, 0.75, 0.75, 0.5]
+    with pytest.raises(ValueError, match="no trees"):
+        ModelTable(spark.createDataFrame([], kind)).with_probability(rows, "p", ["age"], ["age", "income"])
+
+
 def some_rows(spark, n=400, seed=1):
     rng = random.Random(seed)
     rows = [(i, *[rng.gauss((i % 2) * 0.4, 1) for _ in spec.ALL_FEATURES], i % 2 if i % 50 else None) for i in range(n)]

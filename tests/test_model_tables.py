@@ -11,7 +11,7 @@ from credence import spec
 from credence.checks import q_models
 from credence.plans.model_tables import INTERCEPT, ModelTable, at_coefficients, fit_logistic, gradient_table
 from credence.plans.scoring import prepare_records, score_payloads
-from credence.plans.training import load_model, predict, save_model, train, transform_predict
+from credence.plans.training import load_model, predict, save_model, train, train_partitions, transform_predict
 from credence.session import work_dir
 from credence.sources.payloads import parse_payloads
 
@@ -104,6 +104,11 @@ def test_walks_of_small_tables(spark):
         ModelTable(spark.createDataFrame([], kind)).with_probability(rows, "p", ["age"], ["age", "income"])
 
 
+def test_partitions_follow_the_rows():
+    assert train_partitions(0) == train_partitions(120_000) == 32
+    assert train_partitions(43_200_000) == 173
+
+
 def some_rows(spark, n=400, seed=1):
     rng = random.Random(seed)
     rows = [(i, *[rng.gauss((i % 2) * 0.4, 1) for _ in spec.ALL_FEATURES], i % 2 if i % 50 else None) for i in range(n)]

@@ -11,7 +11,7 @@ from credence import spec
 from credence.checks import q_models
 from credence.plans.model_tables import INTERCEPT, ModelTable, at_coefficients, fit_logistic, gradient_table
 from credence.plans.scoring import prepare_records, score_payloads
-from credence.plans.training import load_model, predict, save_model, train, train_partitions, transform_predict
+from credence.plans.training import evaluate, load_model, predict, save_model, train, train_partitions, transform_predict
 from credence.session import work_dir
 from credence.sources.payloads import parse_payloads
 
@@ -91,6 +91,21 @@ def test_a_forest_scores_a_batch_at_a_time(spark, forest):
     assert predict(model, rows).columns == [spec.TARGET, "approval_probability", "confidence"]
 
 
+def test_a_forest_is_evaluated_a_batch_at_a_time(spark, forest, monkeypatch):
+    """Metrics come from the batches' scores, and equal those of the model's own transform."""
+    model, _, va, _ = forest
+    rows = va.unionByName(va.limit(7).withColumn("income", F.lit(None).cast("double"))).unionByName(
+        va.limit(5).withColumn(spec.TARGET, F.lit(None).cast("int")))
+    scored = transform_predict(model, rows.withColumn("y", F.col(spec.TARGET)), ["y"]).where("y is not null").collect()
+    y, p, c = (np.array([r[k] for r in scored]) for k in ("y", "approval_probability", spec.TARGET))
+    better = np.sign(p[y == 1][:, None] - p[y == 0][None, :])
+    want = {"val_accuracy": (y == c).mean(), "val_precision": y[c == 1].mean(), "val_recall": c[y == 1].mean(),
+            "val_auc": (better / 2 + 0.5).mean()}
+    monkeypatch.setattr(type(model), "transform", None)
+    got = {r["metric"]: r["value"] for r in evaluate(model, rows, "val").collect()}
+    assert {k: round(got[k], 9) for k in want} == {k: round(v, 9) for k, v in want.items()} and len(got) == 5
+
+
 def test_walks_of_small_tables(spark):
     kind = "tree int, node int, feature string, threshold double, left int, right int, p1 double"
     nodes = [(0, 0, "age", 1.0, 1, 2, 0.5), (0, 1, None, None, None, None, 0.25), (0, 2, None, None, None, None, 1.0),
